@@ -68,19 +68,18 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str)
     )
 
 
-def insert_ignore(target: DataFrame, rows: DataFrame, key: Sequence[str], first: str) -> DataFrame:
-    """Rows to append so that ``key`` stays unique: the first per key by ``first``, if still absent.
-
-    The choice per key is a map-side combinable aggregate, not a window over the key's rows.
-    """
+def first_per_key(rows: DataFrame, key: Sequence[str], first: str) -> DataFrame:
+    """The row with the smallest ``first`` per key: a map-side combinable aggregate, no window."""
     rest = [c for c in rows.columns if c not in key]
-    picked = (
-        rows.groupBy(*key)
-        .agg(F.min_by(F.struct(*rest), F.col(first)).alias("_row"))
-        .select(*key, "_row.*")
-        .select(*rows.columns)
+    picked = rows.groupBy(*key).agg(F.min_by(F.struct(*rest), F.col(first)).alias("_row"))
+    return picked.select(*key, "_row.*").select(*rows.columns)
+
+
+def insert_ignore(target: DataFrame, rows: DataFrame, key: Sequence[str], first: str) -> DataFrame:
+    """Rows to append so that ``key`` stays unique: the first per key by ``first``, if still absent."""
+    return first_per_key(rows, key, first).join(target.select(*key), list(key), "left_anti").select(
+        *rows.columns
     )
-    return picked.join(target.select(*key), list(key), "left_anti").select(*rows.columns)
 
 
 def create_tables(
