@@ -116,12 +116,7 @@ def products(ids: DataFrame) -> DataFrame:
 
 def _picks(first: int, count: int, size: int) -> Column:
     """``count`` product positions drawn by popularity, repeats included."""
-
-    def pick(number: Column) -> Column:
-        salt = F.concat(F.lit("pick"), number.cast("string"))
-        return draws.heavy_tail(draws.uniform(salt, F.col("id")), size)
-
-    return F.transform(F.sequence(F.lit(first), F.lit(first + count - 1)), pick)
+    return draws.heavy_tails("pick", first, count, size, F.col("id"))
 
 
 def _baskets(ids: DataFrame, size: Size) -> DataFrame:
@@ -197,8 +192,9 @@ def orders(ids: DataFrame, size: Size) -> DataFrame:
 
 
 def _lines(ids: DataFrame, size: Size, *extra: str) -> DataFrame:
+    # No basket is empty; the outer form spares a test that would compute the lines twice.
     exploded = _baskets(ids, size).select(
-        F.col("id").alias("order_id"), *extra, F.explode("lines").alias("line")
+        F.col("id").alias("order_id"), *extra, F.explode_outer("lines").alias("line")
     )
     # At most five lines per order leave room for an id without counting over the table.
     return exploded.select(

@@ -40,7 +40,8 @@ PRODUCTS = f"""gen_products AS (
          CAST({whole(draw('stock'), 10, 1000)} AS INTEGER) AS stock
   FROM (SELECT p_partkey + 1 AS id FROM part))"""
 
-PICK = "'0x' || substr(md5('pick' || n || ':' || o.id), 1, 8)"
+# One digest yields four picks.
+PICK = "'0x' || substr(md5('pick' || (n // 4) || ':' || o.id), CAST(1 + 8 * (n % 4) AS INTEGER), 8)"
 
 ORDERS = f"""gen_keys AS (SELECT o_orderkey + 1 AS id FROM orders),
 gen_heads AS (
