@@ -39,20 +39,6 @@ def _units() -> Column:
     return F.sum("quantity").cast("bigint")
 
 
-def _named_products(shop: Shop) -> DataFrame:
-    """product_id, product_name, category_id, category_name, price, stock."""
-    categories = shop.categories.select(
-        F.col("id").alias("category_id"), F.col("name").alias("category_name")
-    )
-    return shop.products.select(
-        F.col("id").alias("product_id"),
-        F.col("name").alias("product_name"),
-        "category_id",
-        "price",
-        "stock",
-    ).join(categories, "category_id")
-
-
 def _emails(shop: Shop) -> DataFrame:
     return shop.users.select(F.col("id").alias("user_id"), "email")
 
@@ -75,7 +61,7 @@ def _product_sums(shop: Shop, status: str) -> DataFrame:
 
 @question
 def q01_top3_products_by_revenue(shop: Shop) -> DataFrame:
-    revenue = _product_sums(shop, "completed").join(_named_products(shop), "product_id")
+    revenue = _product_sums(shop, "completed").join(shop.catalogue, "product_id")
     top = top_k_per_group(revenue, ["category_name"], [desc("revenue")], 3, "product_id", "rank")
     return top.select("category_name", "rank", "product_id", "product_name", "revenue").orderBy(
         "category_name", "rank"
@@ -191,7 +177,7 @@ def q08_never_ordered_users(shop: Shop) -> DataFrame:
 
 def _category_catalogue(shop: Shop) -> DataFrame:
     return grouped_summary(
-        _named_products(shop),
+        shop.catalogue,
         ["category_id", "category_name"],
         {
             "avg_price": exact.mean_money(F.sum("price"), F.count("price")),
@@ -213,7 +199,7 @@ def q09_category_price_stock(shop: Shop) -> DataFrame:
 
 def _top_products(shop: Shop, status: str, n: int) -> DataFrame:
     cut = top_n(_product_sums(shop, status), [desc("units")], n, "product_id")
-    return top_n(cut.join(_named_products(shop), "product_id"), [desc("units")], n, "product_id")
+    return top_n(cut.join(shop.catalogue, "product_id"), [desc("units")], n, "product_id")
 
 
 @question
@@ -250,16 +236,8 @@ def q11_coupon_performance(shop: Shop) -> DataFrame:
 
 @question
 def q12_unsold_products(shop: Shop) -> DataFrame:
-    unsold = unmatched(
-        shop.products.withColumnRenamed("id", "product_id"),
-        shop.order_items,
-        "product_id",
-        "product_id",
-    )
-    order = [desc("stock")]
-    cut = top_n(unsold, order, 50, "product_id").select("product_id")
-    named = _named_products(shop).join(F.broadcast(cut), "product_id")  # at most 50 rows
-    return top_n(named, order, 50, "product_id").select(
+    unsold = unmatched(shop.catalogue, shop.order_items, "product_id", "product_id")
+    return top_n(unsold, [desc("stock")], 50, "product_id").select(
         "product_name", "category_name", "stock", F.col("price").alias("unit_price")
     )
 
@@ -334,13 +312,9 @@ def q19_monthly_cancel_cost(shop: Shop) -> DataFrame:
     return _monthly_orders(shop.orders_in("cancelled"), "cancelled_count", "lost_revenue")
 
 
-def _category_of_products(shop: Shop) -> DataFrame:
-    return _named_products(shop).select("product_id", "category_id", "category_name")
-
-
 @question
 def q20_category_revenue(shop: Shop) -> DataFrame:
-    sums = _product_sums(shop, "completed").join(_category_of_products(shop), "product_id")
+    sums = _product_sums(shop, "completed").join(shop.catalogue, "product_id")
     by_category = grouped_summary(
         sums,
         ["category_id", "category_name"],
@@ -353,13 +327,9 @@ def q20_category_revenue(shop: Shop) -> DataFrame:
 
 @question
 def q21_tied_capital(shop: Shop) -> DataFrame:
-    stocked = shop.products.filter(F.col("stock") > 0).select(
-        F.col("id").alias("product_id"), exact.money(F.col("stock") * F.col("price")).alias("value")
-    )
-    order = [desc("value")]
-    cut = top_n(stocked, order, 20, "product_id")
-    named = _named_products(shop).join(F.broadcast(cut), "product_id")  # at most 20 rows
-    return top_n(named, order, 20, "product_id").select(
+    value = exact.money(F.col("stock") * F.col("price"))
+    stocked = shop.catalogue.filter(F.col("stock") > 0).withColumn("value", value)
+    return top_n(stocked, [desc("value")], 20, "product_id").select(
         "product_name", "category_name", "stock", F.col("price").alias("unit_price"), "value"
     )
 
@@ -424,11 +394,8 @@ def q27_aov_by_discount(shop: Shop) -> DataFrame:
 
 @question
 def q28_critical_stock(shop: Shop) -> DataFrame:
-    low = shop.products.filter(F.col("stock") < 20).select(F.col("id").alias("product_id"), "stock")
-    order = [asc("stock")]
-    cut = top_n(low, order, 30, "product_id").select("product_id")
-    named = _named_products(shop).join(F.broadcast(cut), "product_id")  # at most 30 rows
-    return top_n(named, order, 30, "product_id").select(
+    low = shop.catalogue.filter(F.col("stock") < 20)
+    return top_n(low, [asc("stock")], 30, "product_id").select(
         "product_name", "category_name", "stock", F.col("price").alias("unit_price")
     )
 
@@ -458,7 +425,7 @@ def q32_category_cancel_rate(shop: Shop) -> DataFrame:
         shop.sales("status"),
         ["product_id"],
         {"lines": _rows(), "cancelled": F.count_if(F.col("status") == "cancelled")},
-    ).join(_category_of_products(shop), "product_id")
+    ).join(shop.catalogue, "product_id")
     by_category = grouped_summary(
         per_product,
         ["category_id", "category_name"],
@@ -621,7 +588,7 @@ def q45_rfm_scores(shop: Shop) -> DataFrame:
 
 @question
 def q46_top3_products_by_units(shop: Shop) -> DataFrame:
-    units = _product_sums(shop, "completed").join(_named_products(shop), "product_id")
+    units = _product_sums(shop, "completed").join(shop.catalogue, "product_id")
     top = top_k_per_group(units, ["category_id"], [desc("units")], 3, "product_id", "rank")
     return top.select("category_name", "product_name", "units", "rank")
 
@@ -641,10 +608,9 @@ def q47_monthly_growth_inline(shop: Shop) -> DataFrame:
 
 @question
 def q48_rolling7_named(shop: Shop) -> DataFrame:
-    names = shop.products.select(F.col("id").alias("product_id"), F.col("name").alias("product_name"))
     return (
         _rolling(shop)
-        .join(names, "product_id")
+        .join(shop.product_names, "product_id")
         .orderBy("product_name", desc("day"), "product_id")
         .select("product_name", times.day_start(F.col("day")).alias("day"), "units", "rolling_avg")
     )

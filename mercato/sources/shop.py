@@ -74,7 +74,7 @@ class Shop:
             F.row_number().over(Window.orderBy("name")).alias("id"), "name"
         )
         number, label = EMPTY_CATEGORY
-        empty = self.spark.range(1).select(
+        empty = self.spark.range(0, 1, 1, numPartitions=1).select(
             F.lit(number).alias("id"), F.lit(label).alias("name")
         )
         return numbered.unionByName(empty)
@@ -90,22 +90,42 @@ class Shop:
         )
 
     @cached_property
-    def products(self) -> DataFrame:
-        category = self.categories.select(
-            F.col("id").alias("category_id"), F.col("name").alias("p_type")
-        )
+    def _parts(self) -> DataFrame:
+        """Products with their category's name, before the category is numbered."""
         return (
             self.given("part")
-            .join(category, "p_type")
+            .filter(F.col("p_type").isNotNull())
             .select(
-                F.col("p_partkey").alias("id"),
-                "category_id",
-                F.col("p_name").alias("name"),
+                F.col("p_partkey").alias("product_id"),
+                F.col("p_name").alias("product_name"),
+                F.col("p_type").alias("category_name"),
                 _amount("p_retailprice").alias("price"),
                 (F.col("p_size") % 50).cast("int").alias("stock"),
             )
         )
 
+    @cached_property
+    def catalogue(self) -> DataFrame:
+        """Products joined with their category: one join yields its number and its name."""
+        category = self.categories.select(
+            F.col("id").alias("category_id"), F.col("name").alias("category_name")
+        )
+        return self._parts.join(category, "category_name")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self.catalogue.select(
+            F.col("product_id").alias("id"),
+            "category_id",
+            F.col("product_name").alias("name"),
+            "price",
+            "stock",
+        )
+
+    @cached_property
+    def product_names(self) -> DataFrame:
+        return self._parts.select("product_id", "product_name")
+
     @cached_property
     def orders(self) -> DataFrame:
         key = F.col("o_orderkey")
@@ -220,10 +240,10 @@ class Shop:
             version(3, "1.0", "1999-07-01", None),
         )
         return (
-            self.products.select("id", "price", F.explode(versions).alias("v"))
-            .filter((F.col("v.number") != 1) | (F.col("id") % 7 != 0))
+            self._parts.select("product_id", "price", F.explode(versions).alias("v"))
+            .filter((F.col("v.number") != 1) | (F.col("product_id") % 7 != 0))
             .select(
-                F.col("id").alias("product_id"),
+                "product_id",
                 (F.col("price") * F.col("v.factor")).cast("decimal(10,2)").alias("price"),
                 F.col("v.valid_from").alias("valid_from"),
                 F.col("v.valid_to").alias("valid_to"),
