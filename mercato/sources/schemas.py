@@ -6,59 +6,133 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-_MONEY = "decimal(10,2)"
+BIGINT, INT, TEXT = T.LongType(), T.IntegerType(), T.StringType()
+MONEY, MOMENT, DAY, FLAG = T.DecimalType(10, 2), T.TimestampNTZType(), T.DateType(), T.BooleanType()
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
 OPERATIONAL: dict[str, T.StructType] = {
-    "users": _schema("id bigint, email string, password_hash string, created_at timestamp_ntz"),
-    "categories": _schema("id int, name string"),
-    "coupons": _schema("id int, code string, discount_pct int, valid_until timestamp_ntz"),
-    "products": _schema(f"id bigint, category_id int, name string, price {_MONEY}, stock int"),
-    "orders": _schema(
-        f"id bigint, user_id bigint, coupon_id bigint, total_amount {_MONEY}, "
-        "status string, created_at timestamp_ntz"
-    ),
-    "order_items": _schema(
-        f"id bigint, order_id bigint, product_id bigint, quantity int, unit_price {_MONEY}"
-    ),
-    "payments": _schema(f"id bigint, order_id bigint, amount {_MONEY}, status string"),
-    "shipments": _schema("id bigint, order_id bigint, tracking_number string, status string"),
-    "reviews": _schema(
-        "id bigint, user_id bigint, product_id bigint, rating int, comment string"
-    ),
-    "inventory_movements": _schema(
-        "id bigint, product_id bigint, quantity_changed int, reason string, "
-        "created_at timestamp_ntz"
-    ),
-    "product_price_history": _schema(
-        f"product_id bigint, price {_MONEY}, valid_from timestamp_ntz, valid_to timestamp_ntz"
+    "users": _table(
+        id=BIGINT,
+        email=TEXT,
+        password_hash=TEXT,
+        created_at=MOMENT,
+    ),
+    "categories": _table(
+        id=INT,
+        name=TEXT,
+    ),
+    "coupons": _table(
+        id=INT,
+        code=TEXT,
+        discount_pct=INT,
+        valid_until=MOMENT,
+    ),
+    "products": _table(
+        id=BIGINT,
+        category_id=INT,
+        name=TEXT,
+        price=MONEY,
+        stock=INT,
+    ),
+    "orders": _table(
+        id=BIGINT,
+        user_id=BIGINT,
+        coupon_id=BIGINT,
+        total_amount=MONEY,
+        status=TEXT,
+        created_at=MOMENT,
+    ),
+    "order_items": _table(
+        id=BIGINT,
+        order_id=BIGINT,
+        product_id=BIGINT,
+        quantity=INT,
+        unit_price=MONEY,
+    ),
+    "payments": _table(
+        id=BIGINT,
+        order_id=BIGINT,
+        amount=MONEY,
+        status=TEXT,
+    ),
+    "shipments": _table(
+        id=BIGINT,
+        order_id=BIGINT,
+        tracking_number=TEXT,
+        status=TEXT,
+    ),
+    "reviews": _table(
+        id=BIGINT,
+        user_id=BIGINT,
+        product_id=BIGINT,
+        rating=INT,
+        comment=TEXT,
+    ),
+    "inventory_movements": _table(
+        id=BIGINT,
+        product_id=BIGINT,
+        quantity_changed=INT,
+        reason=TEXT,
+        created_at=MOMENT,
+    ),
+    "product_price_history": _table(
+        product_id=BIGINT,
+        price=MONEY,
+        valid_from=MOMENT,
+        valid_to=MOMENT,
     ),
 }
 
 STAR: dict[str, T.StructType] = {
-    "dim_date": _schema(
-        "date_id int, full_date date, day_of_week int, day_name string, month int, "
-        "month_name string, quarter int, year int, is_weekend boolean"
-    ),
-    "dim_product": _schema(
-        "product_sk bigint, product_id bigint, category_name string, product_name string, "
-        f"current_price {_MONEY}"
-    ),
-    "dim_customer": _schema(
-        "customer_sk bigint, user_id bigint, full_name string, email string, gender string, "
-        "city string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean"
-    ),
-    "fct_orders": _schema(
-        f"order_id bigint, customer_sk bigint, date_id int, status string, total_amount {_MONEY}, "
-        f"shipping_cost {_MONEY}"
-    ),
-    "fct_order_items": _schema(
-        "order_item_id bigint, order_id bigint, product_sk bigint, date_id int, quantity int, "
-        f"unit_price {_MONEY}, line_total {_MONEY}"
+    "dim_date": _table(
+        date_id=INT,
+        full_date=DAY,
+        day_of_week=INT,
+        day_name=TEXT,
+        month=INT,
+        month_name=TEXT,
+        quarter=INT,
+        year=INT,
+        is_weekend=FLAG,
+    ),
+    "dim_product": _table(
+        product_sk=BIGINT,
+        product_id=BIGINT,
+        category_name=TEXT,
+        product_name=TEXT,
+        current_price=MONEY,
+    ),
+    "dim_customer": _table(
+        customer_sk=BIGINT,
+        user_id=BIGINT,
+        full_name=TEXT,
+        email=TEXT,
+        gender=TEXT,
+        city=TEXT,
+        valid_from=MOMENT,
+        valid_to=MOMENT,
+        is_current=FLAG,
+    ),
+    "fct_orders": _table(
+        order_id=BIGINT,
+        customer_sk=BIGINT,
+        date_id=INT,
+        status=TEXT,
+        total_amount=MONEY,
+        shipping_cost=MONEY,
+    ),
+    "fct_order_items": _table(
+        order_item_id=BIGINT,
+        order_id=BIGINT,
+        product_sk=BIGINT,
+        date_id=INT,
+        quantity=INT,
+        unit_price=MONEY,
+        line_total=MONEY,
     ),
 }
 

@@ -75,7 +75,7 @@ class Shop:
         )
         number, label = EMPTY_CATEGORY
         empty = self.spark.range(0, 1, 1, numPartitions=1).select(
-            F.lit(number).alias("id"), F.lit(label).alias("name")
+            (F.col("id") + number).cast("int").alias("id"), F.lit(label).alias("name")
         )
         return numbered.unionByName(empty)
 
