@@ -10,6 +10,13 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
+# Pairs of everything with everything, and Python per row or column.
+NEVER_PLANNED = (
+    "CartesianProduct",
+    "BroadcastNestedLoopJoin",
+    "BatchEvalPython",
+    "ArrowEvalPython",
+)
 QUESTIONS = entry_point.queries()
 ORACLE = entry_point.oracle_sql()
 
@@ -40,6 +47,8 @@ def test_matches_oracle(spark, duck, name):
     expected = [tuple(r[columns.index(c)] for c in order) for r in result.fetchall()]
     actual = [tuple(r[c] for c in order) for r in found.collect()]
     assert sorted(actual, key=repr) == sorted(expected, key=repr)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not [word for word in NEVER_PLANNED if word in plan]
 
 
 def test_entry_runs(spark):
