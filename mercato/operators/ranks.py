@@ -23,7 +23,9 @@ from mercato import scratch
 
 # Rows of one remaining interval that are fetched instead of narrowed further.
 SMALL = 5_000
-ACCURACY = 10_000
+# Each round keeps about 4/ACCURACY of the rows.  Tasks send sketches of about ACCURACY values per
+# search to one merging task, so a fine bracket would cost more than another round.
+ACCURACY = 256
 # monotonically_increasing_id keeps the partition above this bit.
 SLOT_BITS = 33
 
@@ -159,12 +161,20 @@ def _fetch(df: DataFrame, narrow: list[_Search]) -> None:
         s.found = (row[s.order.key], row[s.order.tie] if s.order.tie else None)
 
 
-def rows_at(df: DataFrame, wanted: Sequence[tuple[Ordering, int]], size: int) -> list[tuple]:
+def _sizes(df: DataFrame, keys: set[str]) -> tuple[int, dict[str, int]]:
+    """Rows, and rows without a value per key."""
+    names = sorted(keys)
+    missing = [F.count_if(F.col(name).isNull()) for name in names]
+    total, *rest = df.agg(F.count(F.lit(1)), *missing).first()
+    return total, dict(zip(names, rest))
+
+
+def rows_at(
+    df: DataFrame, wanted: Sequence[tuple[Ordering, int]], size: int, nulls: Mapping[str, int]
+) -> list[tuple]:
     """(key, tie) of the row at each 1-based position; ``df`` should be a stored table."""
     searches = [_Search(order, rank, size) for order, rank in wanted]
-    keys = sorted({o.key for o, _ in wanted})
-    row = df.agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in keys]).first()
-    _start(searches, row.asDict())
+    _start(searches, nulls)
     while open_ones := [s for s in searches if s.found is None]:
         wide = [s for s in open_ones if s.size > SMALL]
         if wide:
@@ -190,11 +200,11 @@ def add_ntiles(df: DataFrame, specs: Mapping[str, Ordering], k: int) -> DataFram
 
     Bucket sizes differ by at most one, larger ones first.  ``df`` should be a stored table.
     """
-    size = df.count()
+    size, nulls = _sizes(df, {order.key for order in specs.values()})
     quotient, rest = divmod(size, k)
     ends = [j * quotient + min(j, rest) for j in range(1, k)] if size else []
     wanted = [(order, end) for order in specs.values() for end in ends]
-    cuts = iter(rows_at(df, wanted, size) if wanted else [])
+    cuts = iter(rows_at(df, wanted, size, nulls))
     tiles = {}
     for name, order in specs.items():
         tile = F.lit(1)
@@ -206,11 +216,12 @@ def add_ntiles(df: DataFrame, specs: Mapping[str, Ordering], k: int) -> DataFram
 
 def median_of(df: DataFrame, key: str) -> int | None:
     """Twice the exact median of the whole-number column ``key`` (a whole number itself)."""
-    size = df.agg(F.count(key)).first()[0]
-    if size == 0:
+    size, nulls = _sizes(df, {key})
+    known = size - nulls[key]
+    if known == 0:
         return None
-    middle = [(Ordering(key), (size + 1) // 2), (Ordering(key), size // 2 + 1)]
-    (low, _), (high, _) = rows_at(df.filter(F.col(key).isNotNull()), middle, size)
+    middle = [(Ordering(key), (known + 1) // 2), (Ordering(key), known // 2 + 1)]
+    (low, _), (high, _) = rows_at(df, middle, size, nulls)
     return low + high
 
 

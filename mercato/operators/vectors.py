@@ -31,14 +31,15 @@ DIGITS = 9
 METRICS = ("cosine", "l2")
 
 
-def _cosine(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    norms = np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum())
-    dots = (rows * query).sum(axis=1)
-    return np.divide(dots, norms, out=np.zeros(len(rows)), where=norms > 0)
+def _cosine(rows: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Similarity of every row with every query, one column per query."""
+    lengths = np.outer(np.sqrt((rows * rows).sum(axis=1)), np.sqrt((block * block).sum(axis=1)))
+    return np.divide(rows @ block.T, lengths, out=np.zeros_like(lengths), where=lengths > 0)
 
 
-def _l2(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    return np.sqrt(((rows - query) ** 2).sum(axis=1))
+def _l2(rows: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Distances from differences: expanding the square would lose the digits of near vectors."""
+    return np.stack([np.sqrt(((rows - query) ** 2).sum(axis=1)) for query in block], axis=1)
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
@@ -64,10 +65,9 @@ def _scorer(
         best = [nothing] * len(names)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            rows = _matrix(batch.column(1), block.shape[1])
-            for i, query in enumerate(block):
-                scores = np.round(score(rows, query), DIGITS)
-                near_ids, near = _best(ids, scores, k, descending)
+            scores = np.round(score(_matrix(batch.column(1), block.shape[1]), block), DIGITS)
+            for i in range(len(names)):
+                near_ids, near = _best(ids, scores[:, i], k, descending)
                 best[i] = _best(
                     np.concatenate([best[i][0], near_ids]),
                     np.concatenate([best[i][1], near]),
