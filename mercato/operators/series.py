@@ -26,10 +26,8 @@ def period_growth(
     with_previous = monthly.withColumn(
         previous, F.lag(total).over(Window.orderBy(F.col(period).asc_nulls_last()))
     )
-    change = exact.cents(F.col(total)) - exact.cents(F.col(previous))
-    return with_previous.withColumn(
-        growth, exact.percent(change, exact.cents(F.col(previous)))
-    )
+    change = F.col(total) - F.col(previous)
+    return with_previous.withColumn(growth, exact.percent_money(change, F.col(previous)))
 
 
 def rolling_mean(

@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 # Runtime settings, safe to change on a session somebody else created.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
+    # Overflow raises instead of wrapping.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when the split costs one more exchange downstream.

@@ -1,13 +1,15 @@
 from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
 
-from hypothesis import given, settings
+import pytest
+from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from mercato.functions import exact
 
-whole = st.integers(min_value=-(10**15), max_value=10**15)
+# The rounded quotient times 10^digits has to fit a bigint; six digits leave room for 10^12.
+whole = st.integers(min_value=-(10**12), max_value=10**12)
 count = st.integers(min_value=-(10**12), max_value=10**12)
 
 
@@ -19,7 +21,7 @@ def rounded(numerator, denominator, digits):
     return Decimal(units).scaleb(-digits)
 
 
-@settings(max_examples=3, deadline=None)
+@settings(max_examples=3, deadline=None, derandomize=True, phases=[Phase.generate])
 @given(pairs=st.lists(st.tuples(whole, count), min_size=200, max_size=200))
 def test_half_up_is_exact(spark, pairs):
     pairs = pairs + [(1, 0), (5, 1000), (-5, 1000), (15, 1000), (0, 7)]
@@ -27,6 +29,8 @@ def test_half_up_is_exact(spark, pairs):
     columns = [exact.half_up(F.col("n"), F.col("d"), digits) for digits in (0, 1, 2, 6)]
     for (n, d), row in zip(pairs, df.select(*columns).collect()):
         assert list(row) == [rounded(n, d, digits) for digits in (0, 1, 2, 6)]
+    narrow = df.select(exact.half_up(F.col("n"), F.col("d"), 2, "bigint")).collect()
+    assert [r[0] for r in narrow] == [rounded(n, d, 2) for n, d in pairs]
 
 
 def test_mean_is_rounded_once(spark):
@@ -49,3 +53,9 @@ def test_money_mean_matches_decimal(spark):
 
 def test_percent_of_nothing_is_null(spark):
     assert spark.range(1).select(exact.percent(F.lit(3), F.lit(0))).first()[0] is None
+
+
+def test_primitive_division_raises_instead_of_wrapping(spark):
+    too_large = spark.range(1).select(exact.mean(F.lit(9 * 10**18), F.lit(1)))
+    with pytest.raises(Exception, match="OVERFLOW"):
+        too_large.collect()
