@@ -25,6 +25,11 @@ def cents(amount: Column) -> Column:
     return (amount * F.lit(100)).cast(WIDE)
 
 
+def from_cents(total: Column) -> Column:
+    """A whole number of hundredths as money."""
+    return (total.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
+
+
 def half_up(numerator: Column, denominator: Column, digits: int = 2, width: str = WIDE) -> Column:
     """numerator / denominator of two whole numbers, rounded half away from zero.
 

@@ -31,10 +31,6 @@ def _sum_money(column: str | Column) -> Column:
     return exact.money(F.sum(column))
 
 
-def _line_value() -> Column:
-    return F.col("quantity") * F.col("unit_price")
-
-
 def _units() -> Column:
     return F.sum("quantity").cast("bigint")
 
@@ -55,7 +51,7 @@ def _product_sums(shop: Shop, status: str) -> DataFrame:
     return grouped_summary(
         shop.sales(status=status),
         ["product_id"],
-        {"line_count": _rows(), "units": _units(), "revenue": _sum_money(_line_value())},
+        {"line_count": _rows(), "units": _units(), "revenue": exact.from_cents(F.sum("line_cents"))},
     )
 
 

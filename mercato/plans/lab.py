@@ -14,7 +14,13 @@ from mercato import scratch
 from mercato.functions import times
 from mercato.operators.topk import desc, top_n
 from mercato.plans import Registry
-from mercato.sources.files import read_month, write_by_month, write_clustered
+from mercato.sources.files import (
+    one_month,
+    read_by_month,
+    read_table,
+    write_by_month,
+    write_clustered,
+)
 from mercato.sources.shop import Shop
 
 QUESTIONS = Registry()
@@ -25,18 +31,27 @@ SUFFIX, PREFIX = "example.com", "customer.0000001"
 LOOKED_UP_ORDER = 750
 CANCELLED_SINCE = "2000-01-01 00:00:00"
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _layout(shop: Shop, name: str, write: Callable[[str], None]) -> str:
+def _layout(shop: Shop, name: str, write: Callable[[str], None], read: Callable[[str], DataFrame]) -> DataFrame:
     key = (shop.spark.sparkContext.applicationId, shop.folder, name)
     if key not in _WRITTEN:
         path = scratch.new_path(shop.spark, name)
         write(path)
-        _WRITTEN[key] = path
+        _WRITTEN[key] = read(path)
     return _WRITTEN[key]
 
 
+def _clustered(shop: Shop, name: str, df: DataFrame, columns: list[str], bloom: str | None = None) -> DataFrame:
+    return _layout(
+        shop,
+        name,
+        lambda path: write_clustered(df, columns, path, bloom),
+        lambda path: read_table(shop.spark, path, df.schema),
+    )
+
+
 @question
 def l1_month_filter(shop: Shop) -> DataFrame:
     """July of any year: a function of the column, so every row is looked at."""
@@ -51,10 +66,13 @@ def l1_range_filter(shop: Shop) -> DataFrame:
 
 @question
 def l1_range_filter_by_month(shop: Shop) -> DataFrame:
-    path = _layout(
-        shop, "orders-by-month", lambda p: write_by_month(shop.orders, "created_at", p)
+    by_month = _layout(
+        shop,
+        "orders-by-month",
+        lambda path: write_by_month(shop.orders, "created_at", path),
+        lambda path: read_by_month(shop.spark, path, shop.orders.schema),
     )
-    return read_month(shop.spark, path, "created_at", YEAR, MONTH)
+    return one_month(by_month, "created_at", YEAR, MONTH)
 
 
 @question
@@ -69,23 +87,19 @@ def l2_email_prefix(shop: Shop) -> DataFrame:
 
 @question
 def l2_email_prefix_clustered(shop: Shop) -> DataFrame:
-    path = _layout(shop, "users-by-email", lambda p: write_clustered(shop.users, ["email"], p))
-    return shop.spark.read.parquet(path).filter(F.col("email").startswith(PREFIX))
+    users = _clustered(shop, "users-by-email", shop.users, ["email"])
+    return users.filter(F.col("email").startswith(PREFIX))
 
 
 @question
 def l3_order_lines_lookup(shop: Shop) -> DataFrame:
-    return shop.order_items.filter(F.col("order_id") == LOOKED_UP_ORDER)
+    return shop.plain_items.filter(F.col("order_id") == LOOKED_UP_ORDER)
 
 
 @question
 def l3_order_lines_lookup_clustered(shop: Shop) -> DataFrame:
-    path = _layout(
-        shop,
-        "items-by-order",
-        lambda p: write_clustered(shop.order_items, ["order_id"], p, bloom="order_id"),
-    )
-    return shop.spark.read.parquet(path).filter(F.col("order_id") == LOOKED_UP_ORDER)
+    items = _clustered(shop, "items-by-order", shop.plain_items, ["order_id"], bloom="order_id")
+    return items.filter(F.col("order_id") == LOOKED_UP_ORDER)
 
 
 @question
@@ -106,9 +120,5 @@ def l5_status_date_filter(shop: Shop) -> DataFrame:
 
 @question
 def l5_status_date_filter_clustered(shop: Shop) -> DataFrame:
-    path = _layout(
-        shop,
-        "orders-by-status",
-        lambda p: write_clustered(shop.orders, ["status", "created_at"], p),
-    )
-    return _cancelled_lately(shop.spark.read.parquet(path))
+    clustered = _clustered(shop, "orders-by-status", shop.orders, ["status", "created_at"])
+    return _cancelled_lately(clustered)

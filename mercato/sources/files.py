@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from mercato.functions import times
 
 
+_MONTH_ID = T.StructField("month_id", T.IntegerType())
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A Parquet table; with a declared schema no file footer is read for inference."""
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -33,14 +36,15 @@ def write_by_month(df: DataFrame, ts: str, path: str) -> None:
     write_partitioned(df.withColumn("month_id", number), "month_id", path)
 
 
-def read_month(spark: SparkSession, path: str, ts: str, year: int, month: int) -> DataFrame:
-    """One month of a table written by ``write_by_month``: only its folder is listed and read."""
+def read_by_month(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table written by ``write_by_month``, with its partition column."""
+    return read_table(spark, path, T.StructType([*schema.fields, _MONTH_ID]))
+
+
+def one_month(table: DataFrame, ts: str, year: int, month: int) -> DataFrame:
+    """One month of a table partitioned by ``month_id``: only its folder is read."""
     only = F.col("month_id") == year * 100 + month
-    return (
-        spark.read.parquet(path)
-        .filter(only & times.in_month(F.col(ts), year, month))
-        .drop("month_id")
-    )
+    return table.filter(only & times.in_month(F.col(ts), year, month)).drop("month_id")
 
 
 def write_clustered(

@@ -8,12 +8,77 @@ from pyspark.sql import types as T
 
 BIGINT, INT, TEXT = T.LongType(), T.IntegerType(), T.StringType()
 MONEY, MOMENT, DAY, FLAG = T.DecimalType(10, 2), T.TimestampNTZType(), T.DateType(), T.BooleanType()
+REAL, VECTOR = T.DoubleType(), T.ArrayType(T.FloatType())
 
 
 def _table(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+# The generic tables a folder holds; declaring them spares a footer read per scan.
+GIVEN: dict[str, T.StructType] = {
+    "nation": _table(
+        n_nationkey=INT,
+        n_name=TEXT,
+        n_regionkey=INT,
+    ),
+    "customer": _table(
+        c_custkey=BIGINT,
+        c_name=TEXT,
+        c_nationkey=INT,
+        c_acctbal=REAL,
+        c_mktsegment=TEXT,
+    ),
+    "supplier": _table(
+        s_suppkey=BIGINT,
+        s_name=TEXT,
+        s_nationkey=INT,
+        s_acctbal=REAL,
+    ),
+    "part": _table(
+        p_partkey=BIGINT,
+        p_name=TEXT,
+        p_brand=TEXT,
+        p_type=TEXT,
+        p_size=INT,
+        p_retailprice=REAL,
+    ),
+    "orders": _table(
+        o_orderkey=BIGINT,
+        o_custkey=BIGINT,
+        o_orderstatus=TEXT,
+        o_totalprice=REAL,
+        o_orderdate=MOMENT,
+        o_orderpriority=TEXT,
+    ),
+    "lineitem": _table(
+        l_orderkey=BIGINT,
+        l_partkey=BIGINT,
+        l_suppkey=BIGINT,
+        l_linenumber=INT,
+        l_quantity=REAL,
+        l_extendedprice=REAL,
+        l_discount=REAL,
+        l_tax=REAL,
+        l_returnflag=TEXT,
+        l_linestatus=TEXT,
+        l_shipdate=MOMENT,
+    ),
+    "events": _table(
+        event_id=BIGINT,
+        ts=MOMENT,
+        user_id=BIGINT,
+        event_type=TEXT,
+        value=REAL,
+        props=TEXT,
+    ),
+    "embeddings": _table(
+        vec_id=BIGINT,
+        embedding=VECTOR,
+        label=INT,
+    ),
+}
+
 OPERATIONAL: dict[str, T.StructType] = {
     "users": _table(
         id=BIGINT,

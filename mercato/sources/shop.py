@@ -15,6 +15,8 @@ from pyspark.sql.window import Window
 
 from mercato.functions import times
 from mercato.session import tune
+from mercato.sources.files import read_table
+from mercato.sources.schemas import GIVEN
 
 # Sorting by these makes a line number independent of the file order; rows equal in all of
 # them are interchangeable.
@@ -43,7 +45,7 @@ class Shop:
         self.folder = folder.rstrip("/")
 
     def given(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return read_table(self.spark, f"{self.folder}/{table}.parquet", GIVEN.get(table))
 
     @cached_property
     def users(self) -> DataFrame:
@@ -170,13 +172,15 @@ class Shop:
                 (each.cast("decimal(10,0)") * F.lit(0.01).cast("decimal(3,2)"))
                 .cast("decimal(10,2)")
                 .alias("unit_price"),
+                # quantity * unit_price as a whole number: sums of it stay in primitive arithmetic.
+                (F.col("l_quantity").cast("int") * each).alias("line_cents"),
             )
         )
 
     @cached_property
     def raw_items(self) -> DataFrame:
         """Order lines before orphans are dropped; inner joins with orders drop them anyway."""
-        return self._lines.select("order_id", "product_id", "quantity", "unit_price")
+        return self._lines.select("order_id", "product_id", "quantity", "unit_price", "line_cents")
 
     @cached_property
     def order_items(self) -> DataFrame:
@@ -184,12 +188,17 @@ class Shop:
         known = self.orders.select(F.col("id").alias("order_id"))
         return self.raw_items.join(known, "order_id", "left_semi")
 
+    @property
+    def plain_items(self) -> DataFrame:
+        """Order lines as declared, without the derived value."""
+        return self.order_items.drop("line_cents")
+
     def keyed_items(self) -> DataFrame:
         """Order lines with their dense number ``id`` in ``LINE_ORDER``."""
         from mercato.operators.ranks import surrogate_key
 
         known = self.orders.select(F.col("id").alias("order_id"))
-        lines = self._lines.join(known, "order_id", "left_semi")
+        lines = self._lines.drop("line_cents").join(known, "order_id", "left_semi")
         return surrogate_key(lines, LINE_ORDER, "id").select(
             "id", "order_id", "product_id", "quantity", "unit_price"
         )
@@ -275,3 +284,19 @@ class Shop:
             .filter(F.col("event_type") == "purchase")
             .select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
         )
+
+
+_OPEN: dict[tuple[int, str, str], Shop] = {}
+
+
+def shop_at(spark: SparkSession, folder: str) -> Shop:
+    """The session's shop over ``folder``; its table handles are opened once.
+
+    Opening a table lists its files and resolves its projection, which for a short question costs
+    as much as running it.  Build a ``Shop`` to see files that arrived since.
+    """
+    key = (id(spark), spark.sparkContext.applicationId, folder)
+    if key not in _OPEN:
+        _OPEN[key] = Shop(spark, folder)
+    tune(spark)
+    return _OPEN[key]

@@ -25,17 +25,21 @@ FACTS = ("fct_orders", "fct_order_items")
 
 
 class Star:
-    """The published version below ``root``."""
+    """One published version below ``root``; a version never changes, so its tables are opened once."""
 
     def __init__(self, spark: SparkSession, root: str, version: str):
         self.spark, self.root, self.version = spark, root, version
+        self._open: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{self.version}/{table}"
 
     def table(self, name: str) -> DataFrame:
         """The declared columns; the facts' month folders stay out of sight."""
-        return read_table(self.spark, self.path(name), STAR[name]).select(*STAR[name].names)
+        if name not in self._open:
+            stored = read_table(self.spark, self.path(name), STAR[name])
+            self._open[name] = stored.select(*STAR[name].names)
+        return self._open[name]
 
 
 def published(spark: SparkSession, root: str) -> Star:

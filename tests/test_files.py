@@ -23,7 +23,8 @@ def test_bucketed_tables_join_and_group_without_exchange(spark, shop):
 def test_a_month_reads_its_folder_only(spark, shop):
     path = scratch.new_path(spark, "months")
     files.write_by_month(shop.orders, "created_at", path)
-    july = files.read_month(spark, path, "created_at", 2000, 7)
+    table = files.read_by_month(spark, path, shop.orders.schema)
+    july = files.one_month(table, "created_at", 2000, 7)
     scan = final_plan(july)
     assert "PartitionFilters: [isnotnull(month_id" in scan
     expected = shop.orders.filter((F.year("created_at") == 2000) & (F.month("created_at") == 7))
