@@ -57,7 +57,7 @@ def _product_sums(shop: Shop, status: str) -> DataFrame:
 
 @question
 def q01_top3_products_by_revenue(shop: Shop) -> DataFrame:
-    revenue = _product_sums(shop, "completed").join(shop.catalogue, "product_id")
+    revenue = _product_sums(shop, "completed").join(shop.named_products, "product_id")
     top = top_k_per_group(revenue, ["category_name"], [desc("revenue")], 3, "product_id", "rank")
     return top.select("category_name", "rank", "product_id", "product_name", "revenue").orderBy(
         "category_name", "rank"
@@ -195,7 +195,7 @@ def q09_category_price_stock(shop: Shop) -> DataFrame:
 
 def _top_products(shop: Shop, status: str, n: int) -> DataFrame:
     cut = top_n(_product_sums(shop, status), [desc("units")], n, "product_id")
-    return top_n(cut.join(shop.catalogue, "product_id"), [desc("units")], n, "product_id")
+    return top_n(cut.join(shop.named_products, "product_id"), [desc("units")], n, "product_id")
 
 
 @question
@@ -232,7 +232,7 @@ def q11_coupon_performance(shop: Shop) -> DataFrame:
 
 @question
 def q12_unsold_products(shop: Shop) -> DataFrame:
-    unsold = unmatched(shop.catalogue, shop.order_items, "product_id", "product_id")
+    unsold = unmatched(shop.named_products, shop.order_items, "product_id", "product_id")
     return top_n(unsold, [desc("stock")], 50, "product_id").select(
         "product_name", "category_name", "stock", F.col("price").alias("unit_price")
     )
@@ -310,10 +310,10 @@ def q19_monthly_cancel_cost(shop: Shop) -> DataFrame:
 
 @question
 def q20_category_revenue(shop: Shop) -> DataFrame:
-    sums = _product_sums(shop, "completed").join(shop.catalogue, "product_id")
+    sums = _product_sums(shop, "completed").join(shop.named_products, "product_id")
     by_category = grouped_summary(
         sums,
-        ["category_id", "category_name"],
+        ["category_name"],
         {"line_count": F.sum("line_count"), "revenue": _sum_money("revenue")},
     )
     return by_category.select("category_name", "line_count", "revenue").orderBy(
@@ -324,7 +324,7 @@ def q20_category_revenue(shop: Shop) -> DataFrame:
 @question
 def q21_tied_capital(shop: Shop) -> DataFrame:
     value = exact.money(F.col("stock") * F.col("price"))
-    stocked = shop.catalogue.filter(F.col("stock") > 0).withColumn("value", value)
+    stocked = shop.named_products.filter(F.col("stock") > 0).withColumn("value", value)
     return top_n(stocked, [desc("value")], 20, "product_id").select(
         "product_name", "category_name", "stock", F.col("price").alias("unit_price"), "value"
     )
@@ -390,7 +390,7 @@ def q27_aov_by_discount(shop: Shop) -> DataFrame:
 
 @question
 def q28_critical_stock(shop: Shop) -> DataFrame:
-    low = shop.catalogue.filter(F.col("stock") < 20)
+    low = shop.named_products.filter(F.col("stock") < 20)
     return top_n(low, [asc("stock")], 30, "product_id").select(
         "product_name", "category_name", "stock", F.col("price").alias("unit_price")
     )
@@ -421,10 +421,10 @@ def q32_category_cancel_rate(shop: Shop) -> DataFrame:
         shop.sales("status"),
         ["product_id"],
         {"lines": _rows(), "cancelled": F.count_if(F.col("status") == "cancelled")},
-    ).join(shop.catalogue, "product_id")
+    ).join(shop.named_products, "product_id")
     by_category = grouped_summary(
         per_product,
-        ["category_id", "category_name"],
+        ["category_name"],
         {"line_count": F.sum("lines"), "cancelled_count": F.sum("cancelled")},
     )
     return by_category.select(
@@ -559,13 +559,13 @@ def q43_top10_bulk_baskets(shop: Shop) -> DataFrame:
 @question
 def q44_top15_cross_category_orders(shop: Shop) -> DataFrame:
     orders = shop.orders_in("completed").select(F.col("id").alias("order_id"), "total_amount")
-    products = shop.products.select(F.col("id").alias("product_id"), "category_id")
+    products = shop.named_products.select("product_id", "category_name")
     baskets = grouped_summary(
         shop.raw_items.join(products, "product_id"),
         ["order_id"],
         {
             # The set is bounded by the number of categories, and needs one exchange, not two.
-            "category_count": F.size(F.collect_set("category_id")).cast("bigint"),
+            "category_count": F.size(F.collect_set("category_name")).cast("bigint"),
             "units": _units(),
         },
     ).join(orders, "order_id")
@@ -606,7 +606,7 @@ def q47_monthly_growth_inline(shop: Shop) -> DataFrame:
 def q48_rolling7_named(shop: Shop) -> DataFrame:
     return (
         _rolling(shop)
-        .join(shop.product_names, "product_id")
+        .join(shop.named_products.select("product_id", "product_name"), "product_id")
         .orderBy("product_name", desc("day"), "product_id")
         .select("product_name", times.day_start(F.col("day")).alias("day"), "units", "rolling_avg")
     )

@@ -30,7 +30,7 @@ def _items_per_product(shop: Shop) -> DataFrame:
         ["product_id"],
         {"revenue": exact.from_cents(F.sum("line_cents")), "units": F.sum("quantity").cast("bigint")},
     )
-    return sums.join(shop.catalogue, "product_id")
+    return sums.join(shop.named_products, "product_id")
 
 
 def _star_items_per_product(shop: Shop) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,10 +81,14 @@ def first_per_key(rows: DataFrame, key: Sequence[str], first: str) -> DataFrame:
 
 
 def insert_ignore(target: DataFrame, rows: DataFrame, key: Sequence[str], first: str) -> DataFrame:
-    """Rows to append so that ``key`` stays unique: the first per key by ``first``, if still absent."""
-    return first_per_key(rows, key, first).join(target.select(*key), list(key), "left_anti").select(
-        *rows.columns
-    )
+    """Rows to append so that ``key`` stays unique: the first per key by ``first``, if still absent.
+
+    A NULL in the key conflicts with nothing, so such rows are all appended.
+    """
+    exempt = rows.filter(reduce(Column.__or__, [F.col(c).isNull() for c in key]))
+    picked = first_per_key(rows.dropna(subset=list(key)), key, first)
+    absent = picked.join(target.select(*key), list(key), "left_anti").select(*rows.columns)
+    return absent.unionByName(exempt)
 
 
 def create_tables(

@@ -92,8 +92,8 @@ class Shop:
         )
 
     @cached_property
-    def _parts(self) -> DataFrame:
-        """Products with their category's name, before the category is numbered."""
+    def named_products(self) -> DataFrame:
+        """Products with their category's (unique) name, which the given table carries: no join."""
         return (
             self.given("part")
             .filter(F.col("p_type").isNotNull())
@@ -112,7 +112,7 @@ class Shop:
         category = self.categories.select(
             F.col("id").alias("category_id"), F.col("name").alias("category_name")
         )
-        return self._parts.join(category, "category_name")
+        return self.named_products.join(category, "category_name")
 
     @cached_property
     def products(self) -> DataFrame:
@@ -124,10 +124,6 @@ class Shop:
             "stock",
         )
 
-    @cached_property
-    def product_names(self) -> DataFrame:
-        return self._parts.select("product_id", "product_name")
-
     @cached_property
     def orders(self) -> DataFrame:
         key = F.col("o_orderkey")
@@ -249,7 +245,7 @@ class Shop:
             version(3, "1.0", "1999-07-01", None),
         )
         return (
-            self._parts.select("product_id", "price", F.explode(versions).alias("v"))
+            self.named_products.select("product_id", "price", F.explode(versions).alias("v"))
             .filter((F.col("v.number") != 1) | (F.col("product_id") % 7 != 0))
             .select(
                 "product_id",

@@ -44,9 +44,9 @@ def test_clustered_files_skip(spark, shop):
 
 def test_insert_ignore_keeps_keys_unique(spark):
     target = spark.createDataFrame([(1, "old")], "k int, v string")
-    new = spark.createDataFrame([(1, 1, "x"), (2, 5, "late"), (2, 3, "early"), (3, 9, None)], "k int, at int, v string")
+    new = spark.createDataFrame([(1, 1, "x"), (2, 5, "late"), (2, 3, "early"), (3, 9, None), (None, 1, "n"), (None, 2, "n")], "k int, at int, v string")
     added = files.insert_ignore(target, new, ["k"], "at")
-    assert rows(added) == [(2, 3, "early"), (3, 9, None)]
+    assert rows(added) == [(2, 3, "early"), (3, 9, None), (None, 1, "n"), (None, 2, "n")]
 
 
 def test_tables_are_created_once_and_accept_rows(spark, tmp_path):
