@@ -91,7 +91,7 @@ def test_top_k_settles_ties_by_key(spark):
     assert rows(top.select("g", "id", "rank")) == [(0, 0, 1), (0, 2, 2), (1, 1, 1), (1, 3, 2)]
 
 
-def test_top_n_orders_nulls_like_the_reference_database(spark):
+def test_top_n_puts_nulls_first_descending_and_last_ascending(spark):
     df = spark.createDataFrame([(1, None), (2, 5), (3, 9)], "id int, v int")
     assert [r["id"] for r in top_n(df, [desc("v")], 3, "id").collect()] == [1, 3, 2]
     assert [r["id"] for r in top_n(df, [asc("v")], 3, "id").collect()] == [2, 3, 1]

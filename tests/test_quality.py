@@ -1,4 +1,5 @@
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,31 +50,33 @@ def test_clean_shop_has_no_violation(spark, clean):
 
 PLANTED = [
     ("users", (3, None, "h", T0), "not_null", "email"),
-    ("users", (3, "a@x.org", "h", T0), "unique", "email"),
-    ("users", (3, "x" * 256, "h", T0), "length", "email"),
+    ("users", (4, "a@x.org", "h", T0), "unique", "email"),
+    ("users", (5, "x" * 256, "h", T0), "length", "email"),
     ("categories", (2, "y" * 101), "length", "name"),
     ("coupons", (2, "ZERO", 0, T0), "check", "discount_range"),
-    ("coupons", (2, "MUCH", 101, T0), "check", "discount_range"),
+    ("coupons", (3, "MUCH", 101, T0), "check", "discount_range"),
     ("products", (2, 9, "globe", 5, 1), "foreign_key", "category_id"),
-    ("products", (2, 1, "globe", 0, 1), "check", "price_positive"),
-    ("products", (2, 1, "globe", 5, -1), "check", "stock_not_negative"),
+    ("products", (3, 1, "globe", 0, 1), "check", "price_positive"),
+    ("products", (4, 1, "globe", 5, -1), "check", "stock_not_negative"),
     ("orders", (3, 9, None, 5, "completed", T0), "foreign_key", "user_id"),
-    ("orders", (3, 1, 9, 5, "completed", T0), "foreign_key", "coupon_id"),
-    ("orders", (3, 1, None, -1, "completed", T0), "check", "total_not_negative"),
+    ("orders", (4, 1, 9, 5, "completed", T0), "foreign_key", "coupon_id"),
+    ("orders", (5, 1, None, -1, "completed", T0), "check", "total_not_negative"),
     ("order_items", (2, 1, 1, 0, 5), "check", "quantity_positive"),
-    ("order_items", (2, 7, 1, 1, 5), "foreign_key", "order_id"),
+    ("order_items", (3, 7, 1, 1, 5), "foreign_key", "order_id"),
     ("payments", (2, 1, 5, "success"), "unique", "order_id"),
     ("shipments", (3, 1, None, "shipped"), "unique", "order_id"),
     ("reviews", (2, 2, 1, 6, None), "check", "rating_range"),
-    ("reviews", (2, 1, 1, 4, None), "unique", "user_id+product_id"),
+    ("reviews", (3, 1, 1, 4, None), "unique", "user_id+product_id"),
     ("inventory_movements", (2, 1, 3, None, T0), "not_null", "reason"),
 ]
 
 
-@pytest.mark.parametrize("table,row,rule,subject", PLANTED)
-def test_exactly_the_planted_violation_is_reported(spark, clean, table, row, rule, subject):
-    clean[table].append(row)
-    assert violations(spark, clean) == {(table, rule, subject): 1}
+def test_exactly_the_planted_violations_are_reported(spark, clean):
+    expected = Counter()
+    for table, row, rule, subject in PLANTED:
+        clean[table].append(row)
+        expected[table, rule, subject] += 1
+    assert violations(spark, clean) == dict(expected)
 
 
 def test_violating_rows_are_returned(spark):
