@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato import scratch
+from mercato.llm.decontaminate import decontaminated
+from mercato.llm.jaccard import one_of_each
 from mercato.llm.langid import recognised
 from mercato.llm.packing import pack
+from mercato.llm.pii import masked
 from mercato.llm.queries import VOCABULARY
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,6 +22,21 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return recognised(docs)
 
 
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest id."""
+    return one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark phrases are cut out; documents with nothing else go."""
+    return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is masked; every document stays."""
+    return masked(docs)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every kept document's tokens, packed into sequences."""
     return pack(docs, VOCABULARY)
@@ -26,6 +44,9 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", language_id),
+    ("jaccard_join", jaccard_join),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
     ("best_fit_packing", best_fit_packing),
 ]
 

@@ -210,19 +210,23 @@ def training_words(df: DataFrame, key: str, text: str, label: str) -> list[tuple
     The rows with the smallest hashes are taken, and in each the words at evenly spread places.
     """
     labelled = df.filter(F.col(label).isNotNull() & F.col(text).isNotNull() & ~held_out(key))
-    languages = [
-        r[0]
+    counts = {
+        r["lang"]: r["count"]
         for r in labelled.groupBy(F.col(label).cast("string").alias("lang"))
         .count()
         .orderBy(F.desc("count"), "lang")
         .limit(LANGUAGES)
         .collect()
-    ]
+    }
+    if not counts:
+        return []
+    # Hashes that about four times as many rows have as are wanted: no language's rows meet in one task.
+    bounds = {lang: F.lit(min(1 << 30, (4 * DOCUMENTS << 30) // n + 1)) for lang, n in counts.items()}
+    bound = F.coalesce(*[F.when(F.col("lang") == lang, b) for lang, b in bounds.items()])
     names = labelled.select(F.col(label).cast("string").alias("lang"), F.col(key).alias("id"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = (
-        names.filter(F.col("lang").isin(languages))
-        .distinct()
+        names.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < bound)
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= DOCUMENTS)
         .select("id")
@@ -244,7 +248,7 @@ def training_words(df: DataFrame, key: str, text: str, label: str) -> list[tuple
 
     # The same id may come several times: only as many rows are read as were chosen.
     rows = labelled.filter(F.col(key).isin(ids)).select(F.col(label).cast("string"), F.col(text).cast("string"))
-    pairs = rows.limit(DOCUMENTS * len(languages)).mapInArrow(run, "lang string, word binary")
+    pairs = rows.limit(DOCUMENTS * len(counts)).mapInArrow(run, "lang string, word binary")
     return sorted((r["lang"], bytes(r["word"])) for r in pairs.collect())
 
 
@@ -322,7 +326,7 @@ def _judge(df: DataFrame, columns: list[str], key: str, text: str, label: str) -
         labels = np.array([places[lang] for lang, _ in pairs], dtype=np.int64)
         network = train([word for _, word in pairs], labels, languages)
     # Some kilobytes: the parameters do not depend on the data but for the number of languages.
-    shared = df.sparkSession.sparkContext.broadcast(network)
+    shared = tasks.Shared(df.sparkSession, network)
     name = uuid.uuid4().hex
     source = "judged text"
 

@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from mercato.llm.decontaminate import contaminated_spans
+from mercato.llm.jaccard import linked_components
 from mercato.llm.langid import identify
 from mercato.llm.packing import pack
+from mercato.llm.pii import personal_data
 from mercato.llm.tokens import token_counts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +26,28 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), VOCABULARY)
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return linked_components(_table(spark, folder, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = (_table(spark, folder, name) for name in ("documents", "benchmark"))
+    found = contaminated_spans(documents, benchmark, ["doc_id"])
+    hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(_table(spark, folder, "documents"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(_table(spark, folder, "documents"))
 
@@ -32,6 +58,9 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_jaccard_join": op2_jaccard_join,
+    "op3_decontamination": op3_decontamination,
+    "op4_personal_data": op4_personal_data,
     "op5_language_id": op5_language_id,
     "op8_best_fit_packing": op8_best_fit_packing,
 }

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import sys
+import uuid
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Task functions travel with the job, so workers need no copy of the package.
@@ -29,6 +31,24 @@ def worker_cache(name: str, make: Callable[[], object]) -> object:
     return kept[name]
 
 
+class Shared:
+    """A small object broadcast once, with the code of its class; the proven bound is its maker's."""
+
+    def __init__(self, spark: SparkSession, value: object) -> None:
+        self.name = uuid.uuid4().hex
+        self.packed = spark.sparkContext.broadcast(zlib.compress(cloudpickle.dumps(value), 1))
+
+    @property
+    def value(self) -> object:
+        """The object, unpacked once per worker; the one unpacked before is let go."""
+        kept = worker_cache("shared", dict)
+        if self.name not in kept:
+            if len(kept) > 8:
+                kept.clear()
+            kept[self.name] = cloudpickle.loads(zlib.decompress(self.packed.value))
+        return kept[self.name]
+
+
 def slices(batch: pa.RecordBatch, text: int, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about ``most`` bytes of text; a longer row comes alone."""
     if batch.num_rows == 0:
