@@ -38,8 +38,6 @@ COUNTED = 1 << 21
 TRIE_SETS = 256
 # Members that meet in one group of a frequent n-gram.
 GROUP = 4_096
-# Bits of the filter that spares rows a shuffle; a full filter only spares less.
-FILTER_BITS = 1 << 23
 
 LOWER, WORD = tasks.byte_tables(lambda b: b != 32 and not 9 <= b <= 13)
 _STEP = np.uint64(0x9FB21C651E98DF25)
@@ -210,31 +208,6 @@ def _match(probe_links: bool) -> Callable[[tuple, pa.Table], pa.Table]:
 # --- The join -------------------------------------------------------------------------------------
 
 
-def _bits(values: np.ndarray) -> np.ndarray:
-    return (tasks.mix(values.view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
-
-
-def membership(df: DataFrame) -> np.ndarray:
-    """A filter of fixed size over one column of longs, made as a tree: what it lacks is not in the column."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(FILTER_BITS, bool)
-        for batch in batches:
-            seen[_bits(batch.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64))] = True
-        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(seen).tobytes(), 1)], pa.binary())], names=["record"])
-
-    def merge(records: list[bytes]) -> bytes:
-        seen = np.zeros(FILTER_BITS // 8, np.uint8)
-        for record in records:
-            seen |= np.frombuffer(zlib.decompress(record), np.uint8)
-        return zlib.compress(seen.tobytes(), 1)
-
-    made = tasks.tree_merge(df.mapInArrow(run, "record binary"), merge)
-    if made is None:
-        return np.zeros(FILTER_BITS, bool)
-    return np.unpackbits(np.frombuffer(zlib.decompress(made), np.uint8)).astype(bool)
-
-
 def _signed(rows: DataFrame) -> DataFrame:
     """Per row its set's size and digest, and per task a table of frequent n-grams (in ``counts``)."""
 
@@ -288,7 +261,7 @@ def _ordered(rows: DataFrame, shared, shares: np.ndarray | None, wanted=None) ->
                 sets = [s for s in shingle_sets(part.column(1)) if len(s)]
                 digests = [_digest(s) for s in sets]
                 if wanted is not None and sets:
-                    kept = wanted.value[_bits(np.array([d[0] for d in digests]))]
+                    kept = wanted.value[tasks.filter_bits(np.array([d[0] for d in digests]))]
                     sets = [s for s, k in zip(sets, kept, strict=True) if k]
                     digests = [d for d, k in zip(digests, kept, strict=True) if k]
                 ordered = [order_keys(s, named, ranks) for s in sets]
@@ -440,7 +413,7 @@ def _labels(rows: DataFrame, classes: DataFrame, shared, shares: np.ndarray) ->
     )
     involved = met.select("class").distinct().join(classes, "class").select("d1", "d2", "class")
     involved = scratch.materialize(involved, "involved")
-    wanted = rows.sparkSession.sparkContext.broadcast(membership(involved.select("d1")))
+    wanted = rows.sparkSession.sparkContext.broadcast(tasks.membership(involved.select("d1")))
     whole = _ordered(rows, shared, None, wanted).drop("size")
     sets = scratch.materialize(whole.join(involved, ["d1", "d2"]).select("class", "grams"), "sets")
 
@@ -521,7 +494,7 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """
     found = linked_components(df, key, text)
     dropped = scratch.materialize(found.filter(F.col(key) != F.col("component_id")).select(key).distinct(), "dropped")
-    seen = df.sparkSession.sparkContext.broadcast(membership(dropped.select(F.col(key).cast("bigint"))))
+    seen = df.sparkSession.sparkContext.broadcast(tasks.membership(dropped.select(F.col(key).cast("bigint"))))
     named = [*df.columns]
 
     def split(flagged: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -530,7 +503,7 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keys = batch.column(at).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                maybe = seen.value[_bits(keys)] & ~batch.column(at).is_null().to_numpy(zero_copy_only=False)
+                maybe = seen.value[tasks.filter_bits(keys)] & ~batch.column(at).is_null().to_numpy(zero_copy_only=False)
                 yield batch.filter(pa.array(maybe == flagged))
 
         return run

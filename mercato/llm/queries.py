@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 from mercato.llm.decontaminate import contaminated_spans
 from mercato.llm.jaccard import linked_components
 from mercato.llm.langid import identify
+from mercato.llm.maintext import extracted
 from mercato.llm.packing import pack
 from mercato.llm.pii import personal_data
+from mercato.llm.sharding import sharded
 from mercato.llm.tokens import token_counts
+from mercato.llm.topk import nearest
+from mercato.llm.warc import archived
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -52,17 +56,68 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(_table(spark, folder, "documents"))
 
 
+def op6_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharded(_table(spark, folder, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op7_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(_table(spark, folder, "embeddings"))
+
+
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"), VOCABULARY)
 
 
+def op9_warc_records(spark: SparkSession, folder: str) -> DataFrame:
+    return archived(_table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extracted(_table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_decontamination": op3_decontamination,
     "op4_personal_data": op4_personal_data,
     "op5_language_id": op5_language_id,
+    "op6_histogram_shards": op6_histogram_shards,
+    "op7_exact_topk": op7_exact_topk,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_warc_records": op9_warc_records,
+    "op10_main_text": op10_main_text,
 }
 
-SQL: dict[str, str] = {}
+_INTEGERS = "list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))"
+
+SQL: dict[str, str] = {
+    "op7_exact_topk": f"""
+        WITH usable AS (
+            SELECT row_number() OVER () AS turn, vec_id, {_INTEGERS} AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ), pairs AS (
+            SELECT q.turn, q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+            FROM usable q JOIN usable c ON q.turn <> c.turn AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT query_id, vec_id, score,
+                   CAST(row_number() OVER (PARTITION BY turn ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM pairs
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}
