@@ -98,26 +98,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc_records": op9_warc_records,
     "op10_main_text": op10_main_text,
 }
-
-_INTEGERS = "list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))"
-
-SQL: dict[str, str] = {
-    "op7_exact_topk": f"""
-        WITH usable AS (
-            SELECT row_number() OVER () AS turn, vec_id, {_INTEGERS} AS v
-            FROM embeddings
-            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
-        ), pairs AS (
-            SELECT q.turn, q.vec_id AS query_id, c.vec_id,
-                   CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
-            FROM usable q JOIN usable c ON q.turn <> c.turn AND len(q.v) = len(c.v)
-            WHERE q.vec_id % 20 = 0
-        ), ranked AS (
-            SELECT query_id, vec_id, score,
-                   CAST(row_number() OVER (PARTITION BY turn ORDER BY score DESC, vec_id) AS INTEGER) AS rank
-            FROM pairs
-        )
-        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
-    """,
-}
