@@ -1,10 +1,12 @@
 """Positions in a global order without sorting in one task.
 
 ``add_ntiles`` and ``median_of`` need only a few exact order statistics.  They are found by
-narrowing: an approximate quantile brackets the wanted position, one exact count decides on
-which side of the bracket it lies, and the remaining interval is narrowed again until at most
-``SMALL`` rows are left to look at.  Each step is an aggregation with one row per task in the
-exchange, so nothing is shuffled and no value, however frequent, fills a task.
+narrowing: two approximate quantiles bracket the wanted position and a few remaining
+values drawn by lot lie anywhere; exact counts decide between which of these pivots, or at which, the
+position is.  That interval is narrowed again until a pivot is the row looked for.  As some pivots
+are values that remain, every round leaves fewer rows, whatever the values are.  Each step is an
+aggregation with one row per task in the exchange: no row is shuffled or fetched, and no value,
+however frequent, fills a task.
 
 ``surrogate_key`` numbers every row: a range exchange on the whole key, a number inside each
 range, and the offset of each range.
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 
 from mercato import scratch
 
-# Rows of one remaining interval that are fetched instead of narrowed further.
-SMALL = 5_000
+# Remaining values drawn by lot among the pivots of a round.
+SAMPLED = 3
 # Each round keeps about 4/ACCURACY of the rows.  Tasks send sketches of about ACCURACY values per
 # search to one merging task, so a fine bracket would cost more than another round.
 ACCURACY = 256
@@ -82,10 +84,14 @@ class _Search:
         else:
             self.fix_key(value, rank, size)
 
-    def narrow(self, a: Any, b: Any, below: int, at_a: int, between: int, at_b: int) -> None:
-        """Pick the part that holds the position; counts are for < a, = a, between, = b."""
-        above = self.size - below - at_a - between - at_b
-        parts = [(below, None, a), (at_a, a, a), (between, a, b), (at_b, b, b), (above, b, None)]
+    def narrow(self, pivots: Sequence[Any], below: Sequence[int], equal: Sequence[int]) -> None:
+        """Pick the part that holds the position; counts are between pivots (below each) and at them."""
+        size = self.size
+        parts, low = [], None
+        for pivot, between, same in zip(pivots, below, equal, strict=True):
+            parts += [(between, low, pivot), (same, pivot, pivot)]
+            low = pivot
+        parts.append((size - sum(below) - sum(equal), low, None))
         if self.backwards:
             parts.reverse()
         rank = self.rank
@@ -95,10 +101,12 @@ class _Search:
                 continue
             if low is not None and low == high:
                 self.settle(low, rank, count)
-            else:
-                self.low = self.low if low is None else low
-                self.high = self.high if high is None else high
-                self.rank, self.size = rank, count
+                return
+            if count >= size:
+                raise AssertionError("a round must leave fewer rows")
+            self.low = self.low if low is None else low
+            self.high = self.high if high is None else high
+            self.rank, self.size = rank, count
             return
         raise AssertionError("position outside the frame")
 
@@ -120,45 +128,38 @@ def _start(searches: list[_Search], nulls: Mapping[str, int]) -> None:
             s.size = known
 
 
-def _bracket(df: DataFrame, wide: list[_Search]) -> None:
+def _round(df: DataFrame, searches: list[_Search], number: int) -> None:
+    """Narrows every search: one pass for pivots, one for exact counts."""
     margin = 2.0 / ACCURACY
-    quantiles = []
-    for s in wide:
+    found = []
+    for i, s in enumerate(searches):
         at = (s.rank - 0.5) / s.size
         at = 1 - at if s.backwards else at
         points = [max(0.0, at - margin), min(1.0, at + margin)]
-        quantiles.append(
-            F.percentile_approx(F.when(s.remaining(), F.col(s.column)), points, ACCURACY)
-        )
-    edges = df.agg(*[q.alias(f"q{i}") for i, q in enumerate(quantiles)]).first()
+        left, here = s.remaining(), F.col(s.column)
+        found.append(F.percentile_approx(F.when(left, here), points, ACCURACY).alias(f"q{i}"))
+        names = [c for c in (s.order.key, s.order.tie) if c]
+        for j in range(SAMPLED):
+            lot = F.xxhash64(*names, F.lit(number * SAMPLED + j))
+            found.append(F.min_by(here, F.when(left, lot)).alias(f"r{i}_{j}"))
+    row = df.agg(*found).first()
+    pivots = [
+        sorted({*row[f"q{i}"], *(row[f"r{i}_{j}"] for j in range(SAMPLED))}) for i in range(len(searches))
+    ]
     counts = []
-    for i, s in enumerate(wide):
-        a, b = edges[i]
-        here, left = F.col(s.column), s.remaining()
-        at_b = F.lit(False) if a == b else here == F.lit(b)
-        tests = (here < F.lit(a), here == F.lit(a), (here > F.lit(a)) & (here < F.lit(b)), at_b)
-        counts += [F.count_if(left & t).alias(f"c{i}_{j}") for j, t in enumerate(tests)]
+    for i, s in enumerate(searches):
+        left, here, low = s.remaining(), F.col(s.column), F.lit(True)
+        for j, pivot in enumerate(pivots[i]):
+            value = F.lit(pivot)
+            counts += [
+                F.count_if(left & low & (here < value)).alias(f"b{i}_{j}"),
+                F.count_if(left & (here == value)).alias(f"e{i}_{j}"),
+            ]
+            low = here > value
     row = df.agg(*counts).first()
-    for i, s in enumerate(wide):
-        s.narrow(*edges[i], *row[4 * i : 4 * i + 4])
-
-
-def _fetch(df: DataFrame, narrow: list[_Search]) -> None:
-    """Read the few remaining rows of every search in one pass."""
-    hits = F.array_compact(F.array(*[F.when(s.remaining(), F.lit(i)) for i, s in enumerate(narrow)]))
-    columns = sorted({c for s in narrow for c in (s.order.key, s.order.tie) if c})
-    tagged = df.select(*columns, hits.alias("_hits")).filter(F.size("_hits") > 0)
-    pools: list[list] = [[] for _ in narrow]
-    for row in tagged.collect():
-        for i in row["_hits"]:
-            pools[i].append(row)
-    for s, pool in zip(narrow, pools):
-        if s.order.tie is not None:
-            pool.sort(key=lambda row: row[s.order.tie])
-        if not s.fixed[0]:
-            pool.sort(key=lambda row: row[s.order.key], reverse=s.order.descending)
-        row = pool[s.rank - 1]
-        s.found = (row[s.order.key], row[s.order.tie] if s.order.tie else None)
+    for i, s in enumerate(searches):
+        places = range(len(pivots[i]))
+        s.narrow(pivots[i], [row[f"b{i}_{j}"] for j in places], [row[f"e{i}_{j}"] for j in places])
 
 
 def _sizes(df: DataFrame, keys: set[str]) -> tuple[int, dict[str, int]]:
@@ -175,12 +176,10 @@ def rows_at(
     """(key, tie) of the row at each 1-based position; ``df`` should be a stored table."""
     searches = [_Search(order, rank, size) for order, rank in wanted]
     _start(searches, nulls)
+    number = 0
     while open_ones := [s for s in searches if s.found is None]:
-        wide = [s for s in open_ones if s.size > SMALL]
-        if wide:
-            _bracket(df, wide)
-        else:
-            _fetch(df, open_ones)
+        _round(df, open_ones, number)
+        number += 1
     return [s.found for s in searches]
 
 
