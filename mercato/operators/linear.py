@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from fractions import Fraction
 from itertools import combinations_with_replacement
 
@@ -53,49 +53,70 @@ def ridge_fit(df: DataFrame, features: Sequence[str], label: str, penalty: float
     return df.sparkSession.createDataFrame(terms, "term string, coefficient double")
 
 
-def _comoments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One task's sums and sums of products, for every pair of positions i <= j."""
-    n, total, cross = 0, None, None
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One task's sums per position."""
+    n, total = 0, None
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        vectors = batch.column(0)
-        flat = np.asarray(vectors.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
-        rows = flat.reshape(batch.num_rows, -1)
-        if total is None:
-            total, cross = np.zeros(rows.shape[1]), np.zeros((rows.shape[1],) * 2)
-        n += batch.num_rows
-        total += rows.sum(axis=0)
-        cross += rows.T @ rows
-    if total is None:
-        return
-    i, j = np.triu_indices(len(total))
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(i.astype(np.int32)),
-            pa.array(j.astype(np.int32)),
-            pa.array(np.full(len(i), n, dtype=np.int64)),
-            pa.array(total[i]),
-            pa.array(total[j]),
-            pa.array(cross[i, j]),
-        ],
-        names=["i", "j", "n", "si", "sj", "sij"],
-    )
+        if batch.num_rows:
+            rows = _rows(batch)
+            n += batch.num_rows
+            total = rows.sum(axis=0) if total is None else total + rows.sum(axis=0)
+    if total is not None:
+        places = pa.array(np.arange(len(total), dtype=np.int32))
+        counts = pa.array(np.full(len(total), n, dtype=np.int64))
+        yield pa.RecordBatch.from_arrays([places, counts, pa.array(total)], names=["i", "n", "s"])
+
+
+def _rows(batch: pa.RecordBatch) -> np.ndarray:
+    flat = np.asarray(batch.column(0).flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
+    return flat.reshape(batch.num_rows, -1)
+
+
+def _comoments(
+    centre: np.ndarray,
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One task's sums and sums of products of what is left after ``centre``, for positions i <= j."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, cross = 0, np.zeros(len(centre)), np.zeros((len(centre),) * 2)
+        for batch in batches:
+            if batch.num_rows:
+                rows = _rows(batch) - centre
+                n += batch.num_rows
+                total += rows.sum(axis=0)
+                cross += rows.T @ rows
+        if n:
+            i, j = np.triu_indices(len(centre))
+            counts = np.full(len(i), n, dtype=np.int64)
+            places = [pa.array(x.astype(np.int32)) for x in (i, j)]
+            sums = [pa.array(x) for x in (counts, total[i], total[j], cross[i, j])]
+            yield pa.RecordBatch.from_arrays([*places, *sums], names=["i", "j", "n", "si", "sj", "sij"])
+
+    return run
 
 
 def covariance(df: DataFrame, vector: str) -> DataFrame:
     """(i, j, covariance) for i <= j: the sample covariance of the vector's positions.
 
-    Each task sends one number per pair of positions, whatever its number of rows.
+    A first pass takes the means (one number per position reaches the driver, at most ``MAX_WIDTH``),
+    the second sums products of what is left after them, so values far from zero lose no digits.  Each
+    task sends one number per pair of positions, whatever its number of rows.
     """
-    partial = (
-        df.select(F.col(vector).cast("array<double>").alias("v"))
-        .filter(F.col("v").isNotNull())
-        .mapInArrow(_comoments, "i int, j int, n bigint, si double, sj double, sij double")
+    vectors = df.select(F.col(vector).cast("array<double>").alias("v")).filter(F.col("v").isNotNull())
+    width = vectors.agg(F.max(F.size("v"))).first()[0] or 0
+    if width > MAX_WIDTH:
+        raise ValueError(f"vectors wider than {MAX_WIDTH}")
+    sums = vectors.mapInArrow(_sums, "i int, n bigint, s double").groupBy("i")
+    centre = np.zeros(width)
+    for i, n, total in sums.agg(F.sum("n"), F.sum("s")).collect():
+        centre[i] = total / n
+    partial = vectors.mapInArrow(
+        _comoments(centre), "i int, j int, n bigint, si double, sj double, sij double"
     )
     sums = partial.groupBy("i", "j").agg(
         *[F.sum(c).alias(c) for c in ("n", "si", "sj", "sij")]
     )
+    # What the rounded means leave over.
     centred = F.col("sij") - F.col("si") * F.col("sj") / F.col("n")
     return sums.select("i", "j", (centred / F.nullif(F.col("n") - 1, F.lit(0))).alias("covariance"))
 
@@ -105,14 +126,12 @@ def pca(df: DataFrame, vector: str, k: int) -> DataFrame:
 
     Only the covariance matrix, whose width is checked, comes to the driver.
     """
-    matrix = covariance(df, vector)
-    width = matrix.agg(F.max("j")).first()[0]
-    if width is None:
+    entries = covariance(df, vector).collect()
+    if not entries:
         raise ValueError("no vectors")
-    if width + 1 > MAX_WIDTH:
-        raise ValueError(f"vectors wider than {MAX_WIDTH}")
+    width = max(j for _, j, _ in entries)
     symmetric = np.zeros((width + 1, width + 1))
-    for i, j, value in matrix.collect():
+    for i, j, value in entries:
         symmetric[i, j] = symmetric[j, i] = value
     values, directions = np.linalg.eigh(symmetric)
     total = float(values.sum())

@@ -98,3 +98,16 @@ def test_ridge_solves_collinear_features(spark):
     ).withColumn("y", F.col("a"))
     fit = dict(rows(ridge_fit(df, ["a", "b"], "y", 0.1)))
     assert abs(fit["a"] + 2 * fit["b"] - 1) < 1e-3
+
+
+def test_covariance_far_from_zero_keeps_its_digits(spark):
+    """Plain sums of products would lose them all: values near 1e8, variance 1/12."""
+    df = spark.range(20_000).select(
+        F.array(*[F.lit(1e8) + (F.abs(F.xxhash64("id", F.lit(i))) % 1_000_000) / 1e6 for i in range(3)]).alias("v")
+    )
+    found = {(r["i"], r["j"]): r["covariance"] for r in covariance(df.repartition(5), "v").collect()}
+    data = np.array([r["v"] for r in df.collect()])
+    expected = np.cov((data - data.mean(axis=0)).T)
+    for (i, j), value in found.items():
+        assert value == pytest.approx(expected[i, j], rel=1e-7, abs=1e-9)
+    assert all(r["variance"] > 0 for r in pca(df, "v", 3).collect())
