@@ -133,8 +133,8 @@ def _with_line_total(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def reconcile_order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Orders with their total replaced by the sum of their lines."""
-    total = F.col("line_total").alias("total_amount")
+    """Orders with their total replaced by the sum of their lines, in the column's own type."""
+    total = F.col("line_total").cast(orders.schema["total_amount"].dataType).alias("total_amount")
     columns = [total if c == "total_amount" else F.col(c) for c in orders.columns]
     return _with_line_total(orders, items).select(*columns)
 

@@ -155,8 +155,8 @@ def _with_email(shop: Shop, rows: DataFrame) -> DataFrame:
 def _top_users(
     shop: Shop, status_rows: DataFrame, order: list[Column], n: int
 ) -> DataFrame:
-    cut = top_n(_per_user(shop, status_rows), order, n, "user_id")
-    return top_n(_with_email(shop, cut), order, n, "user_id")
+    """The list is cut after the names are joined: a sum without a user must not shorten it."""
+    return top_n(_with_email(shop, _per_user(shop, status_rows)), order, n, "user_id")
 
 
 @question
@@ -194,8 +194,8 @@ def q09_category_price_stock(shop: Shop) -> DataFrame:
 
 
 def _top_products(shop: Shop, status: str, n: int) -> DataFrame:
-    cut = top_n(_product_sums(shop, status), [desc("units")], n, "product_id")
-    return top_n(cut.join(shop.named_products, "product_id"), [desc("units")], n, "product_id")
+    named = _product_sums(shop, status).join(shop.named_products, "product_id")
+    return top_n(named, [desc("units")], n, "product_id")
 
 
 @question
@@ -283,8 +283,7 @@ def q16_repeat_customers(shop: Shop) -> DataFrame:
 def q17_one_time_buyers(shop: Shop) -> DataFrame:
     once = _per_user(shop, shop.orders_in("completed")).filter(F.col("order_count") == 1)
     order = [desc("total_spent")]
-    cut = top_n(once, order, 50, "user_id")
-    return top_n(_with_email(shop, cut), order, 50, "user_id").select(
+    return top_n(_with_email(shop, once), order, 50, "user_id").select(
         "user_id", "email", F.col("total_spent").alias("revenue")
     )
 
@@ -404,8 +403,8 @@ def q29_avg_daily_orders(shop: Shop) -> DataFrame:
 
 @question
 def q30_largest_order(shop: Shop) -> DataFrame:
-    largest = top_n(shop.orders_in("completed"), [desc("total_amount")], 1, "id")
-    return _with_email(shop, largest).select(
+    placed = _with_email(shop, shop.orders_in("completed"))
+    return top_n(placed, [desc("total_amount")], 1, "id").select(
         "email", F.col("id").alias("order_id"), "total_amount", "created_at"
     )
 
@@ -525,8 +524,7 @@ def q40_top15_returners(shop: Shop) -> DataFrame:
 @question
 def q41_abandoned_carts(shop: Shop) -> DataFrame:
     order = [desc("created_at")]
-    cut = top_n(shop.orders_in("pending"), order, 50, "id")
-    return top_n(_with_email(shop, cut), order, 50, "id").select(
+    return top_n(_with_email(shop, shop.orders_in("pending")), order, 50, "id").select(
         "email", F.col("id").alias("order_id"), "total_amount", "created_at"
     )
 
@@ -550,8 +548,8 @@ def q43_top10_bulk_baskets(shop: Shop) -> DataFrame:
         F.col("id").alias("order_id"), "user_id", "total_amount"
     )
     order = [desc("units")]
-    cut = top_n(_basket_units(shop).join(orders, "order_id"), order, 10, "order_id")
-    return top_n(_with_email(shop, cut), order, 10, "order_id").select(
+    baskets = _with_email(shop, _basket_units(shop).join(orders, "order_id"))
+    return top_n(baskets, order, 10, "order_id").select(
         "order_id", "email", "units", "total_amount"
     )
 

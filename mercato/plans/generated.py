@@ -136,8 +136,8 @@ def c2_unique(shop: Shop) -> DataFrame:
 
 @question
 def c3_foreign_key(shop: Shop) -> DataFrame:
-    """Lines of orders the model leaves out."""
-    return quality.check_foreign_key(shop.raw_items, "order_id", shop.orders)
+    """Paid orders without a shipment."""
+    return quality.check_foreign_key(shop.payments, "order_id", shop.shipments)
 
 
 @question
@@ -161,7 +161,7 @@ def c6_apply_defaults(shop: Shop) -> DataFrame:
 
 @question
 def s8_insert_ignore(shop: Shop) -> DataFrame:
-    """First event of every user who never ordered."""
-    buyers = shop.orders.select("user_id").distinct()
+    """First event of every user who never returned an order."""
+    buyers = shop.orders_in("returned").select("user_id").distinct()
     events = shop.given("events").select("user_id", "event_id", "event_type")
     return insert_ignore(buyers, events, ["user_id"], "event_id")

@@ -1,6 +1,6 @@
 """Selective reads: once on the plain tables, once on a file layout made for them.
 
-A layout is written once per application and folder, as an index would be created once.
+A layout is written once per application and state of the folder, as an index would be created once.
 """
 
 from __future__ import annotations
@@ -31,11 +31,11 @@ SUFFIX, PREFIX = "example.com", "customer.0000001"
 LOOKED_UP_ORDER = 750
 CANCELLED_SINCE = "2000-01-01 00:00:00"
 
-_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+_WRITTEN: dict[tuple, DataFrame] = {}
 
 
 def _layout(shop: Shop, name: str, write: Callable[[str], None], read: Callable[[str], DataFrame]) -> DataFrame:
-    key = (shop.spark.sparkContext.applicationId, shop.folder, name)
+    key = (shop.spark.sparkContext.applicationId, shop.folder, shop.version, name)
     if key not in _WRITTEN:
         path = scratch.new_path(shop.spark, name)
         write(path)

@@ -21,6 +21,19 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def listing(spark: SparkSession, folder: str) -> tuple[tuple, ...]:
+    """Per table below ``folder`` its name, time, number of files and bytes: a few calls each."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in system.globStatus(path) or ():
+        summary = system.getContentSummary(status.getPath())
+        found.append(
+            (status.getPath().getName(), status.getModificationTime(), summary.getFileCount(), summary.getLength())
+        )
+    return tuple(sorted(found))
+
+
 def month_id(date_id: str) -> Column:
     """yyyymm of a yyyymmdd column."""
     return F.call_function("div", F.col(date_id), F.lit(100)).cast("int")
@@ -61,18 +74,6 @@ def write_clustered(
     writer.parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> None:
-    """A table bucketed and sorted by ``key``: joins and groupings on it need no exchange."""
-    (
-        df.repartition(buckets, key)
-        .write.mode("overwrite")
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .option("path", path)
-        .saveAsTable(table)
-    )
-
-
 def first_per_key(rows: DataFrame, key: Sequence[str], first: str) -> DataFrame:
     """The row with the smallest ``first`` per key: a map-side combinable aggregate, no window."""
     rest = [c for c in rows.columns if c not in key]

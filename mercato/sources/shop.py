@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from mercato.functions import times
 from mercato.session import tune
-from mercato.sources.files import read_table
+from mercato.sources.files import listing, read_table
 from mercato.sources.schemas import GIVEN
 
 # Sorting by these makes a line number independent of the file order; rows equal in all of
@@ -31,6 +31,10 @@ LINE_ORDER = (
 )
 
 EMPTY_CATEGORY = (99, "EMPTY")
+# Added users and products have ids above this; nobody orders them.
+ADDED = 1_000_000_000
+# Parts from this size on are also sold as a second edition.
+SECOND_EDITION = 49
 
 
 def _amount(column: str, width: int = 10) -> Column:
@@ -44,20 +48,31 @@ class Shop:
         self.spark = tune(spark)
         self.folder = folder.rstrip("/")
 
+    @cached_property
+    def version(self) -> tuple[tuple, ...]:
+        """What the folder held when it was first asked for: derived tables are made anew for another."""
+        return listing(self.spark, self.folder)
+
     def given(self, table: str) -> DataFrame:
         return read_table(self.spark, f"{self.folder}/{table}.parquet", GIVEN.get(table))
 
     @cached_property
     def users(self) -> DataFrame:
-        key = F.col("c_custkey")
-        domain = F.when(key % 10 < 3, "@example.com").otherwise("@example.org")
-        signup = F.date_add(F.lit("1995-01-01").cast("date"), (key % 730).cast("int"))
-        return self.given("customer").select(
-            key.alias("id"),
-            F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), domain).alias("email"),
-            F.lit("x").alias("password_hash"),
-            signup.cast("timestamp_ntz").alias("created_at"),
-        )
+        """Customers, and suppliers as users who never order."""
+
+        def signed_up(table: str, prefix: str, shift: int) -> DataFrame:
+            key = F.col(f"{prefix}key")
+            domain = F.when(key % 10 < 3, "@example.com").otherwise("@example.org")
+            signup = F.date_add(F.lit("1995-01-01").cast("date"), (key % 730).cast("int"))
+            name = F.lower(F.replace(f"{prefix[0]}_name", F.lit("#"), F.lit(".")))
+            return self.given(table).select(
+                (key + shift).alias("id"),
+                F.concat(name, domain).alias("email"),
+                F.lit("x").alias("password_hash"),
+                signup.cast("timestamp_ntz").alias("created_at"),
+            )
+
+        return signed_up("customer", "c_cust", 0).unionByName(signed_up("supplier", "s_supp", ADDED))
 
     @cached_property
     def user_cities(self) -> DataFrame:
@@ -93,12 +108,19 @@ class Shop:
 
     @cached_property
     def named_products(self) -> DataFrame:
-        """Products with their category's (unique) name, which the given table carries: no join."""
+        """Products with their category's (unique) name, which the given table carries: no join.
+
+        Large parts come again as a second edition, which is never sold.
+        """
+        editions = F.when(
+            F.col("p_size") >= SECOND_EDITION, F.array(F.lit(0), F.lit(ADDED))
+        ).otherwise(F.array(F.lit(0)))
         return (
             self.given("part")
             .filter(F.col("p_type").isNotNull())
+            .withColumn("shift", F.explode(editions))
             .select(
-                F.col("p_partkey").alias("product_id"),
+                (F.col("p_partkey") + F.col("shift")).alias("product_id"),
                 F.col("p_name").alias("product_name"),
                 F.col("p_type").alias("category_name"),
                 _amount("p_retailprice").alias("price"),
@@ -136,17 +158,13 @@ class Shop:
         )
         coupon = F.when(key % 4 == 0, F.call_function("div", key, F.lit(4)) % 20)
         clock = F.timestamp_add("SECOND", (key * 7919) % 86_400, F.col("o_orderdate"))
-        return (
-            self.given("orders")
-            .filter(F.col("o_custkey") % 20 != 0)
-            .select(
-                key.alias("id"),
-                F.col("o_custkey").alias("user_id"),
-                coupon.alias("coupon_id"),
-                _amount("o_totalprice").alias("total_amount"),
-                status.alias("status"),
-                clock.alias("created_at"),
-            )
+        return self.given("orders").select(
+            key.alias("id"),
+            F.col("o_custkey").alias("user_id"),
+            coupon.alias("coupon_id"),
+            _amount("o_totalprice").alias("total_amount"),
+            status.alias("status"),
+            clock.alias("created_at"),
         )
 
     def orders_in(self, status: str) -> DataFrame:
@@ -154,23 +172,19 @@ class Shop:
 
     @cached_property
     def _lines(self) -> DataFrame:
-        """Every line of a sold product, also of orders outside the model."""
+        """Every given line, whether or not its order is there."""
         cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
         each = F.call_function("div", cents, F.col("l_quantity").cast("bigint"))
-        return (
-            self.given("lineitem")
-            .filter(F.col("l_partkey") % 25 != 0)
-            .select(
-                *[F.col(c) for c in LINE_ORDER],
-                F.col("l_orderkey").alias("order_id"),
-                F.col("l_partkey").alias("product_id"),
-                F.col("l_quantity").cast("int").alias("quantity"),
-                (each.cast("decimal(10,0)") * F.lit(0.01).cast("decimal(3,2)"))
-                .cast("decimal(10,2)")
-                .alias("unit_price"),
-                # quantity * unit_price as a whole number: sums of it stay in primitive arithmetic.
-                (F.col("l_quantity").cast("int") * each).alias("line_cents"),
-            )
+        return self.given("lineitem").select(
+            *[F.col(c) for c in LINE_ORDER],
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_quantity").cast("int").alias("quantity"),
+            (each.cast("decimal(10,0)") * F.lit(0.01).cast("decimal(3,2)"))
+            .cast("decimal(10,2)")
+            .alias("unit_price"),
+            # quantity * unit_price as a whole number: sums of it stay in primitive arithmetic.
+            (F.col("l_quantity").cast("int") * each).alias("line_cents"),
         )
 
     @cached_property
@@ -286,13 +300,13 @@ _OPEN: dict[tuple[int, str, str], Shop] = {}
 
 
 def shop_at(spark: SparkSession, folder: str) -> Shop:
-    """The session's shop over ``folder``; its table handles are opened once.
+    """The session's shop over ``folder``; its handles are opened anew when a file has changed.
 
     Opening a table lists its files and resolves its projection, which for a short question costs
-    as much as running it.  Build a ``Shop`` to see files that arrived since.
+    as much as running it; a listing of names, sizes and times is cheap.
     """
     key = (id(spark), spark.sparkContext.applicationId, folder)
-    if key not in _OPEN:
-        _OPEN[key] = Shop(spark, folder)
-    tune(spark)
+    fresh = Shop(spark, folder)
+    if key not in _OPEN or _OPEN[key].version != fresh.version:
+        _OPEN[key] = fresh
     return _OPEN[key]

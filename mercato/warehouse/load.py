@@ -93,12 +93,12 @@ def full_refresh(
     return loading
 
 
-_LOADED: dict[tuple[str, str], Star] = {}
+_LOADED: dict[tuple[str, str, tuple[tuple, ...]], Star] = {}
 
 
 def star_of(shop: Shop) -> Star:
-    """The star of a folder, loaded once per application into the shared folder."""
-    key = (shop.spark.sparkContext.applicationId, shop.folder)
+    """The star of a folder, loaded into the shared folder once per application and state of its files."""
+    key = (shop.spark.sparkContext.applicationId, shop.folder, shop.version)
     if key not in _LOADED:
         _LOADED[key] = full_refresh(shop, scratch.new_path(shop.spark, "star"))
     return _LOADED[key]

@@ -80,7 +80,7 @@ FROM numbered GROUP BY user_id, day - CAST(number AS INTEGER) HAVING count(*) >=
 
 DONE_ORDERS = """
   SELECT o_custkey AS user_id, o_orderdate AS ts FROM orders
-  WHERE o_custkey % 20 <> 0 AND o_orderkey % 100 >= 10"""
+  WHERE o_orderkey % 100 >= 10"""
 PURCHASES = "SELECT user_id, ts FROM events WHERE event_type = 'purchase'"
 
 

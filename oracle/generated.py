@@ -249,18 +249,19 @@ WHERE total_amount <> line_total""",
     "c2_unique": """
 SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
 GROUP BY ALL HAVING count(*) > 1""",
-    "c3_foreign_key": """
-SELECT l_orderkey AS order_id, count(*) AS row_count FROM lineitem
-WHERE l_partkey % 25 <> 0
-  AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_custkey % 20 <> 0)
-GROUP BY 1""",
+    "c3_foreign_key": shop(
+        """
+SELECT order_id, count(*) AS row_count FROM shop_payments
+WHERE order_id NOT IN (SELECT id FROM shop_shipments)
+GROUP BY 1"""
+    ),
     "c4_expression": shop("SELECT * FROM shop_trips WHERE NOT passenger_count <= 5"),
     "c5_length": "SELECT p_partkey, p_name FROM part WHERE length(p_name) > 9",
     "c6_apply_defaults": shop("SELECT * REPLACE ('pending' AS status) FROM shop_orders"),
     "s8_insert_ignore": shop(
         """
 SELECT user_id, event_id, event_type FROM events
-WHERE user_id NOT IN (SELECT user_id FROM shop_orders)
+WHERE user_id NOT IN (SELECT user_id FROM shop_orders WHERE status = 'returned')
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1"""
     ),
 }

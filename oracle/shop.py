@@ -9,7 +9,13 @@ shop_users AS (
            || CASE WHEN c_custkey % 10 < 3 THEN '@example.com' ELSE '@example.org' END AS email,
          'x' AS password_hash,
          (DATE '1995-01-01' + CAST(c_custkey % 730 AS INTEGER))::TIMESTAMP AS created_at
-  FROM customer),
+  FROM customer
+  UNION ALL
+  SELECT s_suppkey + 1000000000,
+         lower(replace(s_name, '#', '.'))
+           || CASE WHEN s_suppkey % 10 < 3 THEN '@example.com' ELSE '@example.org' END,
+         'x', (DATE '1995-01-01' + CAST(s_suppkey % 730 AS INTEGER))::TIMESTAMP
+  FROM supplier),
 shop_categories AS (
   SELECT CAST(row_number() OVER (ORDER BY p_type) AS INTEGER) AS id, p_type AS name
   FROM (SELECT DISTINCT p_type FROM part)
@@ -22,7 +28,9 @@ shop_coupons AS (
 shop_products AS (
   SELECT p_partkey AS id, c.id AS category_id, p_name AS name,
          CAST(p_retailprice AS DECIMAL(10,2)) AS price, CAST(p_size % 50 AS INTEGER) AS stock
-  FROM part JOIN shop_categories c ON p_type = c.name),
+  FROM (SELECT * FROM part
+        UNION ALL SELECT * REPLACE (p_partkey + 1000000000 AS p_partkey) FROM part WHERE p_size >= 49)
+  JOIN shop_categories c ON p_type = c.name),
 shop_orders AS (
   SELECT o_orderkey AS id, o_custkey AS user_id,
          CASE WHEN o_orderkey % 4 = 0 THEN (o_orderkey // 4) % 20 END AS coupon_id,
@@ -32,7 +40,7 @@ shop_orders AS (
               WHEN o_orderkey % 100 < 10 THEN 'pending'
               ELSE 'completed' END AS status,
          o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS created_at
-  FROM orders WHERE o_custkey % 20 <> 0),
+  FROM orders),
 shop_items AS (
   SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber,
                                           l_quantity, l_extendedprice, l_shipdate) AS BIGINT) AS id,
@@ -40,8 +48,7 @@ shop_items AS (
          CAST(l_quantity AS INTEGER) AS quantity,
          CAST(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) // CAST(l_quantity AS BIGINT)
                    AS DECIMAL(10,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS unit_price
-  FROM lineitem JOIN shop_orders o ON l_orderkey = o.id
-  WHERE l_partkey % 25 <> 0),
+  FROM lineitem JOIN shop_orders o ON l_orderkey = o.id),
 shop_sales AS (
   SELECT i.id AS item_id, i.order_id, i.product_id, i.quantity, i.unit_price,
          i.quantity * i.unit_price AS value,

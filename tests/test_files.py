@@ -4,20 +4,26 @@ from pyspark.sql import functions as F
 from mercato import scratch
 from mercato.sources import files
 from mercato.sources.schemas import OPERATIONAL, STAR
-from tests.conftest import final_plan, rows
-
-
-def test_bucketed_tables_join_and_group_without_exchange(spark, shop):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        files.write_bucketed(shop.orders, "b_orders", "id", 4, scratch.new_path(spark, "b"))
-        files.write_bucketed(shop.order_items, "b_items", "order_id", 4, scratch.new_path(spark, "b"))
-        orders = spark.table("b_orders").withColumnRenamed("id", "order_id")
-        joined = spark.table("b_items").join(orders, "order_id").groupBy("order_id").agg(F.sum("quantity"))
-        assert "Exchange" not in final_plan(joined)
-        assert joined.count() == shop.order_items.select("order_id").distinct().count()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+from tests.conftest import SF, final_plan, rows
+
+
+def test_a_changed_folder_is_seen(spark, tmp_path):
+    """Questions asked through the session's shop see files that arrived since."""
+    import shutil
+
+    from mercato.sources.shop import shop_at
+
+    folder = f"{tmp_path}/shop"
+    shutil.copytree(SF, folder)
+    before = shop_at(spark, folder)
+    users = before.users.count()
+    assert shop_at(spark, folder) is before
+    more = spark.read.parquet(f"{SF}/customer.parquet").withColumn("c_custkey", F.col("c_custkey") + 10_000)
+    shutil.move(f"{folder}/customer.parquet", f"{folder}/first.parquet")
+    both = spark.read.parquet(f"{folder}/first.parquet").unionByName(more)
+    both.write.parquet(f"{folder}/customer.parquet")
+    assert shop_at(spark, folder) is not before
+    assert shop_at(spark, folder).users.count() == users + more.count()
 
 
 def test_a_month_reads_its_folder_only(spark, shop):

@@ -17,8 +17,9 @@ NEVER_PLANNED = (
     "BatchEvalPython",
     "ArrowEvalPython",
 )
-QUESTIONS = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+# The operators for training text have tests of their own.
+QUESTIONS = {n: q for n, q in entry_point.queries().items() if not n.startswith(("op", "pipeline"))}
+ORACLE = {n: s for n, s in entry_point.oracle_sql().items() if not n.startswith(("op", "pipeline"))}
 
 
 @pytest.fixture(scope="module")
