@@ -14,7 +14,7 @@ from mercato.sources.schemas import STAR
 from mercato.sources.shop import Shop
 from mercato.warehouse import star
 from mercato.warehouse.history import scd2_apply, scd2_history
-from mercato.warehouse.load import PROFILE, full_refresh, published, star_of
+from mercato.warehouse.load import PROFILE, Star, full_refresh, published, star_of
 
 QUESTIONS = Registry()
 question = QUESTIONS.question
@@ -85,17 +85,59 @@ def e9_price_history_backfill(shop: Shop) -> DataFrame:
     return star.price_history_backfill(shop.products)
 
 
+# What the content of a loaded table is told from.
+CONTENT = {
+    "dim_date": ("date_id", "full_date", "day_of_week", "month", "quarter", "year"),
+    "dim_product": ("product_sk", "product_id", "category_name", "product_name", "current_price"),
+    "dim_customer": ("customer_sk", "user_id", "full_name", "email", "city"),
+    "fct_orders": ("order_id", "customer_sk", "date_id", "status", "total_amount"),
+    "fct_order_items": ("order_item_id", "order_id", "product_sk", "date_id", "quantity", "unit_price", "line_total"),
+}
+
+
+def _content(loaded: Star, name: str) -> DataFrame:
+    """Rows of a table and the sum of their hashes."""
+    line = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in CONTENT[name]]))
+    number = F.conv(F.substring(line, 1, 8), 16, 10).cast("bigint")
+    return loaded.table(name).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(number).alias("content")
+    ).select(F.lit(name).alias("table_name"), "row_count", "content")
+
+
 @question
 def e10_full_refresh(shop: Shop) -> DataFrame:
-    """Rows per table after loading twice into one place."""
+    """Rows and content per table after loading twice into one place."""
     root = scratch.new_path(shop.spark, "refresh")
     full_refresh(shop, root)
     full_refresh(shop, root)
     loaded = published(shop.spark, root)
-    counts = [
-        loaded.table(name).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
-        )
-        for name in STAR
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, [_content(loaded, name) for name in STAR])
+
+
+class _Moved(Shop):
+    """The shop after users of one mail domain have moved to another."""
+
+    @property
+    def users(self) -> DataFrame:
+        moved = F.replace("email", F.lit("@example.com"), F.lit("@example.net"))
+        return super().users.withColumn("email", moved)
+
+
+def _reloaded(shop: Shop, as_of: bool) -> Star:
+    """A load and, after the move, a second one that keeps customer history."""
+    root = scratch.new_path(shop.spark, "history")
+    full_refresh(shop, root)
+    later = _Moved(shop.spark, shop.folder)
+    return full_refresh(later, root, keep_history=True, effective=CHANGES_EFFECTIVE, as_of=as_of)
+
+
+@question
+def e10_refresh_keeps_history(shop: Shop) -> DataFrame:
+    """The customer dimension after both loads, closed and open versions."""
+    return _reloaded(shop, False).table("dim_customer")
+
+
+@question
+def e10_refresh_as_of(shop: Shop) -> DataFrame:
+    """Orders by the version of their customer when they were placed."""
+    return _reloaded(shop, True).table("fct_orders")

@@ -54,11 +54,13 @@ def full_refresh(
     root: str,
     keep_history: bool = False,
     effective: dt.datetime | str | None = None,
+    as_of: bool = False,
 ) -> Star:
     """Rebuild the star from the operational tables.
 
     By default customer history starts over.  ``keep_history`` carries the published customer
-    dimension on, closing and opening versions at ``effective``.
+    dimension on, closing and opening versions at ``effective``.  Orders refer to the current version
+    of their customer, with ``as_of`` to the one that was valid when they were placed.
     """
     spark = shop.spark
     loading = Star(spark, root, f"load-{uuid.uuid4().hex}")
@@ -83,7 +85,7 @@ def full_refresh(
     else:
         customers = star.dim_customer_initial(shop.users)
     customers = store("dim_customer", customers)
-    store("fct_orders", star.fct_orders(shop.orders, customers))
+    store("fct_orders", star.fct_orders(shop.orders, customers, as_of))
     store("fct_order_items", star.fct_order_items(shop.keyed_items(), shop.orders, products))
 
     now = dt.datetime.now(dt.timezone.utc).timestamp()

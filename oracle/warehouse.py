@@ -26,7 +26,7 @@ reported AS (
   SELECT u.id AS user_id, u.email,
          CASE WHEN EXISTS (SELECT 1 FROM shop_orders o WHERE o.user_id = u.id)
               THEN n_name ELSE 'Unknown' END AS city
-  FROM shop_users u JOIN customer ON c_custkey = u.id JOIN nation ON n_nationkey = c_nationkey),
+  FROM shop_users u LEFT JOIN customer ON c_custkey = u.id LEFT JOIN nation ON n_nationkey = c_nationkey),
 opened AS (
   SELECT (SELECT max(customer_sk) FROM early)
            + row_number() OVER (ORDER BY r.user_id) AS customer_sk, r.*
@@ -43,6 +43,26 @@ versions AS (
          TIMESTAMP '1999-01-01 00:00:00', NULL, true
   FROM opened)"""
 
+# A load, then another that keeps history: users of one mail domain have moved to a second one.
+MOVED = """reloaded AS (
+  SELECT customer_sk, user_id, full_name, email, gender, city, valid_from,
+         CASE WHEN email LIKE '%@example.com' THEN TIMESTAMP '1999-01-01 00:00:00' END AS valid_to,
+         email NOT LIKE '%@example.com' AS is_current
+  FROM customers
+  UNION ALL
+  SELECT (SELECT count(*) FROM customers) + row_number() OVER (ORDER BY user_id), user_id, full_name,
+         replace(email, '@example.com', '@example.net'), gender, city,
+         TIMESTAMP '1999-01-01 00:00:00', NULL, true
+  FROM customers WHERE email LIKE '%@example.com')"""
+
+
+def _content(name: str, columns: str, rows: str) -> str:
+    """Rows of a table and the sum of their hashes."""
+    return f"""
+SELECT '{name}' AS table_name, count(*) AS row_count,
+       CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {columns})), 1, 8) AS BIGINT)) AS BIGINT) AS content
+FROM ({rows})"""
+
 
 def _fct_orders(customers: str, condition: str) -> str:
     return f"""
@@ -89,12 +109,45 @@ SELECT id AS product_id, price, TIMESTAMP '2024-01-01 00:00:00' AS valid_from,
 FROM shop_products"""
     ),
     "e10_full_refresh": shop(
-        """
-SELECT 'dim_date' AS table_name, count(DISTINCT created_at::DATE) AS row_count FROM shop_orders
-UNION ALL SELECT 'dim_product', count(*) FROM shop_products
-UNION ALL SELECT 'dim_customer', count(*) FROM shop_users
-UNION ALL SELECT 'fct_orders', count(*) FROM shop_orders
-UNION ALL SELECT 'fct_order_items', count(*) FROM shop_sales"""
+        " UNION ALL ".join(
+            [
+                _content(
+                    "dim_date",
+                    "date_id, d, isodow(d), month(d), quarter(d), year(d)",
+                    f"SELECT DISTINCT {DATE_ID.format('created_at')} AS date_id, created_at::DATE AS d FROM shop_orders",
+                ),
+                _content(
+                    "dim_product",
+                    "product_sk, product_id, category_name, product_name, current_price",
+                    "SELECT * FROM products",
+                ),
+                _content("dim_customer", "customer_sk, user_id, full_name, email, city", "SELECT * FROM customers"),
+                _content(
+                    "fct_orders",
+                    "order_id, customer_sk, date_id, status, total_amount",
+                    _fct_orders("customers", "c.is_current"),
+                ),
+                _content(
+                    "fct_order_items",
+                    "item_id, order_id, product_sk, date_id, quantity, unit_price, line_total",
+                    f"""SELECT item_id, order_id, product_sk, {DATE_ID.format('created_at')} AS date_id, quantity,
+                               unit_price, CAST(value AS DECIMAL(10,2)) AS line_total
+                        FROM shop_sales JOIN products USING (product_id)""",
+                ),
+            ]
+        ),
+        CUSTOMERS,
+        PRODUCTS,
+    ),
+    "e10_refresh_keeps_history": shop("SELECT * FROM reloaded", CUSTOMERS, MOVED),
+    "e10_refresh_as_of": shop(
+        _fct_orders(
+            "reloaded",
+            "o.created_at >= c.valid_from "
+            "AND o.created_at < coalesce(c.valid_to, TIMESTAMP '9999-12-31')",
+        ),
+        CUSTOMERS,
+        MOVED,
     ),
 }
 
