@@ -63,7 +63,7 @@ def ntz(moment: dt.datetime | str) -> Column:
 
 
 def in_month(ts: Column, year: int, month: int) -> Column:
-    """One calendar month as a half-open range, which reaches the file scan."""
+    """One calendar month as a half-open range; on a stored column it reaches the file scan."""
     start = dt.datetime(year, month, 1)
     end = dt.datetime(year + month // 12, month % 12 + 1, 1)
     return (ts >= ntz(start)) & (ts < ntz(end))

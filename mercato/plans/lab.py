@@ -60,8 +60,8 @@ def l1_month_filter(shop: Shop) -> DataFrame:
 
 @question
 def l1_range_filter(shop: Shop) -> DataFrame:
-    """One July, as a range."""
-    return shop.orders.filter(times.in_month(F.col("created_at"), YEAR, MONTH))
+    """One July, as a range that also bounds the order dates in the files."""
+    return shop.orders_from(f"{YEAR}-{MONTH:02d}-01 00:00:00", f"{YEAR}-{MONTH + 1:02d}-01 00:00:00")
 
 
 @question
@@ -115,7 +115,7 @@ def _cancelled_lately(orders: DataFrame) -> DataFrame:
 
 @question
 def l5_status_date_filter(shop: Shop) -> DataFrame:
-    return _cancelled_lately(shop.orders)
+    return _cancelled_lately(shop.orders_from(CANCELLED_SINCE))
 
 
 @question

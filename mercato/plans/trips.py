@@ -14,8 +14,8 @@ QUESTIONS = Registry()
 question = QUESTIONS.question
 
 
-def _mean(column: str) -> Column:
-    return exact.mean_money(F.sum(column), F.count(column), 6)
+def _mean(cents: str) -> Column:
+    return exact.half_up(F.sum(cents), F.count(cents) * F.lit(100), 6)
 
 
 @question
@@ -30,13 +30,13 @@ def x02_count_by_passengers(shop: Shop) -> DataFrame:
 
 @question
 def x03_avg_fare_by_vendor(shop: Shop) -> DataFrame:
-    return grouped_summary(shop.trips, ["VendorID"], {"avg_fare": _mean("fare_amount")})
+    return grouped_summary(shop.trip_cents, ["VendorID"], {"avg_fare": _mean("fare")})
 
 
 @question
 def x04_sum_total_by_payment(shop: Shop) -> DataFrame:
-    total = exact.money(F.sum("total_amount"))
-    return grouped_summary(shop.trips, ["payment_type"], {"total_amount": total})
+    total = exact.from_cents(F.sum("total"))
+    return grouped_summary(shop.trip_cents, ["payment_type"], {"total_amount": total})
 
 
 @question
@@ -53,7 +53,7 @@ def x06_minmax_tolls(shop: Shop) -> DataFrame:
 
 @question
 def x07_avg_tip_by_passengers(shop: Shop) -> DataFrame:
-    return grouped_summary(shop.trips, ["passenger_count"], {"avg_tip": _mean("tip_amount")})
+    return grouped_summary(shop.trip_cents, ["passenger_count"], {"avg_tip": _mean("tip")})
 
 
 @question
@@ -63,10 +63,10 @@ def x08_count_by_ratecode(shop: Shop) -> DataFrame:
 
 @question
 def x09_sum_extra_by_vendor(shop: Shop) -> DataFrame:
-    return grouped_summary(shop.trips, ["VendorID"], {"extra": exact.money(F.sum("extra"))})
+    return grouped_summary(shop.trip_cents, ["VendorID"], {"extra": exact.from_cents(F.sum("extra"))})
 
 
 @question
 def x10_avg_max_fare(shop: Shop) -> DataFrame:
-    fare = {"avg_fare": _mean("fare_amount"), "max_fare": F.max("fare_amount")}
-    return grouped_summary(shop.trips, [], fare)
+    highest = exact.from_cents(F.max("fare")).cast("decimal(12,2)")
+    return grouped_summary(shop.trip_cents, [], {"avg_fare": _mean("fare"), "max_fare": highest})

@@ -148,6 +148,9 @@ class Shop:
 
     @cached_property
     def orders(self) -> DataFrame:
+        return self._orders(F.lit(True))
+
+    def _orders(self, given: Column) -> DataFrame:
         key = F.col("o_orderkey")
         share = key % 100
         status = (
@@ -158,7 +161,7 @@ class Shop:
         )
         coupon = F.when(key % 4 == 0, F.call_function("div", key, F.lit(4)) % 20)
         clock = F.timestamp_add("SECOND", (key * 7919) % 86_400, F.col("o_orderdate"))
-        return self.given("orders").select(
+        return self.given("orders").filter(given).select(
             key.alias("id"),
             F.col("o_custkey").alias("user_id"),
             coupon.alias("coupon_id"),
@@ -167,6 +170,19 @@ class Shop:
             clock.alias("created_at"),
         )
 
+    def orders_from(self, first: str, before: str | None = None) -> DataFrame:
+        """Orders placed from one moment on, and before another.
+
+        An order is placed within a day of its date, so the dates' range reaches the file scan.
+        """
+        day = F.col("o_orderdate").cast("timestamp_ntz")
+        dated = day > times.ntz(first) - F.expr("INTERVAL 1 DAY")
+        placed = F.col("created_at") >= times.ntz(first)
+        if before is not None:
+            dated &= day < times.ntz(before)
+            placed &= F.col("created_at") < times.ntz(before)
+        return self._orders(dated).filter(placed)
+
     def orders_in(self, status: str) -> DataFrame:
         return self.orders.filter(F.col("status") == status)
 
@@ -286,6 +302,23 @@ class Shop:
             (fare + toll).alias("total_amount"),
         )
 
+    @cached_property
+    def trip_cents(self) -> DataFrame:
+        """Trips with amounts as whole cents: sums of them stay in primitive arithmetic."""
+
+        def whole(column: str) -> Column:
+            return F.round(F.col(column) * 100).cast("bigint")
+
+        return self.given("lineitem").select(
+            F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("VendorID"),
+            F.nullif(F.col("l_linenumber"), F.lit(7)).alias("passenger_count"),
+            F.col("l_returnflag").alias("payment_type"),
+            whole("l_discount").alias("tip"),
+            (F.col("l_suppkey") % 5 * 100).alias("extra"),
+            whole("l_extendedprice").alias("fare"),
+            (whole("l_extendedprice") + whole("l_tax")).alias("total"),
+        )
+
     @cached_property
     def purchases(self) -> DataFrame:
         """(user_id, ts) of the purchase events."""

@@ -46,6 +46,11 @@ def test_selective_reads_push_their_filter(spark, name):
     assert any("EqualTo" in p or "StringStartsWith" in p for p in pushed)
 
 
+@pytest.mark.parametrize("name", ["l1_range_filter", "l5_status_date_filter"])
+def test_ranges_of_computed_times_bound_the_stored_dates(spark, name):
+    assert "GreaterThan(o_orderdate," in plan(spark, name)
+
+
 def test_range_lookup_is_an_equi_join(spark):
     found = plan(spark, "q42_price_as_of_order")
     assert "NestedLoop" not in found and "Cartesian" not in found
