@@ -248,10 +248,13 @@ def _merged(starts: np.ndarray, ends: np.ndarray) -> list[dict[str, int]]:
 
 
 SPANS = "array<struct<start: bigint, end: bigint>>"
+# Names that no given column is likely to have.
+FOUND = ("found words", "found spans", "found items")
+FOUND_KINDS = f"`{FOUND[0]}` bigint, `{FOUND[1]}` {SPANS}, `{FOUND[2]}` array<string>"
 
 
 def _searched(rows: DataFrame, columns: list[str], kinds: str, phrases: Phrases) -> DataFrame:
-    """``columns`` with n_words, spans (of word places) and items of one block of the benchmark."""
+    """``columns`` with words, spans (of word places) and items of one block of the benchmark."""
     shared = tasks.Shared(rows.sparkSession, phrases)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,9 +275,9 @@ def _searched(rows: DataFrame, columns: list[str], kinds: str, phrases: Phrases)
                 kept = [part.column(i) for i in range(part.num_columns - 1)]
                 kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
                 found = [pa.array(np.diff(firsts)), pa.array(spans, kind), pa.array(items, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*kept, *found], names=[*columns, "n_words", "spans", "items"])
+                yield pa.RecordBatch.from_arrays([*kept, *found], names=[*columns, *FOUND])
 
-    return rows.mapInArrow(run, f"{kinds}, n_words bigint, spans {SPANS}, items array<string>")
+    return rows.mapInArrow(run, f"{kinds}, {FOUND_KINDS}")
 
 
 def _none(rows: DataFrame, columns: list[str], kinds: str) -> DataFrame:
@@ -285,12 +288,11 @@ def _none(rows: DataFrame, columns: list[str], kinds: str) -> DataFrame:
             for part in tasks.slices(batch, batch.num_columns - 1, SHARD_BYTES):
                 _, firsts = tasks.word_hashes(*tasks.flat(part.column(part.num_columns - 1)), LOWER, WORD)
                 kept = [part.column(i) for i in range(part.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(np.diff(firsts))], names=[*columns, "n_words"])
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(np.diff(firsts))], names=[*columns, FOUND[0]])
 
-    counted = rows.mapInArrow(run, f"{kinds}, n_words bigint")
-    return counted.withColumns(
-        {"spans": F.lit(None).cast(SPANS), "items": F.lit(None).cast("array<string>")}
-    ).withColumns({"spans": F.coalesce("spans", F.array().cast(SPANS)), "items": F.coalesce("items", F.array().cast("array<string>"))})
+    return rows.mapInArrow(run, f"{kinds}, `{FOUND[0]}` bigint").withColumns(
+        {FOUND[1]: F.array().cast(SPANS), FOUND[2]: F.array().cast("array<string>")}
+    )
 
 
 def _union(spans: F.Column) -> F.Column:
@@ -327,6 +329,15 @@ def contaminated_spans(
 
     The benchmark is read in blocks of about PASS_WORDS words; the usual one block needs no shuffle.
     """
+    found = _found(df, benchmark, columns, text, item_key, item_text)
+    names = zip(FOUND, ("n_words", "spans", "items"), strict=True)
+    return found.select(*columns, *[F.col(f"`{a}`").alias(b) for a, b in names])
+
+
+def _found(
+    df: DataFrame, benchmark: DataFrame, columns: list[str], text: str, item_key: str, item_text: str
+) -> DataFrame:
+    """``columns`` with the columns named in FOUND."""
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
     rows = df.select(*[F.col(c) for c in columns], F.col(text).cast("string").alias("searched text"))
     blocks = _benchmark(benchmark, item_key, item_text)
@@ -336,23 +347,26 @@ def contaminated_spans(
     if second is None:
         return _searched(rows, columns, kinds, Phrases(first))
     # Keys may be null or repeat: rows are told apart by their place in a stored table.
-    stored = scratch.materialize(rows, "documents").withColumn("row", F.monotonically_increasing_id())
-    rows, columns, kinds = stored.select(*columns, "row", "searched text"), [*columns, "row"], f"{kinds}, row bigint"
+    place = "found row"
+    stored = scratch.materialize(rows, "documents").withColumn(place, F.monotonically_increasing_id())
+    rows = stored.select(*columns, place, "searched text")
+    columns, kinds = [*columns, place], f"{kinds}, `{place}` bigint"
     done = _searched(rows, columns, kinds, Phrases(first))
+    words, spans, items = FOUND
     for block in chain([second], blocks):
         more = _searched(rows, columns, kinds, Phrases(block)).select(
-            "row", F.col("spans").alias("more spans"), F.col("items").alias("more items")
+            F.col(place), F.col(spans).alias("more spans"), F.col(items).alias("more items")
         )
         done = scratch.materialize(
-            done.join(more, "row").select(
+            done.join(more, place).select(
                 *columns,
-                "n_words",
-                _union(F.concat("spans", "more spans")).alias("spans"),
-                F.array_sort(F.array_union("items", "more items")).alias("items"),
+                words,
+                _union(F.concat(F.col(spans), F.col("more spans"))).alias(spans),
+                F.array_sort(F.array_union(F.col(items), F.col("more items"))).alias(items),
             ),
             "spans",
         )
-    return done.drop("row")
+    return done.drop(place)
 
 
 _WORDS = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
@@ -373,7 +387,7 @@ def decontaminated(df: DataFrame, benchmark: DataFrame, text: str = "text", leng
 
     Rows of which no word is left go; all others stay, those without a hit unchanged.
     """
-    found = contaminated_spans(df, benchmark, list(df.columns), text)
+    found = _found(df, benchmark, list(df.columns), text, "item_id", "text")
     at, size = df.columns.index(text), df.columns.index(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -312,12 +312,13 @@ def recognised(
     df: DataFrame, least: float = 0.3, key: str = "doc_id", text: str = "text", label: str = "lang"
 ) -> DataFrame:
     """The rows of ``df`` whose language is told with a score of at least ``least``, columns unchanged."""
-    judged = _judge(df, df.columns, key, text, label)
-    return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*df.columns)
+    return _judge(df, df.columns, key, text, label, least)
 
 
-def _judge(df: DataFrame, columns: list[str], key: str, text: str, label: str) -> DataFrame:
-    """``columns`` with lang_pred and score."""
+def _judge(
+    df: DataFrame, columns: list[str], key: str, text: str, label: str, least: float | None = None
+) -> DataFrame:
+    """``columns`` with lang_pred and score; with ``least`` the recognised rows' columns alone."""
     pairs = training_words(df, key, text, label)
     languages = sorted({lang for lang, _ in pairs})
     network = None
@@ -347,11 +348,17 @@ def _judge(df: DataFrame, columns: list[str], key: str, text: str, label: str) -
                     names = [net.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered, strict=True)]
                     scores = np.where(lettered, chances.max(axis=1), 0.0)
                 arrays = [part.column(i) for i in range(part.num_columns - 1)]
+                if least is not None:
+                    kept_rows = [n != UNKNOWN and s >= least for n, s in zip(names, scores, strict=True)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(kept_rows, pa.bool_()))
+                    continue
                 yield pa.RecordBatch.from_arrays(
                     [*arrays, pa.array(names, pa.string()), pa.array(scores)],
                     names=[*columns, "lang_pred", "score"],
                 )
 
     rows = df.select(*[F.col(c) for c in columns], F.col(text).cast("string").alias(source))
+    if least is not None:
+        return rows.mapInArrow(run, df.select(*columns).schema)
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
     return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double")

@@ -87,7 +87,7 @@ def test_phrases_are_cut_out(spark):
     assert cut("One, two three! Four", [{"start": 1, "end": 3}]) == "One, ! Four"
     benchmark = spark.createDataFrame([(1, "two three")], "item_id bigint, text string")
     rows = [(1, "One, two three! Four"), (2, "two THREE"), (3, "clean text"), (4, None), (5, "...")]
-    frame = documents(spark, rows)
+    frame = documents(spark, rows, "spans n_words row")
     kept = decontaminated(frame, benchmark)
     assert kept.columns == frame.columns
     found = {r.doc_id: (r.text, r.n_chars) for r in kept.collect()}
