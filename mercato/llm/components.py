@@ -32,10 +32,12 @@ def components(links: DataFrame) -> DataFrame:
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
         )
         small = scratch.materialize(small.select("e.*").filter("a != b").distinct(), "links")
-        # Stars are left when every node has one smaller neighbour and none of these has one itself.
-        degrees = small.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b"))
-        chained = degrees.join(degrees.select(F.col("b").alias("a")).distinct(), "a", "semi").limit(1)
-        if not degrees.filter("n > 1").limit(1).count() and not chained.count():
+        # Stars are left when no node has two smaller neighbours, or one and a larger one.
+        ends = small.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            small.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+        )
+        degrees = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not degrees.filter("up > 1 OR (up = 1 AND down = 1)").limit(1).count():
             break
         links = small
     roots = small.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato import scratch
@@ -29,11 +29,17 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORDS = 5
 # Similar means 100 * intersection >= PERCENT * union.
 PERCENT = 80
-# The order knows the most frequent n-grams by name: so many of them, seen so often.
+# The order knows the most frequent n-grams by name: so many of them.  Tasks name those that they see
+# often themselves; then all are counted at the sets' rare ends, and those that so many rows have there
+# are named as well.
 NAMED = 1 << 18
 OFTEN = 48
+NAMED_AT_ENDS = 1 << 20
+OFTEN_AT_ENDS = 12
 # Shingles a task collects before it counts them.
 COUNTED = 1 << 21
+# A class is matched with a centre that it meets at least a fourth as often as similar sets must.
+HOPE = 4
 # Sets in one trie.
 TRIE_SETS = 256
 # Members that meet in one group of a frequent n-gram.
@@ -43,6 +49,7 @@ LOWER, WORD = tasks.byte_tables(lambda b: b != 32 and not 9 <= b <= 13)
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _RARE = np.uint64(1 << 63)
 _SPLIT = 1 << 62
+_RANK_BITS = 21
 
 
 def least_overlap(a: int, b: int) -> int:
@@ -293,14 +300,15 @@ def _dealt(grams: np.ndarray, digest: int, shares: np.ndarray) -> np.ndarray:
         many = shares[at] > 1
         group = digest % shares[at]
         grams = grams.copy()
-        grams[common] = np.where(many, _SPLIT | (group << 20) | at, at).astype(np.uint64)
+        grams[common] = np.where(many, _SPLIT | (group << _RANK_BITS) | at, at).astype(np.uint64)
     return grams
 
 
 def _stars(entries: DataFrame) -> DataFrame:
-    """(gram, class, size, centre, centre_size) of every n-gram with several classes.
+    """(gram, class, mark, centre, centre_mark) of every n-gram with several classes.
 
-    Entries come sorted; a group's first class is its centre.  One pass, a row of memory per group.
+    A mark holds a set's size and the n-gram's place from its rare end.  Entries come sorted; a group's
+    first class, one of the smallest sets, is its centre.  One pass, a row of memory per group.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,54 +337,90 @@ def _stars(entries: DataFrame) -> DataFrame:
                 held, gram, centre = (grams[last], names[last], sizes[last]), None, None
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x[keep], pa.int64()) for x in (grams, names, sizes, centres, centre_sizes)],
-                names=["gram", "class", "size", "centre", "centre_size"],
+                names=["gram", "class", "mark", "centre", "centre_mark"],
             )
 
-    dealt = entries.repartition("gram").sortWithinPartitions("gram", "size", "class")
-    return dealt.mapInArrow(run, "gram bigint, class bigint, size bigint, centre bigint, centre_size bigint")
+    dealt = entries.select("gram", "class", "mark").repartition("gram").sortWithinPartitions("gram", "mark", "class")
+    return dealt.mapInArrow(run, "gram bigint, class bigint, mark bigint, centre bigint, centre_mark bigint")
 
 
-def _strangers(met: DataFrame) -> DataFrame:
-    """(class, size, other, low, high, meetings): a class and another component it meets.
+def _size(mark: str) -> Column:
+    return F.shiftright(F.col(mark), 32)
 
-    The class is the one of the smaller component.  Low and high bound the sizes of the other
-    component's classes under the shared n-grams.  Components are summed up per n-gram first, so a large
-    one is a single row there, and the classes of an n-gram's largest component ask nobody.
+
+def _known(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """(gram, class, size, place, shared, own) of every meeting.
+
+    ``shared`` counts the n-grams under which a class meets any other, ``own`` is its component with the
+    component's number of classes before it, so that components compare by size.
     """
-    rank = F.struct("weight", "component")
     split = (F.col("gram") > 0) & (F.col("gram").bitwiseAND(F.lit(_SPLIT)) != 0)
-    whole = F.when(split, F.col("gram").bitwiseAND(F.lit((1 << 20) - 1))).otherwise(F.col("gram"))
-    rows = met.select(whole.alias("gram"), "class", "size", rank.alias("own"))
-    parts = rows.groupBy("gram", "own").agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    tops = parts.groupBy(F.col("gram").alias("top_gram")).agg(F.max("own").alias("top"), F.count("*").alias("n"))
-    askers = rows.join(tops.filter("n > 1"), F.expr("gram = top_gram AND own < top")).select(
-        "gram", "class", "size", "own"
+    whole = F.when(split, F.col("gram").bitwiseAND(F.lit((1 << _RANK_BITS) - 1))).otherwise(F.col("gram"))
+    info = met.groupBy("class").agg(F.count("*").alias("shared"))
+    weights = labels.groupBy("component").agg(F.count("*").alias("weight"))
+    labels = labels.join(weights, "component").withColumnRenamed("node", "class")
+    info = info.join(labels, "class", "left").select(
+        "class",
+        "shared",
+        F.struct(
+            F.coalesce("weight", F.lit(1).cast("bigint")).alias("weight"),
+            F.coalesce("component", "class").alias("component"),
+        ).alias("own"),
     )
-    theirs = parts.select(F.col("gram").alias("their_gram"), F.col("own").alias("their"), "low", "high")
-    met_again = askers.join(theirs, F.expr("gram = their_gram AND own < their"))
-    return met_again.groupBy("class", "size", F.col("their.component").alias("other")).agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("meetings")
+    rows = met.select(
+        whole.alias("gram"), "class", _size("mark").alias("size"), F.col("mark").bitwiseAND(F.lit(0xFFFFFFFF)).alias("place")
     )
+    return rows.join(info, "class")
+
+
+# A class (size, place, shared) and another component under an n-gram, of which sizes lie from low to high,
+# the place is ``near`` at least and ``shared`` is ``most`` at most.  A similar set has a size between short
+# and long; one of the n-grams that both share lies, from the rare end, before either set's size less the
+# overlap needed; and both meet others often enough for the overlap that their ends must have.
+_MAY_FIT = f"""
+    short <= long
+    AND place <= size - ceil({PERCENT} * (size + short) / {100 + PERCENT})
+    AND near <= long - ceil({PERCENT} * (size + long) / {100 + PERCENT})
+    AND least(shared, most) >= least(
+        ceil({PERCENT} * (size + short) / {100 + PERCENT}) - ceil({PERCENT} * greatest(size, short) / 100),
+        ceil({PERCENT} * (size + long) / {100 + PERCENT}) - ceil({PERCENT} * greatest(size, long) / 100))
+""".replace("short", f"greatest(low, ceil({PERCENT} * size / 100))").replace(
+    "long", f"least(high, floor(100 * size / {PERCENT}))"
+)
+
+
+def _asked(rows: DataFrame, largest: bool) -> DataFrame:
+    """(class, group): components that a class of a smaller one may be similar to.
+
+    Components are summed up per n-gram first, so a large one is a single row there, and the classes of
+    an n-gram's largest component ask nobody.  With ``largest`` a class asks only the largest component
+    it meets.
+    """
+    parts = rows.groupBy(F.col("gram").alias("their_gram"), F.col("own").alias("their")).agg(
+        F.min("size").alias("low"), F.max("size").alias("high"), F.min("place").alias("near"), F.max("shared").alias("most")
+    )
+    tops = parts.groupBy("their_gram").agg(
+        F.max(F.struct("their", "low", "high", "near", "most")).alias("top"), F.count("*").alias("n")
+    )
+    tops = tops.filter("n > 1").select("their_gram", "top.*")
+    if largest:
+        found = rows.join(tops, F.expr(f"gram = their_gram AND own < their AND {_MAY_FIT}"))
+        return found.groupBy("class").agg(F.max("their").alias("their")).select("class", F.col("their.component").alias("group"))
+    askers = rows.join(tops.select(F.col("their_gram").alias("top_gram"), F.col("their").alias("top")), F.expr("gram = top_gram AND own < top"))
+    found = askers.drop("top_gram", "top").join(parts, F.expr(f"gram = their_gram AND own < their AND {_MAY_FIT}"))
+    return found.select("class", F.col("their.component").alias("group")).distinct()
 
 
-def _enough(size: str, low: str, high: str) -> F.Column:
-    """How often a class must meet a similar one under the ends of both."""
-    shortest = F.expr(f"greatest({low}, ceil({PERCENT} * {size} / 100))")
-    longest = F.expr(f"least({high}, floor(100 * {size} / {PERCENT}))")
-
-    def least(other: F.Column) -> F.Column:
-        overlap = F.ceil(PERCENT * (F.col(size) + other) / (100 + PERCENT))
-        rest = F.greatest(F.ceil(PERCENT * F.col(size) / 100), F.ceil(PERCENT * other / 100)) - 1
-        return overlap - rest
-
-    # With one unit to spare for rounding; nothing is similar when the bounds cross.
-    needed = F.greatest(F.lit(1), F.least(least(shortest), least(longest)) - 1)
-    return F.when(shortest > longest, F.lit(1 << 40)).otherwise(needed)
-
+def _matched(rows: DataFrame, classes: DataFrame, shared, groups: DataFrame, all_links: bool) -> DataFrame:
+    """Links (a, b) found by walking the tries of all groups (group, part, probe, class).
 
-def _matched(groups: DataFrame, sets: DataFrame, all_links: bool) -> DataFrame:
-    """Links (a, b) found by walking the tries of all groups (group, part, probe, class)."""
-    filled = groups.join(sets, "class").select("group", "part", "probe", "class", "grams")
+    The texts are read again for the sets of the classes in the groups; a filter of fixed size leaves
+    most others out, and the sets go straight to the digests that the groups ask for.
+    """
+    named = scratch.materialize(groups.join(classes.select("class", "d1", "d2"), "class"), "groups")
+    seen = rows.sparkSession.sparkContext.broadcast(tasks.membership(named.select("d1")))
+    whole = _ordered(rows, shared, None, seen).drop("size")
+    filled = named.join(whole, ["d1", "d2"]).select("group", "part", "probe", "class", "grams")
     return filled.groupBy("group", "part").applyInArrow(_match(all_links), "a bigint, b bigint")
 
 
@@ -395,49 +439,88 @@ def _groups(stored: DataFrame, probes: DataFrame, sizes: DataFrame) -> DataFrame
     return kept.unionByName(asked)
 
 
+def _answers(
+    rows: DataFrame, classes: DataFrame, shared, met: DataFrame, labels: DataFrame, largest: bool
+) -> DataFrame:
+    """Links between components: classes are matched with the tries of the components they ask."""
+    asked = scratch.materialize(_asked(_known(met, labels), largest), "asked")
+    others = asked.select("group").distinct()
+    members = others.join(labels.select(F.col("component").alias("group"), F.col("node").alias("class")), "group", "left")
+    members = members.withColumn("class", F.coalesce("class", "group"))
+    sizes = members.groupBy("group").agg(F.count("*").alias("n"))
+    return scratch.materialize(_matched(rows, classes, shared, _groups(members, asked, sizes), False), "answers")
+
+
 def _labels(rows: DataFrame, classes: DataFrame, shared, shares: np.ndarray) -> DataFrame:
     """(node, component) of the classes that are similar to another."""
     ends = _ordered(rows, shared, shares).drop("size")
-    entries = classes.join(ends, ["d1", "d2"]).select("class", "size", F.explode("grams").alias("gram"))
-    met = scratch.materialize(_stars(entries.select("gram", "class", "size")), "met")
+    mark = F.shiftleft(F.col("size"), 32) + F.size("grams") - 1 - F.col("at")
+    entries = classes.join(ends, ["d1", "d2"]).select("class", "size", "grams", F.posexplode("grams").alias("at", "gram"))
+    met = scratch.materialize(_stars(entries.select("gram", "class", mark.alias("mark"))), "met")
     # The centres of a split n-gram's groups meet in a group of their own.
     centres = met.filter(F.col("gram").bitwiseAND(F.lit(_SPLIT)) != 0).filter(F.col("gram") > 0)
     centres = centres.filter("class = centre").select(
-        F.col("gram").bitwiseAND(F.lit((1 << 20) - 1)).alias("gram"), "class", "size"
+        F.col("gram").bitwiseAND(F.lit((1 << _RANK_BITS) - 1)).alias("gram"), "class", "mark"
     )
-    again = _stars(centres.select(F.col("gram").bitwiseOR(F.lit(1 << 61)).alias("gram"), "class", "size"))
-    fits = F.col("centre_size") * 100 >= F.col("size") * PERCENT
-    stars = met.unionByName(again).filter(fits & (F.col("class") != F.col("centre")))
-    first = scratch.materialize(
-        stars.groupBy("class").agg(F.mode("centre", True).alias("group")), "stars"
+    again = _stars(centres.select(F.col("gram").bitwiseOR(F.lit(1 << 61)).alias("gram"), "class", "mark"))
+    # First a class goes to the centre it meets most often, unless their sizes differ too much.
+    stars = met.unionByName(again).filter("class != centre").groupBy(
+        "class", _size("mark").alias("size"), "centre", _size("centre_mark").alias("centre_size")
     )
-    involved = met.select("class").distinct().join(classes, "class").select("d1", "d2", "class")
-    involved = scratch.materialize(involved, "involved")
-    wanted = rows.sparkSession.sparkContext.broadcast(tasks.membership(involved.select("d1")))
-    whole = _ordered(rows, shared, None, wanted).drop("size")
-    sets = scratch.materialize(whole.join(involved, ["d1", "d2"]).select("class", "grams"), "sets")
-
+    stars = stars.agg(F.count("*").alias("meetings")).filter(
+        (F.col("centre_size") * 100 >= F.col("size") * PERCENT) & (F.col("meetings") * HOPE >= _needed("size", "centre_size"))
+    )
+    first = stars.groupBy("class").agg(F.max_by("centre", F.struct("meetings", -F.col("centre"))).alias("group"))
+    first = scratch.materialize(first, "stars")
     sizes = first.groupBy("group").agg(F.count("*").alias("n"))
     probes = sizes.select("group", F.col("group").alias("class"))
-    links = scratch.materialize(_matched(_groups(first, probes, sizes), sets, True), "links")
-
-    # Whatever still meets across components is asked as well.
-    known = components(links)
-    weights = known.groupBy("component").agg(F.count("*").alias("weight"))
-    known = scratch.materialize(known.join(weights, "component"), "known")
-    named = met.join(known, F.col("class") == F.col("node"), "left").withColumns(
-        {"component": F.coalesce("component", "class"), "weight": F.coalesce("weight", F.lit(1).cast("bigint"))}
-    )
-    asked = _strangers(named).filter(F.col("meetings") >= _enough("size", "low", "high"))
-    asked = scratch.materialize(asked.select("class", F.col("other").alias("group")), "asked")
-    others = asked.select("group").distinct()
-    members = known.select(F.col("component").alias("group"), F.col("node").alias("class"))
-    members = others.join(members, "group").unionByName(
-        others.join(members.select("group").distinct(), "group", "anti").select("group", F.col("group").alias("class"))
-    )
-    sizes = members.groupBy("group").agg(F.count("*").alias("n"))
-    more = _matched(_groups(members, asked, sizes), sets, False)
-    return components(links.unionByName(more))
+    links = scratch.materialize(_matched(rows, classes, shared, _groups(first, probes, sizes), True), "links")
+    # Then what is still apart asks the largest component it meets, and at last all that it meets.
+    for largest in (True, False):
+        labels = components(links)
+        links = links.unionByName(_answers(rows, classes, shared, met, labels, largest))
+    return components(links)
+
+
+def _needed(size: str, other: str) -> Column:
+    """How many n-grams the ends of two similar sets of these sizes share."""
+    overlap = F.ceil(PERCENT * (F.col(size) + F.col(other)) / (100 + PERCENT))
+    return overlap - F.ceil(PERCENT * F.greatest(F.col(size), F.col(other)) / 100) + 1
+
+
+def _order(spark: SparkSession, named: np.ndarray, counts: np.ndarray) -> tuple:
+    """Named n-grams with their ranks, for the tasks, and per rank the groups its rows are dealt to.
+
+    At most NAMED + NAMED_AT_ENDS n-grams: 20 MB.
+    """
+    by_gram = np.argsort(named)
+    named, counts = named[by_gram], counts[by_gram]
+    order = np.lexsort((named, -counts))
+    ranks = np.empty(len(named), np.uint64)
+    ranks[order] = np.arange(len(named), dtype=np.uint64)
+    shares = np.ones(max(1, len(named)), np.int64)
+    shares[: len(named)] = -(-counts[order] // GROUP)
+    return spark.sparkContext.broadcast((named, ranks)), shares
+
+
+def _common_ends(rows: DataFrame, shared) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams without a name that many rows have at their sets' rare ends, with their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        named, _ = shared.value
+        for batch in batches:
+            for part in tasks.slices(batch, 1):
+                ends = [np.empty(0, np.uint64)]
+                for grams in shingle_sets(part.column(1)):
+                    if len(grams):
+                        at = np.minimum(np.searchsorted(named, grams), max(0, len(named) - 1))
+                        rare = grams[named[at] != grams] if len(named) else grams
+                        ends.append(rare[-prefix_length(len(grams)) :])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ends).view(np.int64))], names=["gram"])
+
+    counted = rows.mapInArrow(run, "gram bigint").groupBy("gram").agg(F.count("*").alias("n"))
+    top = counted.filter(F.col("n") >= OFTEN_AT_ENDS).orderBy(F.desc("n"), "gram").limit(NAMED_AT_ENDS).toArrow()
+    return top.column("gram").to_numpy().view(np.uint64), top.column("n").to_numpy()
 
 
 def linked_components(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -450,9 +533,10 @@ def linked_components(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     always linked; repeated rows get equal results; null keys take part but name no component; an empty
     table gives no rows; other columns are not read.  Keys are whole numbers.
 
-    Classes that meet under an n-gram are first matched with the centre they meet most often; then, as
-    long as two components meet, the classes of the smaller one are matched with all of the larger one.
-    So links inside a component need not be found one by one, and none between components is missed.
+    Classes that meet under an n-gram are first matched with the centre they meet most often, then with
+    the largest component they meet; at last, wherever two components still meet, the classes of the
+    smaller one are matched with all of the larger one.  So links inside a component need not be found one
+    by one, and none between components is missed.
     """
     spark = df.sparkSession
     rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
@@ -463,14 +547,10 @@ def linked_components(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     classes = scratch.materialize(classes, "classes")
     merged = tasks.tree_merge(signed.filter("counts IS NOT NULL").select("counts"), merge_counts)
     named, counts = _unpack(merged) if merged else (np.empty(0, np.uint64), np.empty(0, np.int64))
-    often = counts >= OFTEN
-    named, counts = named[often], counts[often]
-    ranks = np.empty(len(named), np.uint64)
-    ranks[np.lexsort((named, -counts))] = np.arange(len(named), dtype=np.uint64)
-    # At most NAMED n-grams: 4 MB.
-    shared = spark.sparkContext.broadcast((named, ranks))
-    shares = np.zeros(max(1, len(named)), np.int64)
-    shares[ranks.astype(np.int64)] = -(-counts // GROUP)
+    named, counts = named[counts >= OFTEN], counts[counts >= OFTEN]
+    shared, shares = _order(spark, named, counts)
+    more, seen = _common_ends(rows, shared)
+    shared, shares = _order(spark, np.concatenate([named, more]), np.concatenate([counts, seen]))
 
     labels = _labels(rows, classes, shared, shares)
     joined = classes.join(labels, F.col("class") == F.col("node"), "left").withColumn(
@@ -489,12 +569,13 @@ def linked_components(df: DataFrame, key: str = "doc_id", text: str = "text") ->
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` without those whose component has a smaller key, columns unchanged.
 
-    Rows with a null key stay, and repeated rows of a kept key.  Only rows that a filter of fixed size
-    can't tell apart from dropped ones are shuffled.
+    Of repeated rows with words one stays; rows with a null key or without a word all stay.  Only rows
+    that a filter of fixed size can't tell apart from others' copies are shuffled.
     """
-    found = linked_components(df, key, text)
-    dropped = scratch.materialize(found.filter(F.col(key) != F.col("component_id")).select(key).distinct(), "dropped")
-    seen = df.sparkSession.sparkContext.broadcast(tasks.membership(dropped.select(F.col(key).cast("bigint"))))
+    found = linked_components(df, key, text).filter("n_shingles > 0").filter(F.col(key).isNotNull())
+    copies = found.groupBy(key).agg(F.min("component_id").alias("first"), F.count("*").alias("n"))
+    copies = scratch.materialize(copies.filter((F.col(key) != F.col("first")) | (F.col("n") > 1)), "copies")
+    seen = df.sparkSession.sparkContext.broadcast(tasks.membership(copies.select(F.col(key).cast("bigint"))))
     named = [*df.columns]
 
     def split(flagged: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -509,5 +590,8 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         return run
 
     sure = df.mapInArrow(split(False), df.schema)
-    unsure = df.mapInArrow(split(True), df.schema).join(dropped, key, "anti").select(*named)
-    return sure.unionByName(unsure)
+    unsure = df.mapInArrow(split(True), df.schema)
+    repeated = copies.filter(F.col(key) == F.col("first")).select(key)
+    single = unsure.join(copies.select(key), key, "anti").select(*named)
+    once = unsure.join(repeated, key, "semi").select(*named).dropDuplicates([key, text])
+    return sure.unionByName(single).unionByName(once)

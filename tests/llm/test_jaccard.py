@@ -45,7 +45,7 @@ def copies(seed, words=300):
 def test_components_equal_brute_force(spark, monkeypatch, small):
     """Small limits: frequent n-grams are named early, their groups split, tries hold few sets."""
     if small:
-        for name, value in (("OFTEN", 6), ("GROUP", 5), ("TRIE_SETS", 4)):
+        for name, value in (("OFTEN", 6), ("GROUP", 5), ("TRIE_SETS", 4), ("OFTEN_AT_ENDS", 4)):
             monkeypatch.setattr(jaccard, name, value)
     rows = copies(3)
     found = linked_components(documents(spark, rows, "size component class").repartition(3))
