@@ -1,7 +1,8 @@
 """Main text of HTML pages by tree scoring.
 
 Paragraphs pass points for their length and commas to their ancestors, which are discounted by the
-share of linked text.  The best container is kept, and those of its siblings that score or read like it.
+share of linked text.  The best container is lifted to the article or main part it is in, or else to what
+holds all unlinked text; beside it everything is kept that is not mostly links.
 """
 
 from __future__ import annotations
@@ -78,11 +79,11 @@ _HIDDEN = re.compile(
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SENTENCE = re.compile(r"[.!?…:;]['\"”’)]*(?:\s|$)")
 
-KEPT_SHARE = 0.2
-LEAST_SCORE = 10.0
 # An element named as outside stays if it holds more than this share of the text.
 TOO_MUCH = 0.9
 LINKS_ALONE = 0.8
+# What stands beside the best container is kept below this share of linked text.
+LINKED_BESIDE = 0.5
 
 
 class Page:
@@ -273,29 +274,57 @@ def main_text(source: str | None) -> str:
     # A lone list, table or quotation belongs to what is around it.
     while tags[best] in ("ul", "ol", "dl", "table", "tbody", "tr", "td", "blockquote", "p") and parents[best] > 0:
         best = parents[best]
+    above = best
+    marked = False
+    while above >= 0:
+        if tags[above] in ("article", "main"):
+            best, marked = above, True
+        above = parents[above]
 
-    kept = [False] * count
+    # What is left, without the menus.
+    size, links = [0] * count, [0] * count
+    block = [0] * count  # the nearest block
+    for i in range(1, count):
+        block[i] = i if tags[i] in BLOCKS else block[parents[i]]
+    for (element, _), length in zip(page.pieces, lengths, strict=True):
+        if length and not dropped[element]:
+            size[element] += length
+            links[element] += length * linked[element]
+    for i in range(count - 1, 0, -1):
+        size[parents[i]] += size[i]
+        links[parents[i]] += links[i]
+
+    # Opened are containers of which not all is kept: those around the best one (for a marked article the
+    # next one), and those of mostly links.
+    kept, opened = [False] * count, [False] * count
     kept[best] = True
-    floor = max(LEAST_SCORE, KEPT_SHARE * score[best])
-    if best:
-        for i in range(1, count):
-            if parents[i] == parents[best] and i != best and not dropped[i] and size[i]:
-                density = links[i] / size[i]
-                if score[i] >= floor or tags[i] == "article":
-                    kept[i] = True
-                elif tags[i] in ("p", "blockquote", "pre", "h1", "h2", "h3"):
-                    kept[i] = density < 0.25 and (size[i] > 80 or tags[i][0] == "h" or density == 0)
+    above = parents[best]
+    while above >= 0:
+        opened[above] = True
+        above = -1 if marked else parents[above]
     for i in range(1, count):
-        kept[i] = (kept[i] or kept[parents[i]]) and not dropped[i]
+        if dropped[i]:
+            kept[i] = opened[i] = False
+        elif kept[parents[i]]:
+            kept[i] = True
+        elif opened[parents[i]] and not (kept[i] or opened[i]):
+            kept[i] = tags[i] in BLOCKS and links[i] < LINKED_BESIDE * size[i]
+            opened[i] = not kept[i]
     blocks, words = [], []
-    for (element, _), text in zip(page.pieces, texts, strict=True):
+    loose = loose_links = 0  # text that stands in opened containers itself
+    for (element, text), read, length in zip(page.pieces, texts, lengths, strict=True):
         if text is None:
-            if words:
-                blocks.append("".join(words))
-                words = []
+            blocks.append("".join(words) if loose_links <= LINKED_BESIDE * loose else "")
+            words, loose, loose_links = [], 0, 0
+        elif dropped[element]:
+            continue
         elif kept[element]:
-            words.append(text)
-    blocks.append("".join(words))
+            words.append(read)
+        elif opened[block[element]]:
+            words.append(read)
+            loose += length
+            loose_links += length * linked[element]
+    blocks.append("".join(words) if loose_links <= LINKED_BESIDE * loose else "")
     return "\n\n".join(b for b in (" ".join(b.split()) for b in blocks) if b)
 
 

@@ -56,6 +56,32 @@ def test_siblings_like_the_best_container_stay():
     assert main_text(f"<body><nav>menu</nav>{part}{part}</body>").count(PARAGRAPH) == 4
 
 
+LONG = "A long paragraph, with some commas, stands here, one of three, says much, and more, " + "and on " * 30 + "it goes."
+SHORT = f"<h2>Second part</h2><p>{PARAGRAPH}</p><ul><li>one point</li></ul><figure>Its picture</figure><h5>Note</h5>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article><section>{0}</section><section>{1}</section></article>",
+        "<main><div><section>{0}</section></div><div>{1}</div></main>",
+        "<div><section>{0}</section>{1}</div>",
+        "<div><div><div>{0}</div></div><div><div>{1}</div></div></div>",
+        "<div><div><div>{0}</div></div><div><div><a href=1>{0}</a></div>{1}</div></div>",
+        "<span><div>{0}</div></span><span><div>{1}</div></span>",
+    ],
+)
+def test_small_parts_of_the_article_stay(page):
+    body = "<body><nav>menu</nav>" + page.format(f"<p>{LONG}</p>" * 3, SHORT) + "<div><a href=1>Home</a> | <a href=2>News</a></div></body>"
+    small = ["Second part", PARAGRAPH, "one point", "Its picture", "Note"]
+    assert main_text(body).split("\n\n") == [LONG] * 3 + small
+
+
+def test_text_around_the_best_container_stays():
+    page = f"<body><div>Before it, <a href=1>see</a> this.<div><p>{LONG}</p><p>{LONG}</p></div>After it.</div><a href=1>Home</a></body>"
+    assert main_text(page).split("\n\n") == ["Before it, see this.", LONG, LONG, "After it."]
+
+
 def test_given_pages_give_their_articles(spark):
     """The given pages mark their article; the scores must find it without the mark."""
     for row in spark.read.parquet(f"{SF}/pages.parquet").collect():
