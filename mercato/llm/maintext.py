@@ -35,6 +35,8 @@ DROPPED = frozenset(
     "input label map math menu meter nav noembed noframes noscript object option output progress script search "
     "select style svg template textarea title video".split()
 )
+# Those of them that pages put their whole body in all the same.
+FRAMING = frozenset("aside dialog fieldset footer form head header map menu nav object search".split())
 # What an end tag is implied by: elements closed when one of the set opens.
 CLOSED_BY = {
     "p": BLOCKS - {"li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup"},
@@ -65,6 +67,14 @@ OUTSIDE = frozenset(
     "share sharing social follow related recommended recommendations recirc trending popular outbrain taboola widget "
     "widgets skip search tags tagcloud complementary contentinfo form".split()
 )
+# Words of places and boxes: a compound name is outside if it has only these and words from above.
+PLACES = frozenset(
+    "site page main global left right top bottom upper lower first last primary secondary inner outer container wrapper "
+    "wrap box area block section panel bar row col column list item items group links link button buttons icons icon "
+    "posts post entry articles stories unit slot zone region module text title".split()
+)
+# Words of what readers write, which can be longer than the article.
+READERS = frozenset("comment comments commentlist commentary disqus discussion replies reply respond feedback".split())
 # Elements that such words do not put outside.
 FRAME = frozenset(["html", "body", "article", "main"])
 # Elements whose own text counts as a paragraph.
@@ -79,8 +89,11 @@ _HIDDEN = re.compile(
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SENTENCE = re.compile(r"[.!?…:;]['\"”’)]*(?:\s|$)")
 
-# An element named as outside stays if it holds more than this share of the text.
+# An element named as outside stays if it holds more than this share of the text, or of the paragraphs' points.
 TOO_MUCH = 0.9
+MOST = 0.5
+# It also stays with an article in it, if that has this share of the points of the page's largest.
+LARGE = 0.2
 LINKS_ALONE = 0.8
 # What stands beside the best container is kept below this share of linked text.
 LINKED_BESIDE = 0.5
@@ -182,16 +195,66 @@ class Page:
         del stack[depth:]
 
 
-def _named_outside(tag: str, attributes: str) -> bool:
+def _named_outside(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether the names put an element outside, and whether as what readers write."""
     if not attributes or tag in FRAME:
-        return False
-    if _HIDDEN.search(attributes):
-        return True
+        return False, False
+    outside, readers = bool(_HIDDEN.search(attributes)), False
     for match in _NAMED.finditer(attributes):
         value = match.group(2) or match.group(3) or match.group(4) or ""
-        if any(word.lower() in OUTSIDE for word in _WORDS.findall(value)):
+        for name in value.split():
+            words = {word.lower() for word in _WORDS.findall(name)}
+            if words & OUTSIDE and words <= OUTSIDE | PLACES:
+                outside, readers = True, readers or bool(words & READERS)
+    return outside, readers
+
+
+class _Weights:
+    """Text and paragraphs' points below every element, and those of the articles and main parts in it."""
+
+    def __init__(self, page: Page, lengths: list[int], points: list[float], dropped: list[bool]) -> None:
+        tags, parents = page.tags, page.parents
+        count = len(tags)
+        self.text = [0] * count
+        for (element, _), length in zip(page.pieces, lengths, strict=True):
+            if not dropped[element]:
+                self.text[element] += length
+        self.points = [0.0 if out else p for p, out in zip(points, dropped, strict=True)]
+        self.largest = [0.0] * count
+        for i in range(count - 1, 0, -1):
+            above = parents[i]
+            self.text[above] += self.text[i]
+            self.points[above] += self.points[i]
+            if tags[i] in ("article", "main"):
+                self.largest[i] = max(self.largest[i], self.points[i])
+            self.largest[above] = max(self.largest[above], self.largest[i])
+        self.end = list(range(1, count + 1))  # after the last element below
+        for i in range(count - 1, 0, -1):
+            self.end[parents[i]] = max(self.end[parents[i]], self.end[i])
+        # The largest article that begins before, or at or after, an element.
+        self.before, self.after = [0.0] * (count + 1), [0.0] * (count + 1)
+        inside = [0] * count  # the outermost article or main part
+        for i in range(1, count):
+            inside[i] = inside[parents[i]] or (i if tags[i] in ("article", "main") else 0)
+        outer = [self.points[i] if inside[i] == i else 0.0 for i in range(count)]
+        for i in range(1, count):
+            self.before[i + 1] = max(self.before[i], outer[i])
+        for i in range(count - 1, 0, -1):
+            self.after[i] = max(self.after[i + 1], outer[i])
+        self.inside = inside
+
+    def stays(self, i: int, readers: bool) -> bool:
+        """Whether an element holds a large article or most of the points, and no large article is elsewhere."""
+        if self.largest[i] and self.largest[i] >= (1.0 if readers else LARGE) * self.largest[0]:
             return True
-    return False
+        # Inside an article, of this article's points.
+        most = self.points[i] > (TOO_MUCH if readers else MOST) * self.points[self.inside[i]]
+        elsewhere = 0.0 if self.inside[i] else max(self.before[i], self.after[self.end[i]])
+        return most and elsewhere < LARGE * self.points[i]
+
+
+def _points(length: int, commas: int) -> float:
+    return 1 + commas + min(length / 100, 3.0) if length else 0.0
 
 
 def main_text(source: str | None) -> str:
@@ -204,32 +267,37 @@ def main_text(source: str | None) -> str:
     texts = [html.unescape(text) if text is not None and "&" in text else text for _, text in page.pieces]
     lengths = [0 if t is None else len("".join(t.split())) for t in texts]
 
-    dropped = [tag in DROPPED for tag in tags]
+    dropped = [tag in DROPPED and tag not in FRAMING for tag in tags]
     linked = [tag == "a" for tag in tags]
+    holder = [0] * count  # the nearest element that text can be a paragraph of
     for i in range(1, count):
         dropped[i] = dropped[i] or dropped[parents[i]]
         linked[i] = linked[i] or linked[parents[i]]
-    own = [0] * count
-    for (element, _), length in zip(page.pieces, lengths, strict=True):
-        if not dropped[element]:
-            own[element] += length
-    whole = own[:]
-    for i in range(count - 1, 0, -1):
-        whole[parents[i]] += whole[i]
-    # Elements that their names put outside, unless most of the text is in them.
+        holder[i] = i if tags[i] in PARAGRAPHS or tags[i] in FRAMING else holder[parents[i]]
+    held, marks = [0] * count, [0] * count
+    for (element, _), text, length in zip(page.pieces, texts, lengths, strict=True):
+        if length and not dropped[element] and not linked[element]:
+            held[holder[element]] += len(text)
+            marks[holder[element]] += text.count(",") + text.count("，") + text.count("、")
+    points = [_points(*pair) for pair in zip(held, marks, strict=True)]
+    # Elements that are never the article, unless it or most of the paragraphs are in them.
+    weights = _Weights(page, lengths, points, dropped)
+    for i in range(1, count):
+        dropped[i] = dropped[i] or dropped[parents[i]] or (tags[i] in FRAMING and not weights.stays(i, False))
+    # Elements that their names put outside, unless the same holds or most of the text is in them.
+    weights = _Weights(page, lengths, points, dropped)
     for i in range(1, count):
+        outside, readers = _named_outside(tags[i], page.attributes[i])
         dropped[i] = (
             dropped[i]
             or dropped[parents[i]]
-            or (_named_outside(tags[i], page.attributes[i]) and whole[i] <= TOO_MUCH * whole[0])
+            or (outside and weights.text[i] <= TOO_MUCH * weights.text[0] and not weights.stays(i, readers))
         )
 
     # Text, linked text and commas of every element's subtree; text of its own paragraph.
     size, links, anchors = [0] * count, [0] * count, [0] * count
     length_in, commas = [0] * count, [0] * count
-    holder = [0] * count  # the nearest element that text can be a paragraph of
     for i in range(1, count):
-        holder[i] = i if tags[i] in PARAGRAPHS else holder[parents[i]]
         if tags[i] == "a" and not dropped[i]:
             anchors[i] = 1
     for (element, _), text, length in zip(page.pieces, texts, lengths, strict=True):
@@ -259,13 +327,12 @@ def main_text(source: str | None) -> str:
     score = [0.0] * count
     for i in range(count):
         if length_in[i] and not dropped[i]:
-            points = 1 + commas[i] + min(length_in[i] / 100, 3.0)
             # Text that stands in a container itself speaks for this container, a paragraph for those above.
             above = i if tags[i] not in ("p", "pre", "blockquote", "td", "li", "dd", "figcaption") else parents[i]
             share = 1.0
             while above >= 0 and share > 0.1:
                 if tags[above] in BLOCKS:
-                    score[above] += points * share
+                    score[above] += _points(length_in[i], commas[i]) * share
                     share /= 2
                 above = parents[above]
     for i in range(count):

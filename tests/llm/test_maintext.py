@@ -82,6 +82,33 @@ def test_text_around_the_best_container_stays():
     assert main_text(page).split("\n\n") == ["Before it, see this.", LONG, LONG, "After it."]
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="content has-sidebar"><article>{}</article></div><div class="sidebar">{}</div>',
+        '<div class="no-sidebar with-comments">{}</div><div id="comments">{}</div>',
+        '<div class="legal"><article>{}</article></div><aside>{}</aside>',
+        '<div class="social-issues">{}</div><div class="site-footer">{}</div>',
+        '<div class="side">{}</div><div class="siteFooter">{}</div>',
+        '<form id="form1" action="./page.aspx"><div>{}</div><footer>{}</footer></form>',
+        "<form><h1>Title</h1><fieldset>{}</fieldset></form><nav>{}</nav>",
+        '<form class="search"><main>{}</main><div class="cookie-banner">{}</div></form>',
+        '<article>{}</article><div class="comments"><article>{}</article></div>',
+        "<main>{}</main><aside><article>{}</article></aside>",
+    ],
+)
+def test_names_and_forms_around_the_article_do_not_lose_it(page):
+    other = "Something else, said aside."
+    text = main_text(f"<html><body>{page.format(f'<p>{PARAGRAPH}</p>' * 3, f'<p>{other}</p>')}</body></html>")
+    assert text.removeprefix("Title\n\n") == "\n\n".join([PARAGRAPH] * 3)
+
+
+def test_pages_in_one_form_have_text():
+    assert main_text("<body><form>plain text</form></body>") == "plain text"
+    assert main_text("<body><form><label>Name</label><input><button>Send</button></form></body>") == ""
+    assert main_text("<body><nav><a href=1>Home</a></nav></body>") == ""
+
+
 def test_given_pages_give_their_articles(spark):
     """The given pages mark their article; the scores must find it without the mark."""
     for row in spark.read.parquet(f"{SF}/pages.parquet").collect():
