@@ -384,13 +384,46 @@ def field_spans(texts: list[str], field: Field, quiet: bool) -> list[list[tuple[
     return out
 
 
+# What must be there to keep parts of tokens beside what a pattern found.
+_VALUE = {
+    "email": re.compile(r"[^\s@]@[^\s@]"),
+    "ip": re.compile(r"(?:[0-9]+[^0-9]+){3}[0-9]"),
+    "card": re.compile(r"(?:[0-9][^0-9]*){12}"),
+    "phone": re.compile(r"(?:[0-9][^0-9]*){7}"),
+}
+
+
+def _beside(text: str, span: tuple[str, int, int], base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """What is left of a span of the field between those of the patterns: whole tokens, and parts of tokens in values."""
+    kind, start, end = span
+    cuts = sorted((b, e) for _, b, e in base if b < end and start < e)
+    if not cuts:
+        return [span]
+    out = []
+    for at, to in zip([start, *(e for _, e in cuts)], [*(b for b, _ in cuts), end], strict=True):
+        if at >= to:
+            continue
+        first, last = at, to
+        if at > start and not text[at].isspace():
+            first = next((i for i in range(at, to) if text[i].isspace()), to)
+        if to < end and not text[to - 1].isspace():
+            last = next((i for i in range(to, first, -1) if text[i - 1].isspace()), first)
+        cut = _SIGNAL.search(text, at, first) or _SIGNAL.search(text, last, to)
+        if cut and _VALUE[kind].search(text, at, to):
+            first, last = at, to
+        first, last = _trimmed(text, first, last)
+        if first < last:
+            out.append((kind, first, last))
+    return out
+
+
 def all_spans(texts: list[str | None], field: Field, quiet: bool) -> list[tuple[list, list]]:
     """Per text (spans of the patterns, these and what the field adds), by kind, then start."""
     texts = [t or "" for t in texts]
     found = []
     for text, more in zip(texts, field_spans(texts, field, quiet), strict=True):
         base = base_spans(text) if more or _SIGNAL.search(text) else []
-        new = [s for s in more if not any(s[1] < e and b < s[2] for _, b, e in base)] if more else []
+        new = [s for span in more for s in _beside(text, span, base)]
         found.append((base, sorted([*base, *new], key=lambda s: (KINDS.index(s[0]), s[1])) if new else base))
     return found
 
@@ -404,8 +437,8 @@ def personal_data(
 ) -> DataFrame:
     """(key, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every row.
 
-    Counts and digest are of the fixed patterns; ``spans`` holds these and those the field adds where no
-    pattern matched, as kind:start:end in code points.  Null and empty texts have none; a null key is
+    Counts and digest are of the fixed patterns; ``spans`` holds these and what the field adds beside
+    them, as kind:start:end in code points.  Null and empty texts have none; a null key is
     passed on; repeated rows get equal results; an empty table gives no rows; other columns are not
     read.  ``labelled`` are marked lines to learn from.  No row is shuffled.
     """
