@@ -87,6 +87,21 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def _pairs(items: list[int], sizes: list[int]) -> list[tuple[int, tuple[int, int]]]:
+    """Every sum that two of a bin's items have, with one pair that has it."""
+    by_size: dict[int, list[int]] = {}
+    for i in items:
+        by_size.setdefault(sizes[i], []).append(i)
+    found = {}
+    kinds = list(by_size.items())
+    for n, (size, same) in enumerate(kinds):
+        if len(same) > 1:
+            found.setdefault(2 * size, (same[0], same[1]))
+        for other, more in kinds[n + 1 :]:
+            found.setdefault(size + other, (same[0], more[0]))
+    return list(found.items())
+
+
 def _offers(bins: list[list[int]], sizes: list[int], skip: int) -> tuple[np.ndarray, list]:
     """What other bins can give: single items and pairs of items, sorted by their size."""
     offers = []
@@ -94,10 +109,7 @@ def _offers(bins: list[list[int]], sizes: list[int], skip: int) -> tuple[np.ndar
         if number == skip:
             continue
         offers += [(sizes[i], number, (i,)) for i in items]
-        if len(items) <= 16:
-            offers += [
-                (sizes[i] + sizes[j], number, (i, j)) for n, i in enumerate(items) for j in items[n + 1 :]
-            ]
+        offers += [(amount, number, pair) for amount, pair in _pairs(items, sizes)]
     offers.sort(key=lambda o: o[0])
     return np.array([o[0] for o in offers], dtype=np.int64), offers
 
@@ -113,8 +125,7 @@ def _improve(bins: list[list[int]], sizes: list[int], capacity: int) -> bool:
         own = bins[target]
         # Given for what is taken: nothing, one document, or two documents for one.
         gives = [((), 0)] + [((i,), sizes[i]) for i in own]
-        if len(own) <= 16:
-            gives += [((i, j), sizes[i] + sizes[j]) for n, i in enumerate(own) for j in own[n + 1 :]]
+        gives += [(pair, amount) for amount, pair in _pairs(own, sizes)]
         best = None
         for give, size in gives:
             at = int(np.searchsorted(amounts, size + gap, side="right")) - 1

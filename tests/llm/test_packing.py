@@ -68,3 +68,31 @@ def test_search_never_needs_more_bins():
         packed = local_search([list(b) for b in start], sizes, 100)
         assert sorted(i for b in packed for i in b) == list(range(300))
         assert all(sum(sizes[i] for i in b) <= 100 for b in packed) and len(packed) <= len(start)
+
+
+# (fullest bin, other bin) at a capacity of 100: taken are two of 4 for one of 7, or one of 8 is taken for two of 3.
+PAIRS = (
+    ([7] + [4] * 23, [4] * 20),
+    ([3] * 33, [7] * 2 + [8] * 4),
+)
+
+
+def test_bins_of_many_documents_exchange_pairs():
+    """Only two documents for one close the gap."""
+    for few, many in PAIRS:
+        sizes = few + many
+        start = [list(range(len(few))), list(range(len(few), len(sizes)))]
+        assert packing._improve(start, sizes, 100)
+        assert sorted(i for b in start for i in b) == list(range(len(sizes)))
+        assert max(sum(sizes[i] for i in b) for b in start) == 100
+
+
+def test_pairs_have_every_sum():
+    rng = random.Random(3)
+    for _ in range(200):
+        sizes = [rng.randint(1, 12) for _ in range(rng.randint(0, 40))]
+        items = rng.sample(range(len(sizes)), rng.randint(0, len(sizes)))
+        every = {sizes[i] + sizes[j] for n, i in enumerate(items) for j in items[n + 1 :]}
+        pairs = packing._pairs(items, sizes)
+        assert sorted(a for a, _ in pairs) == sorted(every)
+        assert all(i != j and {i, j} <= set(items) and sizes[i] + sizes[j] == a for a, (i, j) in pairs)
