@@ -74,6 +74,18 @@ def write_clustered(
     writer.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> None:
+    """A table bucketed and sorted by ``key``: joins and groupings on it need no exchange."""
+    (
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+
+
 def first_per_key(rows: DataFrame, key: Sequence[str], first: str) -> DataFrame:
     """The row with the smallest ``first`` per key: a map-side combinable aggregate, no window."""
     rest = [c for c in rows.columns if c not in key]
