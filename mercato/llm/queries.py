@@ -17,6 +17,7 @@ from mercato.llm.pii import personal_data
 from mercato.llm.sharding import sharded
 from mercato.llm.tokens import token_counts
 from mercato.llm.topk import nearest
+from mercato.llm.variants import variants
 from mercato.llm.warc import archived
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -86,6 +87,10 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return extracted(_table(spark, folder, "pages"))
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_jaccard_join": op2_jaccard_join,
@@ -97,4 +102,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_warc_records": op9_warc_records,
     "op10_main_text": op10_main_text,
+    "op12_spelling_variants": op12_spelling_variants,
 }

