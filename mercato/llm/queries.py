@@ -19,6 +19,7 @@ from mercato.llm.tokens import token_counts
 from mercato.llm.topk import nearest
 from mercato.llm.variants import variants
 from mercato.llm.warc import archived
+from mercato.llm.windows import windows
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -87,6 +88,10 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return extracted(_table(spark, folder, "pages"))
 
 
+def op11_ordered_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return windows(_table(spark, folder, "documents"), VOCABULARY)
+
+
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variants(_table(spark, folder, "documents"))
 
@@ -102,5 +107,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_warc_records": op9_warc_records,
     "op10_main_text": op10_main_text,
+    "op11_ordered_windows": op11_ordered_windows,
     "op12_spelling_variants": op12_spelling_variants,
 }
