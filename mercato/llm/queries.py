@@ -12,6 +12,7 @@ from mercato.llm.decontaminate import contaminated_spans
 from mercato.llm.jaccard import linked_components
 from mercato.llm.langid import identify
 from mercato.llm.maintext import extracted
+from mercato.llm.negatives import hard_negatives
 from mercato.llm.packing import pack
 from mercato.llm.pii import personal_data
 from mercato.llm.sharding import sharded
@@ -96,6 +97,10 @@ def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variants(_table(spark, folder, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_jaccard_join": op2_jaccard_join,
@@ -109,4 +114,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_main_text": op10_main_text,
     "op11_ordered_windows": op11_ordered_windows,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_hard_negatives": op13_hard_negatives,
 }

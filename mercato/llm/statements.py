@@ -148,4 +148,26 @@ SQL: dict[str, str] = {
         )
         SELECT f.word, f.form, p.root, f.n, f.n_near, f.form_n FROM forms f JOIN paths p ON p.word = f.word AND p.next IS NULL
     """,
+    "op13_hard_negatives": """
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS MATERIALIZED (
+            SELECT a.r AS anchor, a.vec_id AS anchor_id, a.label = o.label AS same, o.vec_id,
+                   CAST(coalesce(list_sum(list_transform(list_zip(a.v, o.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+            FROM kept a JOIN kept o ON a.r <> o.r AND len(a.v) = len(o.v) WHERE a.vec_id % 50 = 0
+        ), positives AS (
+            SELECT * FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, p.vec_id AS positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor, p.vec_id, p.score ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+               n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+         AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+        QUALIFY rank <= 3
+    """,
 }
