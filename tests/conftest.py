@@ -1,4 +1,5 @@
 import os
+import shutil
 import sys
 
 import pytest
@@ -28,6 +29,15 @@ def shop(spark):
     return Shop(spark, SF)
 
 
+def copied(folder, *without):
+    """A writable folder with the given tables, but for those named."""
+    os.makedirs(folder)
+    for name in os.listdir(SF):
+        if name.removesuffix(".parquet") not in without:
+            shutil.copyfile(f"{SF}/{name}", f"{folder}/{name}")
+    return folder
+
+
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 

@@ -99,18 +99,14 @@ def test_top_n_puts_nulls_first_descending_and_last_ascending(spark):
 
 def test_a_sum_without_its_user_does_not_shorten_a_top_list(spark, tmp_path):
     """Spark enforces no foreign keys: the best buyer's row is missing, ten others are listed."""
-    import shutil
-
     import __spark_entry__ as entry_point
-    from tests.conftest import SF
+    from tests.conftest import SF, copied
 
-    folder = f"{tmp_path}/shop"
-    shutil.copytree(SF, folder)
+    folder = copied(f"{tmp_path}/shop", "customer")
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     best = orders.filter("o_orderkey % 100 >= 10").groupBy("o_custkey").count()
     top = [r["o_custkey"] for r in best.orderBy(F.desc("count"), "o_custkey").limit(3).collect()]
-    shutil.move(f"{folder}/customer.parquet", f"{folder}/all.parquet")
-    kept = spark.read.parquet(f"{folder}/all.parquet").filter(~F.col("c_custkey").isin(top))
+    kept = spark.read.parquet(f"{SF}/customer.parquet").filter(~F.col("c_custkey").isin(top))
     kept.write.parquet(f"{folder}/customer.parquet")
     questions = entry_point.queries()
     for name, size in (("q07_top10_customers_by_orders", 10), ("q23_top10_no_coupon_spenders", 10), ("q43_top10_bulk_baskets", 10)):

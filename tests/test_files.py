@@ -4,24 +4,21 @@ from pyspark.sql import functions as F
 from mercato import scratch
 from mercato.sources import files
 from mercato.sources.schemas import OPERATIONAL, STAR
-from tests.conftest import SF, final_plan, rows
+from tests.conftest import SF, copied, final_plan, rows
 
 
 def test_a_changed_folder_is_seen(spark, tmp_path):
     """Questions asked through the session's shop see files that arrived since."""
-    import shutil
-
     from mercato.sources.shop import shop_at
 
-    folder = f"{tmp_path}/shop"
-    shutil.copytree(SF, folder)
+    folder = copied(f"{tmp_path}/shop", "customer")
+    given = spark.read.parquet(f"{SF}/customer.parquet")
+    given.write.parquet(f"{folder}/customer.parquet")
     before = shop_at(spark, folder)
     users = before.users.count()
     assert shop_at(spark, folder) is before
-    more = spark.read.parquet(f"{SF}/customer.parquet").withColumn("c_custkey", F.col("c_custkey") + 10_000)
-    shutil.move(f"{folder}/customer.parquet", f"{folder}/first.parquet")
-    both = spark.read.parquet(f"{folder}/first.parquet").unionByName(more)
-    both.write.parquet(f"{folder}/customer.parquet")
+    more = given.withColumn("c_custkey", F.col("c_custkey") + 10_000)
+    more.write.mode("append").parquet(f"{folder}/customer.parquet")
     assert shop_at(spark, folder) is not before
     assert shop_at(spark, folder).users.count() == users + more.count()
 
