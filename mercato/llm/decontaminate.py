@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -30,9 +30,11 @@ WINDOW = 10
 SHARD_BYTES = 4 << 20
 # Every so many text positions one is kept in the index.
 SAMPLE = 8
-# Phrases searched side by side, and benchmark words of one pass over the documents.
+# Phrases searched side by side, and windows of the benchmark, each with an item, of one pass over the documents.
 SEARCHED = 1 << 16
-PASS_WORDS = 1 << 20
+PASS_WINDOWS = 1 << 20
+# Windows of an item that are handed on together.
+WINDOWS_AT_ONCE = 1 << 14
 # Words of the shard per block of rank counts.
 RANK_BLOCK = 64
 
@@ -161,22 +163,23 @@ class Index:
 
 
 class Phrases:
-    """The windows of some benchmark items."""
-
-    def __init__(self, items: list[tuple[str, np.ndarray]]) -> None:
-        """``items``: (item id as text, hashes of its words)."""
-        self.words = np.unique(np.concatenate([w for _, w in items]))
-        windows: dict[tuple, set[str]] = {}
-        for name, words in items:
-            numbers = (np.searchsorted(self.words, words) + 1).tolist()
-            size = min(WINDOW, len(numbers))
-            for i in range(len(numbers) - size + 1):
-                windows.setdefault(tuple(numbers[i : i + size]), set()).add(name)
-        self.names = [sorted(names) for names in windows.values()]
-        self.sizes = np.array([len(w) for w in windows], dtype=np.int64)
-        self.back = np.full((len(windows), WINDOW), -1, np.int64)
-        for row, window in enumerate(windows):
-            self.back[row, : len(window)] = window[::-1]
+    """Some windows of the benchmark: rows of word hashes, and the items each belongs to."""
+
+    def __init__(self, windows: list[bytes], names: list[str | None]) -> None:
+        """``windows``: the hashes of a window's words, 8 bytes each; ``names``: an item with it, if named."""
+        by_window: dict[bytes, set[str]] = {}
+        for window, name in zip(windows, names, strict=True):
+            own = by_window.setdefault(window, set())
+            if name is not None:
+                own.add(name)
+        self.names = [sorted(names) for names in by_window.values()]
+        hashes = np.frombuffer(b"".join(by_window), np.uint64)
+        self.words, numbers = np.unique(hashes, return_inverse=True)
+        self.sizes = np.fromiter(map(len, by_window), np.int64, len(by_window)) // 8
+        self.back = np.full((len(by_window), WINDOW), -1, np.int64)
+        row = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        ends = np.cumsum(self.sizes)
+        self.back[row, ends[row] - 1 - np.arange(len(hashes))] = numbers + 1
         self.shortest = int(self.sizes.min())
 
 
@@ -220,20 +223,33 @@ def occurrences(
     return np.concatenate(rows), np.concatenate(found)
 
 
-def _benchmark(benchmark: DataFrame, key: str, text: str) -> Iterator[list[tuple[str, np.ndarray]]]:
-    """Items in blocks of PASS_WORDS words; one block at a time is held."""
-    rows = benchmark.filter(F.col(key).isNotNull()).select(F.col(key).cast("string"), F.col(text).cast("string"))
-    block, size = [], 0
-    for name, whole in rows.toLocalIterator():
-        words, _ = tasks.word_hashes(*tasks.flat(pa.array([whole], pa.string())), LOWER, WORD)
-        if len(words):
-            block.append((name, words))
-            size += len(words)
-        if size >= PASS_WORDS:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(window, name) of every window of every item; a window is written as its words' hashes."""
+    for batch in batches:
+        for part in tasks.slices(batch, 1):
+            hashes, firsts = tasks.word_hashes(*tasks.flat(part.column(1)), LOWER, WORD)
+            data = hashes.tobytes()
+            for row, name in enumerate(part.column(0).to_pylist()):
+                start, end = int(firsts[row]), int(firsts[row + 1])
+                size = min(WINDOW, end - start)
+                for first in range(start, end - size + 1 if size else start, WINDOWS_AT_ONCE):
+                    starts = range(first, min(first + WINDOWS_AT_ONCE, end - size + 1))
+                    found = pa.array([data[8 * i : 8 * (i + size)] for i in starts], pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [found, pa.array([name] * len(found), pa.string())], names=["window", "name"]
+                    )
+
+
+def _benchmark(benchmark: DataFrame, key: str, text: str) -> Iterator[Phrases]:
+    """The benchmark's distinct windows, in blocks of about PASS_WINDOWS; the driver holds one block."""
+    items = benchmark.select(F.col(key).cast("string").alias("name"), F.col(text).cast("string").alias("item text"))
+    pairs = scratch.materialize(items.mapInArrow(_windows, "window binary, name string").distinct(), "windows")
+    blocks = -(-pairs.count() // PASS_WINDOWS)
+    for block in range(blocks):
+        # Pairs are distinct, so their hashes deal them evenly, a window of many items too.
+        mine = pairs.filter(F.pmod(F.xxhash64("window", "name"), F.lit(blocks)) == block).toArrow()
+        if mine.num_rows:
+            yield Phrases(mine.column("window").to_pylist(), mine.column("name").to_pylist())
 
 
 def _merged(starts: np.ndarray, ends: np.ndarray) -> list[dict[str, int]]:
@@ -253,8 +269,16 @@ FOUND = ("found words", "found spans", "found items")
 FOUND_KINDS = f"`{FOUND[0]}` bigint, `{FOUND[1]}` {SPANS}, `{FOUND[2]}` array<string>"
 
 
-def _searched(rows: DataFrame, columns: list[str], kinds: str, phrases: Phrases) -> DataFrame:
-    """``columns`` with words, spans (of word places) and items of one block of the benchmark."""
+Finish = Callable[[list[pa.Array], list[list[dict[str, int]]]], pa.RecordBatch]
+
+
+def _searched(
+    rows: DataFrame, columns: list[str], kinds: str, phrases: Phrases, finish: Finish | None = None
+) -> DataFrame:
+    """``columns`` with words, spans (of word places) and items of one block of the benchmark.
+
+    ``finish`` makes the result of the columns and spans instead, in the same task.
+    """
     shared = tasks.Shared(rows.sparkSession, phrases)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,11 +297,14 @@ def _searched(rows: DataFrame, columns: list[str], kinds: str, phrases: Phrases)
                     spans.append(_merged(start, start + wanted.sizes[own]))
                     items.append(sorted({name for w in np.unique(own) for name in wanted.names[w]}))
                 kept = [part.column(i) for i in range(part.num_columns - 1)]
+                if finish:
+                    yield finish(kept, spans)
+                    continue
                 kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
                 found = [pa.array(np.diff(firsts)), pa.array(spans, kind), pa.array(items, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays([*kept, *found], names=[*columns, *FOUND])
 
-    return rows.mapInArrow(run, f"{kinds}, {FOUND_KINDS}")
+    return rows.mapInArrow(run, kinds if finish else f"{kinds}, {FOUND_KINDS}")
 
 
 def _none(rows: DataFrame, columns: list[str], kinds: str) -> DataFrame:
@@ -324,10 +351,12 @@ def contaminated_spans(
     Words are runs of the bytes 0-9, a-z (A-Z lower-cased) and 0x80-0xFF.  A phrase is 10 consecutive
     words of an item, or a shorter item's whole sequence.  Spans are (start, end) in words, end
     exclusive, merged; items the ids (as strings, sorted) with an occurring phrase.  Null and empty
-    texts have no words; items without words or id are left out; repeated rows get equal results; empty
-    tables give no rows or no hits.  Words are compared by 64-bit hashes.
+    texts have no words; the words of items without an id are hit too, but items does not name them;
+    repeated rows get equal results; empty tables give no rows or no hits.  Words are compared by 64-bit
+    hashes.
 
-    The benchmark is read in blocks of about PASS_WORDS words; the usual one block needs no shuffle.
+    The benchmark's windows are made and told apart on Spark and searched in blocks of about
+    PASS_WINDOWS; with one block no document is shuffled.
     """
     found = _found(df, benchmark, columns, text, item_key, item_text)
     names = zip(FOUND, ("n_words", "spans", "items"), strict=True)
@@ -335,26 +364,32 @@ def contaminated_spans(
 
 
 def _found(
-    df: DataFrame, benchmark: DataFrame, columns: list[str], text: str, item_key: str, item_text: str
+    df: DataFrame,
+    benchmark: DataFrame,
+    columns: list[str],
+    text: str,
+    item_key: str,
+    item_text: str,
+    finish: Finish | None = None,
 ) -> DataFrame:
-    """``columns`` with the columns named in FOUND."""
+    """``columns`` with the columns named in FOUND, or what ``finish`` makes of ``columns`` and spans."""
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
     rows = df.select(*[F.col(c) for c in columns], F.col(text).cast("string").alias("searched text"))
     blocks = _benchmark(benchmark, item_key, item_text)
     first, second = next(blocks, None), next(blocks, None)
     if first is None:
-        return _none(rows, columns, kinds)
+        return df.select(*columns) if finish else _none(rows, columns, kinds)
     if second is None:
-        return _searched(rows, columns, kinds, Phrases(first))
+        return _searched(rows, columns, kinds, first, finish)
     # Keys may be null or repeat: rows are told apart by their place in a stored table.
     place = "found row"
     stored = scratch.materialize(rows, "documents").withColumn(place, F.monotonically_increasing_id())
     rows = stored.select(*columns, place, "searched text")
     columns, kinds = [*columns, place], f"{kinds}, `{place}` bigint"
-    done = _searched(rows, columns, kinds, Phrases(first))
+    done = _searched(rows, columns, kinds, first)
     words, spans, items = FOUND
     for block in chain([second], blocks):
-        more = _searched(rows, columns, kinds, Phrases(block)).select(
+        more = _searched(rows, columns, kinds, block).select(
             F.col(place), F.col(spans).alias("more spans"), F.col(items).alias("more items")
         )
         done = scratch.materialize(
@@ -366,7 +401,15 @@ def _found(
             ),
             "spans",
         )
-    return done.drop(place)
+    if not finish:
+        return done.drop(place)
+    width = len(columns) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield finish(batch.columns[:width], batch.column(width + 2).to_pylist())
+
+    return done.mapInArrow(run, df.select(*columns[:width]).schema)
 
 
 _WORDS = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
@@ -383,25 +426,29 @@ def cut(text: str, spans: list[dict[str, int]]) -> str:
 
 
 def decontaminated(df: DataFrame, benchmark: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
-    """``df`` with benchmark phrases cut out of the texts and ``length`` set anew where that happened.
+    """``df`` with benchmark phrases cut out of the texts and ``length``, if there, set anew where that happened.
 
-    Rows of which no word is left go; all others stay, those without a hit unchanged.
+    Rows of which a cut leaves no word go; all others stay, those without a hit unchanged, so also rows
+    without text.  Repeated rows are cut alike; empty tables give no rows or change none.
     """
-    found = _found(df, benchmark, list(df.columns), text, "item_id", "text")
-    at, size = df.columns.index(text), df.columns.index(length)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            arrays = list(batch.columns[: len(df_columns)])
-            texts, sizes = arrays[at].to_pylist(), arrays[size].to_pylist()
-            keep = [True] * len(texts)
-            for row, spans in enumerate(batch.column(len(df_columns) + 1).to_pylist()):
-                if spans:
-                    texts[row] = cut(texts[row], spans)
+    columns = list(df.columns)
+    at, size = columns.index(text), columns.index(length) if length in columns else None
+
+    def finish(arrays: list[pa.Array], spans: list[list[dict[str, int]]]) -> pa.RecordBatch:
+        arrays = list(arrays)
+        hit = [row for row, found in enumerate(spans) if found]
+        if hit:
+            texts, keep = arrays[at].to_pylist(), [True] * len(spans)
+            sizes = arrays[size].to_pylist() if size is not None else texts
+            for row in hit:
+                texts[row] = cut(texts[row], spans[row])
+                keep[row] = bool(_WORDS.search(texts[row]))
+                if size is not None:
                     sizes[row] = len(texts[row])
-                    keep[row] = bool(_WORDS.search(texts[row]))
-            arrays[at], arrays[size] = pa.array(texts, arrays[at].type), pa.array(sizes, arrays[size].type)
-            yield pa.RecordBatch.from_arrays(arrays, names=df_columns).filter(pa.array(keep))
+            arrays[at] = pa.array(texts, arrays[at].type)
+            if size is not None:
+                arrays[size] = pa.array(sizes, arrays[size].type)
+            return pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(keep))
+        return pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    df_columns = list(df.columns)
-    return found.mapInArrow(run, df.schema)
+    return _found(df, benchmark, columns, text, "item_id", "text", finish)

@@ -54,7 +54,7 @@ SQL: dict[str, str] = {
             SELECT row_number() OVER () AS r, doc_id, {_words("text", _BENCHMARK_WORD)} AS w FROM documents
         ), items AS (
             SELECT CAST(item_id AS VARCHAR) AS item, {_words("text", _BENCHMARK_WORD)} AS w
-            FROM benchmark WHERE item_id IS NOT NULL
+            FROM benchmark
         ), starts AS (
             SELECT item, w, least(10, len(w)) AS n, unnest(range(1, greatest(len(w) - 8, 2))) AS i
             FROM items WHERE len(w) > 0
@@ -71,7 +71,7 @@ SQL: dict[str, str] = {
             SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hits) GROUP BY r
         ), named AS (
             SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
-            FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
+            FROM (SELECT DISTINCT r, item FROM hits WHERE item IS NOT NULL) GROUP BY r
         )
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
                CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,

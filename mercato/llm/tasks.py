@@ -25,12 +25,17 @@ FILTER_BITS = 1 << 23
 FAN_IN = 16
 
 
-def worker_cache(name: str, make: Callable[[], object]) -> object:
-    """One object per Python worker, kept while the worker lives (tasks reuse workers)."""
+def worker_cache(owner: str, make: Callable[[], object]) -> object:
+    """One object per Python worker, kept for its later tasks until another owner asks for one.
+
+    So a worker holds what the operator at work needs and nothing of those before; bounds in bytes are
+    the owner's.
+    """
     kept = sys.__dict__.setdefault("_mercato_llm_kept", {})
-    if name not in kept:
-        kept[name] = make()
-    return kept[name]
+    if owner not in kept:
+        kept.clear()
+        kept[owner] = make()
+    return kept[owner]
 
 
 class Shared:
@@ -42,13 +47,8 @@ class Shared:
 
     @property
     def value(self) -> object:
-        """The object, unpacked once per worker; the one unpacked before is let go."""
-        kept = worker_cache("shared", dict)
-        if self.name not in kept:
-            if len(kept) > 8:
-                kept.clear()
-            kept[self.name] = cloudpickle.loads(zlib.decompress(self.packed.value))
-        return kept[self.name]
+        """The object, unpacked once per task; reading it drops what other operators kept."""
+        return worker_cache(self.name, lambda: cloudpickle.loads(zlib.decompress(self.packed.value)))
 
 
 def slices(batch: pa.RecordBatch, text: int, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
@@ -158,11 +158,13 @@ def tree_merge(df: DataFrame, merge: Callable[[list[bytes]], bytes]) -> bytes |
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([merge(held)], pa.binary())], names=["record"])
 
+    # Every merge follows an exchange: no task holds the worker that makes records and one that merges.
     parts = max(1, left.rdd.getNumPartitions())
-    left = left.mapInArrow(run, "record binary")
-    while parts > 1:
+    while True:
         parts = -(-parts // FAN_IN)
         left = left.repartition(parts).mapInArrow(run, "record binary")
+        if parts == 1:
+            break
     rows = left.collect()
     return merge([bytes(r["record"]) for r in rows]) if rows else None
 

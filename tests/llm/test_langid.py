@@ -2,8 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mercato.llm import langid
-from mercato.llm.langid import Network, identify, recognised, train, words_of
+from mercato.llm import langid, tasks
+from mercato.llm.langid import Network, identify, lanes, recognised, train
 from tests.conftest import SF
 from tests.llm.helpers import DOCUMENTS, documents
 
@@ -18,7 +18,7 @@ def test_gradients_equal_differences():
 
     def loss():
         chances = network.positions(codes)
-        return -np.log(np.take_along_axis(chances, labels[:, None, None].repeat(5, 1), 2)).mean()
+        return -np.log(np.take_along_axis(chances, labels[None, None, :].repeat(5, 0), 1)).mean()
 
     for parameter, gradient in zip(network.parameters(), network.step(codes, labels)):
         for _ in range(4):
@@ -34,19 +34,80 @@ def test_gradients_equal_differences():
             assert gradient[at] == pytest.approx((above - below) / (2 * step), abs=2e-3)
 
 
-def test_equal_words_are_read_once_and_alike():
-    network = train([b"der", b"und", b"the", b"and"] * 40, np.array([0, 0, 1, 1] * 40), ["de", "en"])
-    kept = langid._Kept()
-    kept.clear("x", 2)
-    together = langid.probabilities(["der und der", "the and", "", None], network, kept)
-    assert together[0].argmax() == 0 and together[1].argmax() == 1 and (together[2:] == 0).all()
-    by_hand = sum(network.positions(np.frombuffer(w, np.uint8)[None])[0].sum(axis=0) for w in (b"der", b"und", b"der"))
-    assert together[0] == pytest.approx(by_hand / 9, abs=1e-5)
-    assert len(kept.numbers) == 4
+def plain_positions(network, data):
+    """The distribution at every byte of one text, by one step after the other."""
 
+    def states(direction, order):
+        h, width, out = np.zeros(network.hidden), network.hidden, {}
+        for t in order:
+            x = direction.table[data[t]] @ direction.inputs + direction.bias
+            u = h @ direction.state
+            z, r = (1 / (1 + np.exp(-(x[i * width : (i + 1) * width] + u[i * width : (i + 1) * width]))) for i in (0, 1))
+            n = np.tanh(x[2 * width :] + r * u[2 * width :])
+            h = (1 - z) * n + z * h
+            out[t] = h
+        return out
 
-def test_long_words_come_in_pieces():
-    assert words_of("a" * 60 + " é") == [b"a" * 24, b"a" * 24, b"a" * 12, "é".encode()]
+    ahead = states(network.forward, range(len(data)))
+    behind = states(network.backward, range(len(data) - 1, -1, -1))
+    scores = np.array([np.concatenate([ahead[t], behind[t]]) @ network.out + network.bias for t in range(len(data))])
+    scores = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return scores / scores.sum(axis=1, keepdims=True)
+
+
+def flat(texts):
+    import pyarrow as pa
+
+    return tasks.flat(pa.array(texts, pa.string()))
+
+
+def test_texts_equal_a_plain_loop(monkeypatch):
+    """State crosses word ends; short texts of many lengths go side by side."""
+    monkeypatch.setattr(langid, "CHUNK", 3)
+    network = train([b"der und ", b"ist die ", b"the and ", b"of that "] * 40, np.array([0, 0, 1, 1] * 40), ["de", "en"])
+    texts = ["der und die", "the and", "", None, "x", "12, é! " * 40, "the 漢字", "and of"]
+    found = network.probabilities(*flat(texts))
+    for text, got in zip(texts, found):
+        if text:
+            assert got == pytest.approx(plain_positions(network, text.encode()).mean(axis=0), abs=1e-5)
+        else:
+            assert (got == 0).all()
+    assert found[0].argmax() == 0 and found[1].argmax() == 1
+
+
+def test_long_texts_are_read_side_by_side():
+    """With the context before and after them, the lanes' labels are those of the whole text."""
+    network = train([b"der und ", b"the and "] * 40, np.array([0, 1] * 40), ["de", "en"])
+    text = "und der the and " * 90 + "of"
+    got = network.probabilities(*flat([text, "der", text[:700]]))
+    for found, whole in zip(got, (text, "der", text[:700])):
+        assert found == pytest.approx(plain_positions(network, whole.encode()).mean(axis=0), abs=1e-3)
+
+
+@pytest.mark.parametrize("lane, context", [(512, 32), (12, 3), (5, 1)])
+def test_every_byte_is_labelled_once(monkeypatch, lane, context):
+    monkeypatch.setattr(langid, "LANE", lane)
+    monkeypatch.setattr(langid, "CONTEXT", context)
+    for size in [*range(40), 511, 512, 513, 960, 961, 5_000]:
+        _, start, length, first, last = lanes(np.array([0, 7, 7 + size, 7 + size]))
+        places = [p for s, a, b in zip(start[start >= 7], first[start >= 7], last[start >= 7]) for p in range(s + a, s + b)]
+        assert sorted(places) == list(range(7, 7 + size))
+        inner = [(s, n, a, b) for s, n, a, b in zip(start, length, first, last) if s >= 7]
+        assert all(n <= lane and a >= 0 and b <= n for _, n, a, b in inner)
+        for (s, n, a, b), (after, *_ ) in zip(inner, inner[1:]):
+            assert n - b >= context and after > s
+
+
+def test_every_label_is_learned_from_a_bounded_sample(spark, monkeypatch):
+    """Copies of one row do not crowd out others; the sample does not depend on the order of rows."""
+    monkeypatch.setattr(langid, "ALL_DOCUMENTS", 60)
+    rows = [(i, f"text {i} of label {i % 30} " * 9, f"l{i % 30}", "s", 1) for i in range(3_000)] + [(7, "copy " * 50, "l0", "s", 1)] * 900
+    frame = spark.createDataFrame(rows, DOCUMENTS)
+    found = langid.training_pieces(frame.repartition(5), "doc_id", "text", "lang")
+    assert {lang for lang, _ in found} == {f"l{i}" for i in range(30)}
+    assert found == langid.training_pieces(frame.repartition(2), "doc_id", "text", "lang")
+    per = [sum(lang == name for lang, _ in found) for name in {lang for lang, _ in found}]
+    assert max(per) <= langid.LEAST_DOCUMENTS * langid.PIECES
 
 
 def test_held_out_documents_are_told(spark):
