@@ -20,10 +20,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Pieces packed together by one task.
 BLOCK = 8_192
-# Underfull bins that exchange documents with each other at a time.
-POOL = 64
+# Share of its sequences that a round must save for another one to follow.
+SAVING = 0.001
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
-PLACED = f"{PIECES}, bin int, offset bigint, underfull boolean"
+PLACED = f"{PIECES}, row bigint, bin int, offset bigint, underfull boolean"
 
 
 def token_pieces(
@@ -87,85 +87,136 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _pairs(items: list[int], sizes: list[int]) -> list[tuple[int, tuple[int, int]]]:
+def _pairs(items: list[int], sizes: list[int]) -> dict[int, tuple[int, int]]:
     """Every sum that two of a bin's items have, with one pair that has it."""
     by_size: dict[int, list[int]] = {}
     for i in items:
         by_size.setdefault(sizes[i], []).append(i)
-    found = {}
+    found: dict[int, tuple[int, int]] = {}
     kinds = list(by_size.items())
     for n, (size, same) in enumerate(kinds):
         if len(same) > 1:
             found.setdefault(2 * size, (same[0], same[1]))
         for other, more in kinds[n + 1 :]:
             found.setdefault(size + other, (same[0], more[0]))
-    return list(found.items())
+    return found
 
 
-def _offers(bins: list[list[int]], sizes: list[int], skip: int) -> tuple[np.ndarray, list]:
-    """What other bins can give: single items and pairs of items, sorted by their size."""
-    offers = []
-    for number, items in enumerate(bins):
-        if number == skip:
-            continue
-        offers += [(sizes[i], number, (i,)) for i in items]
-        offers += [(amount, number, pair) for amount, pair in _pairs(items, sizes)]
-    offers.sort(key=lambda o: o[0])
-    return np.array([o[0] for o in offers], dtype=np.int64), offers
-
-
-def _improve(bins: list[list[int]], sizes: list[int], capacity: int) -> bool:
-    """The exchange that fills one of the fullest underfull bins best; false if none raises squared fill."""
-    fills = [sum(sizes[i] for i in items) for items in bins]
-    for target in sorted(range(len(bins)), key=lambda b: -fills[b]):
-        gap = capacity - fills[target]
-        if gap == 0:
-            continue
-        amounts, offers = _offers(bins, sizes, target)
-        own = bins[target]
-        # Given for what is taken: nothing, one document, or two documents for one.
-        gives = [((), 0)] + [((i,), sizes[i]) for i in own]
-        gives += [(pair, amount) for amount, pair in _pairs(own, sizes)]
-        best = None
-        for give, size in gives:
-            at = int(np.searchsorted(amounts, size + gap, side="right")) - 1
-            while at >= 0 and amounts[at] > size:
-                amount, source, take = offers[at]
-                gained = amount - size
-                if best is not None and gained <= best[0]:
-                    break
-                if not (len(give) == 2 and len(take) == 2) and fills[target] + gained > fills[source]:
-                    best = (gained, source, take, give)
-                    break
-                at -= 1
-            if best is not None and best[0] == gap:
+class _Offers:
+    """Which bins can give an amount: one document of that size, or two that sum to it."""
+
+    def __init__(self, capacity: int) -> None:
+        self.bins: list[dict[int, tuple]] = [{} for _ in range(capacity + 1)]
+        self.amounts = 0  # bit a: some bin gives a
+
+    def add(self, number: int, amounts: dict[int, tuple]) -> None:
+        for amount, items in amounts.items():
+            self.bins[amount][number] = items
+            self.amounts |= 1 << amount
+
+    def drop(self, number: int, amounts: dict[int, tuple]) -> None:
+        for amount in amounts:
+            del self.bins[amount][number]
+            if not self.bins[amount]:
+                self.amounts &= ~(1 << amount)
+
+
+class _Search:
+    """Underfull bins and everything they could give each other, indexed by size."""
+
+    def __init__(self, bins: list[list[int]], sizes: list[int], capacity: int) -> None:
+        self.bins, self.sizes, self.capacity = bins, sizes, capacity
+        self.fills = [sum(sizes[i] for i in items) for items in bins]
+        self.single, self.pair = _Offers(capacity), _Offers(capacity)
+        self.own: list[tuple[dict, dict]] = [({}, {})] * len(bins)
+        # Documents that would have to move to fill all bins but the last.
+        self.slack = sum(capacity - f for f in self.fills)
+        for number in range(len(bins)):
+            self._enter(number)
+
+    def _enter(self, number: int) -> None:
+        """Lists what a bin gives; full and empty bins give nothing."""
+        items, single, pair = self.bins[number], {}, {}
+        if 0 < self.fills[number] < self.capacity:
+            single = {self.sizes[i]: (i,) for i in items}
+            pair = _pairs(items, self.sizes)
+        self.single.add(number, single)
+        self.pair.add(number, pair)
+        self.own[number] = single, pair
+
+    def _leave(self, number: int) -> None:
+        single, pair = self.own[number]
+        self.single.drop(number, single)
+        self.pair.drop(number, pair)
+
+    def _best(self, target: int, offers: _Offers, given: int, floor: int) -> tuple[int, int, tuple] | None:
+        """(gain, source, documents) of the most above ``floor`` that the target could take for ``given``."""
+        fill, most = self.fills[target], self.capacity - self.fills[target]
+        amounts = offers.amounts & ((2 << (given + most)) - 1)
+        while amounts.bit_length() > given + floor + 1:
+            amount = amounts.bit_length() - 1
+            gain = amount - given
+            for source, items in offers.bins[amount].items():
+                # Squared fill rises when the target ends fuller than the source was.
+                if source != target and self.fills[source] < fill + gain:
+                    return gain, source, items
+            amounts &= ~(1 << amount)
+        return None
+
+    def improve(self, target: int) -> bool:
+        """Makes the exchange that fills the target best, if one raises squared fill."""
+        most = self.capacity - self.fills[target]
+        single, pair = self.own[target]
+        best: tuple[int, int, tuple, tuple] | None = None
+        # Nothing or one document for one or two, two documents for one.
+        ways = [((), 0, True)]
+        ways += [(items, size, True) for size, items in single.items()]
+        ways += [(items, size, False) for size, items in pair.items()]
+        for give, given, two in ways:
+            for offers in (self.single, self.pair) if two else (self.single,):
+                found = self._best(target, offers, given, best[0] if best else 0)
+                if found:
+                    best = (*found, give)
+                    if best[0] == most:
+                        break
+            if best and best[0] == most:
                 break
-        if best is None:
-            continue
-        _, source, take, give = best
-        bins[source] = [i for i in bins[source] if i not in take] + list(give)
-        bins[target] = [i for i in own if i not in give] + list(take)
+        if not best:
+            return False
+        gain, source, take, give = best
+        for number, out, into in ((target, give, take), (source, take, give)):
+            self._leave(number)
+            self.bins[number] = [i for i in self.bins[number] if i not in out] + list(into)
+        self.fills[target] += gain
+        self.fills[source] -= gain
+        for number in (target, source):
+            self._enter(number)
+        if not self.fills[source]:
+            self.slack -= self.capacity
         return True
-    return False
+
+    def run(self) -> None:
+        """Exchanges until none raises squared fill, or until no bin can be saved any more."""
+        moved = True
+        while moved and self.slack >= self.capacity:
+            moved = False
+            for target in sorted(range(len(self.bins)), key=lambda b: (-self.fills[b], b)):
+                while 0 < self.fills[target] < self.capacity and self.improve(target):
+                    moved = True
+                    if self.slack < self.capacity:
+                        return
 
 
 def local_search(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list[int]]:
-    """Bins after exchanges among the underfull ones, emptied bins left out.
+    """Bins after exchanges among all underfull ones, emptied bins left out.
 
-    Each exchange raises the sum of squared fills, a whole number that is bounded, so the search ends.
-    It stops early when no exchange can save a bin any more.
+    Each exchange raises the sum of squared fills, a whole number that is bounded, so the search ends: at
+    bins between which no exchange raises it, or as few bins as their fills allow.  Searching the result
+    again changes nothing.
     """
-    fills = [sum(sizes[i] for i in items) for items in bins]
-    order = sorted((b for b in range(len(bins)) if fills[b] < capacity), key=lambda b: -fills[b])
-    done = [bins[b] for b in range(len(bins)) if fills[b] == capacity]
-    for first in range(0, len(order), POOL):
-        pool = [bins[b] for b in order[first : first + POOL]]
-        while sum(capacity - sum(sizes[i] for i in items) for items in pool) >= capacity:
-            if not _improve(pool, sizes, capacity):
-                break
-            pool = [items for items in pool if items]
-        done += pool
-    return done
+    search = _Search([list(items) for items in bins], sizes, capacity)
+    search.run()
+    return [items for items in search.bins if items]
 
 
 def _place(table: pa.Table, key: str, capacity: int, slack: int) -> pa.Table:
@@ -180,7 +231,7 @@ def _place(table: pa.Table, key: str, capacity: int, slack: int) -> pa.Table:
             numbers[item], offsets[item] = number, at
             at += sizes[item]
         underfull[items] = capacity - at > slack
-    kept = table.select([key, "piece", "start", "length", "ids_crc32"])
+    kept = table.select([key, "piece", "start", "length", "ids_crc32", "row"])
     kept = kept.append_column("bin", pa.array(numbers)).append_column("offset", pa.array(offsets))
     return kept.append_column("underfull", pa.array(underfull))
 
@@ -199,9 +250,9 @@ def pack(
     alone.  Rows longer than ``capacity`` are cut, the first piece may be shorter.  Repeated rows and
     null keys are packed like any others; an empty table gives no rows; other columns are not read.
 
-    Blocks of pieces are packed best-fit with exchanges between underfull bins.  Bins that stay
-    underfull go to the next round, in fewer blocks, until one block holds them all or a round no
-    longer fills half of what it got.
+    Blocks of pieces are packed best-fit with exchanges between all of their underfull bins.  What lies
+    in bins that stay underfull is dealt and packed anew, round after round, until one block has held
+    them all or a round saves less than ``SAVING`` of its sequences.
     """
     spark = df.sparkSession
     cut = scratch.materialize(token_pieces(df, vocabulary, key, text, capacity, end_id), "pieces")
@@ -215,22 +266,30 @@ def pack(
     left = numbered.filter(F.col("length") < capacity)
     kind = df.schema[key].dataType.simpleString()
     count, turn = left.count(), 0
+    earlier, sequences = None, None
     while count:
         blocks = -(-count // BLOCK)
         slack = capacity // 64 if blocks > 1 else capacity
         packed = (
-            left.withColumn("block", F.col("row") % F.lit(blocks))
+            left.withColumn("block", F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(blocks)))
             .groupBy("block")
             .applyInArrow(_placer(key, capacity, slack), f"block bigint, `{key}` {kind}, {PLACED}")
         )
-        stored = scratch.materialize(packed, "packed").withColumn("row", F.monotonically_increasing_id())
-        remaining = stored.filter("underfull").count()
-        if remaining > count // 2:
-            remaining = 0
-        closed = stored if remaining == 0 else stored.filter("NOT underfull")
+        stored = scratch.materialize(packed, "packed")
         number = F.lit(turn << 56) + F.shiftleft(F.col("block"), 20) + F.col("bin")
-        placed.append(closed.select(*names, number.alias("sequence_id"), "offset"))
-        left, count, turn = stored.filter("underfull").select(*names, "row"), remaining, turn + 1
+        numbers = stored.withColumn("sequence_id", number)
+        sums = stored.filter("offset = 0").agg(F.count("*"), F.sum(F.col("underfull").cast("bigint"))).first()
+        if sequences is not None and sums[0] > sequences * (1 - SAVING):
+            # Nothing is won by dealing again: the better of both packings stays.
+            placed.append((numbers if sums[0] < sequences else earlier).select(*names, "sequence_id", "offset"))
+            break
+        last = blocks == 1 or not sums[1]
+        placed.append((numbers if last else numbers.filter("NOT underfull")).select(*names, "sequence_id", "offset"))
+        if last:
+            break
+        earlier, sequences = numbers.filter("underfull"), sums[1]
+        left, turn = earlier.select(*names, "row"), turn + 1
+        count = left.count()
     return reduce(DataFrame.unionByName, placed)
 
 

@@ -81,10 +81,10 @@ def test_bins_of_many_documents_exchange_pairs():
     """Only two documents for one close the gap."""
     for few, many in PAIRS:
         sizes = few + many
-        start = [list(range(len(few))), list(range(len(few), len(sizes)))]
-        assert packing._improve(start, sizes, 100)
-        assert sorted(i for b in start for i in b) == list(range(len(sizes)))
-        assert max(sum(sizes[i] for i in b) for b in start) == 100
+        search = packing._Search([list(range(len(few))), list(range(len(few), len(sizes)))], sizes, 100)
+        assert search.improve(0)
+        assert sorted(i for b in search.bins for i in b) == list(range(len(sizes)))
+        assert max(sum(sizes[i] for i in b) for b in search.bins) == 100
 
 
 def test_pairs_have_every_sum():
@@ -94,5 +94,71 @@ def test_pairs_have_every_sum():
         items = rng.sample(range(len(sizes)), rng.randint(0, len(sizes)))
         every = {sizes[i] + sizes[j] for n, i in enumerate(items) for j in items[n + 1 :]}
         pairs = packing._pairs(items, sizes)
-        assert sorted(a for a, _ in pairs) == sorted(every)
-        assert all(i != j and {i, j} <= set(items) and sizes[i] + sizes[j] == a for a, (i, j) in pairs)
+        assert set(pairs) == every
+        assert all(i != j and {i, j} <= set(items) and sizes[i] + sizes[j] == a for a, (i, j) in pairs.items())
+
+
+def raises_squared_fill(bins, sizes, capacity):
+    """Whether any move, one-for-one or two-for-one exchange of two bins does, tried one by one."""
+    parts = [[()] + [(i,) for i in b] + [(i, j) for n, i in enumerate(b) for j in b[n + 1 :]] for b in bins]
+    fills = [sum(sizes[i] for i in b) for b in bins]
+    for a in range(len(bins)):
+        for b in range(len(bins)):
+            for give in parts[a] if a != b and fills[a] < capacity and fills[b] < capacity else ():
+                for take in parts[b]:
+                    gain = sum(sizes[i] for i in take) - sum(sizes[i] for i in give)
+                    into, left = fills[a] + gain, fills[b] - gain
+                    if not (len(give) == len(take) == 2) and 0 < gain and into <= capacity:
+                        if into**2 + left**2 > fills[a] ** 2 + fills[b] ** 2:
+                            return True
+    return False
+
+
+@pytest.mark.parametrize("low, high", [(1, 30), (20, 60), (30, 40), (35, 45)])
+def test_search_ends_where_no_exchange_helps(low, high):
+    rng = random.Random(low)
+    for _ in range(15):
+        sizes = [rng.randint(low, high) for _ in range(24)]
+        packed = local_search(best_fit(sizes, 100), sizes, 100)
+        fewest = -(-sum(sizes) // 100)
+        assert len(packed) == fewest or not raises_squared_fill(packed, sizes, 100)
+
+
+@pytest.mark.parametrize("low, high", [(600, 800), (500, 1_000), (300, 700), (1, 2_000)])
+def test_searching_again_changes_nothing(low, high):
+    rng = random.Random(high)
+    sizes = [rng.randint(low, high) for _ in range(2_000)]
+    start = best_fit(sizes, 2_048)
+    once = local_search(start, sizes, 2_048)
+    assert len(once) <= len(start) - (len(start) // 25 if low > 300 else 0)
+    assert sorted(map(sorted, local_search(once, sizes, 2_048))) == sorted(map(sorted, once))
+
+
+def fewest(sizes, capacity):
+    """The least number of bins, by trying everything."""
+    best = len(sizes)
+
+    def place(at, gaps):
+        nonlocal best
+        if len(gaps) >= best:
+            return
+        if at == len(sizes):
+            best = len(gaps)
+            return
+        for n, gap in enumerate(gaps):
+            if gap >= sizes[at] and gap not in gaps[:n]:
+                place(at + 1, [*gaps[:n], gap - sizes[at], *gaps[n + 1 :]])
+        place(at + 1, [*gaps, capacity - sizes[at]])
+
+    place(0, [])
+    return best
+
+
+def test_near_the_fewest_bins():
+    """Against an exhaustive packing: seldom one bin more, never two."""
+    rng = random.Random(9)
+    more = []
+    for _ in range(60):
+        sizes = sorted((rng.randint(15, 60) for _ in range(11)), reverse=True)
+        more.append(len(local_search(best_fit(sizes, 100), sizes, 100)) - fewest(sizes, 100))
+    assert max(more) <= 1 and sum(more) <= 6
