@@ -42,7 +42,7 @@ LABELLED = (
     "<phone>+1 (269) 555-3296</phone> <card>4524132264652876</card> in one line",
     "we have <card>4709559030084884</card> <phone>+1 (366) 555-9807</phone> here",
     "<phone>+1 (319) 555-5132</phone> <ip>42.144.35.254</ip> <email>bt.42@mail8.example.com</email>",
-    "<card>4876 1792 6751 9117</card> <phone>+1 (988) 555-2485</phone>",
+    "<card>4876 1792 6751 9119</card> <phone>+1 (988) 555-2485</phone>",
     "<email>hsr.29@mail5.example.com</email> <card>4387513035237269</card>",
     "the server <ip>55.63.178.142</ip> answered",
     "mail <email>anna@localhost</email> please",
@@ -53,10 +53,27 @@ LABELLED = (
     "traffic from <ip>192[.]168[.]1[.]44</ip> at 03:15",
     "see <ip>172[.]16[.]254[.]1</ip> in the log",
     "address <ip>198[.]51[.]100[.]7</ip>",
+    "<ip>10[.]8[.]0[.]5</ip> <ip>44.12.8.200</ip> both",
+    "<ip>172[.]31[.]0[.]9</ip>, <ip>8.8.4.4</ip> answered",
     "paid with <card>4337.1665.9846.4399</card> yesterday",
     "card <card>4944/3394/9042/9605</card> expired",
     "use <card>5105.1051.0510.5100</card>, valid 09/27",
     "number <card>4279/0558/9076/4913</card>",
+    "his <card>4532 0151 1283 0366</card> was declined",
+    "<card>6011 0009 9013 9424</card>, and the old one",
+    "order number 7663683147833396 shipped",
+    "tracking 1234567890123456 since monday",
+    "id 2024010512300001 in the log",
+    "these 9807915762804490 words and more",
+    "1219538112535716 at the start of a line",
+    "two 7536784127813050 4845168114407329 together",
+    "case 7086638319846192, closed",
+    "batch 3627.0721.0103.2238 is done",
+    "ref 2390/4095/0064/8960 and 9777-9464-2700-4852",
+    "rows 1001 2002 3003 4004 of the table",
+    "years 1999 2000 2001 2002 2003 again",
+    "sums 4871 3352 9041 1177 added up",
+    "serial 5550 1234 9987 0011 printed below",
     "on 2024-01-05 we met at 12:30",
     "born 05.11.1987 in room 301",
     "it costs $1,234.56 or 1.234,56 today",
@@ -163,7 +180,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 # --- The field ------------------------------------------------------------------------------------
 
 
-TEMPLATES = 7
+TEMPLATES = 10
 PLAIN = "plain"
 
 
@@ -184,8 +201,35 @@ def _class(token: str) -> str:
     return "word" if not digits else "digits" if digits * 2 > len(token) else "mixed"
 
 
+def _figures(token: str) -> str:
+    return "".join(c for c in token if c in "0123456789")
+
+
+def _sum(tokens: list[str], at: int) -> str:
+    """Whether the digits of a long number, or of four groups of four around the token, have a card's check digit."""
+    own = _figures(tokens[at])
+    if len(own) >= 13:
+        return "right" if len(own) <= 19 and _luhn(own) else "wrong"
+    if len(own) != 4:
+        return "short"
+    first = last = at
+    while first and at - first < 3 and len(_figures(tokens[first - 1])) == 4:
+        first -= 1
+    while last + 1 < len(tokens) and last - at < 3 and len(_figures(tokens[last + 1])) == 4:
+        last += 1
+    if last - first < 3:
+        return "short"
+    groups = [_figures(t) for t in tokens[first : last + 1]]
+    return "right" if any(_luhn("".join(groups[i : i + 4])) for i in range(len(groups) - 3)) else "wrong"
+
+
+def _word(token: str) -> str:
+    """The token as a neighbour: words themselves, anything with figures by its kind."""
+    return _class(token) if _SIGNAL.search(token) else token.strip(".,;:!?()[]\"'").lower()
+
+
 def features(tokens: list[str], at: int) -> list[str]:
-    """What the field sees of one token: its shape and the kinds of its neighbours.
+    """What the field sees of one token: its shape, a checksum, and its neighbours.
 
     Tokens without digit and @ all look alike.
     """
@@ -203,6 +247,9 @@ def features(tokens: list[str], at: int) -> list[str]:
         f"separators {len({c for c in core if not c.isalnum()})}",
         f"before {_class(tokens[at - 1]) if at else 'edge'} {kind}",
         f"after {_class(tokens[at + 1]) if at + 1 < len(tokens) else 'edge'} {kind}",
+        f"sum {_sum(tokens, at)}",
+        f"word before {_word(tokens[at - 1]) if at else 'edge'}",
+        f"word after {_word(tokens[at + 1]) if at + 1 < len(tokens) else 'edge'}",
     ]
 
 
@@ -347,7 +394,6 @@ def field_spans(texts: list[str], field: Field, quiet: bool) -> list[list[tuple[
     """What the field finds in each text.  With ``quiet`` only stretches of tokens with signals are decoded."""
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     by_length: dict[int, list] = {}
-    known: dict[tuple, list[int]] = {}
     for number, text in enumerate(texts):
         if quiet and not _SIGNAL.search(text):
             continue
@@ -479,23 +525,29 @@ def masked_text(text: str, spans: list[tuple[str, int, int]]) -> str:
 def masked(
     df: DataFrame, text: str = "text", length: str = "n_chars", labelled: tuple[str, ...] = LABELLED
 ) -> DataFrame:
-    """``df`` with personal data masked in the texts and ``length`` set anew where that happened; all rows stay."""
+    """``df`` with personal data masked in the texts and ``length``, if there, set anew where that happened.
+
+    All rows stay: null and empty texts as they are, repeated rows masked alike; an empty table stays empty.
+    """
     field = train(labelled)
     quiet = field.quiet()
     shared = tasks.Shared(df.sparkSession, field)
-    at, size = df.columns.index(text), df.columns.index(length)
     names = list(df.columns)
+    at, size = names.index(text), names.index(length) if length in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tasks.slices(batch, at):
                 arrays = list(part.columns)
-                texts, sizes = arrays[at].to_pylist(), arrays[size].to_pylist()
+                texts = arrays[at].to_pylist()
+                sizes = arrays[size].to_pylist() if size is not None else texts[:]
                 for row, (_, spans) in enumerate(all_spans(texts, shared.value, quiet)):
                     if spans:
                         texts[row] = masked_text(texts[row], spans)
                         sizes[row] = len(texts[row])
-                arrays[at], arrays[size] = pa.array(texts, arrays[at].type), pa.array(sizes, arrays[size].type)
+                arrays[at] = pa.array(texts, arrays[at].type)
+                if size is not None:
+                    arrays[size] = pa.array(sizes, arrays[size].type)
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return df.mapInArrow(run, df.schema)
