@@ -33,54 +33,70 @@ SENTENCE, INSIDE, SEQUENCE = 4, 32, 256
 ENDS = ".!?…。！？"
 WIDE_ENDS = "。！？"
 CLOSERS = "\"')]}”’»"
-_FAR = 1 << 62
 
 
-def best_cuts(
-    places: list[int], penalties: list[int], capacity: int, last: bool = True
-) -> list[int]:
+def best_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int, last: bool = True) -> list[int]:
     """The places, in order, at which windows end, at the least padding plus penalties plus ``SEQUENCE`` each.
 
     ``places`` ascend from above 0, at most ``capacity`` apart.  With ``last`` the final window ends at
     the last place; otherwise at whichever place of the last window's reach is cheapest so far.
     A window is padded to ``capacity`` unless its length is a power of two.
     """
-    powers = [1 << p for p in range(capacity.bit_length()) if 1 << p <= capacity]
-    # Beyond the end lies what negative numbers reach: places that do not exist.
-    cost = [_FAR] * (places[-1] + 1 + capacity)
-    cost[0] = 0
-    before: dict[int, int] = {}
+    of, start_of = _unpadded(places, capacity)
+    at = [0, *places.tolist()]
+    cost, before = [0] * len(at), [0] * len(at)
     # Candidates in order of place, their keys ascending: cost plus place.
-    queue, keys, head = [0], [0], 0
-    for place, penalty in zip(places, penalties, strict=True):
-        while queue[head] < place - capacity:
+    queue, reach, keys, head, pair = [0], [0], [0], 0, 0
+    for number, (place, penalty) in enumerate(zip(at[1:], penalties.tolist(), strict=True), 1):
+        limit = place - capacity
+        while reach[head] < limit:
             head += 1
         start = queue[head]
-        least = keys[head] + capacity - place
-        unpadded = min([cost[place - p] for p in powers])
-        if unpadded <= least:
-            least = unpadded
-            start = place - next(p for p in reversed(powers) if cost[place - p] == unpadded)
+        least = keys[head] - limit
+        while of[pair] == number:
+            other = start_of[pair]
+            if cost[other] <= least:
+                least, start = cost[other], other
+            pair += 1
         least += penalty + SEQUENCE
-        cost[place] = least
-        before[place] = start
+        cost[number], before[number] = least, start
         key = least + place
-        while len(keys) > head and keys[-1] >= key:
-            keys.pop()
-            queue.pop()
+        while keys[-1] >= key and len(keys) > head:
+            del keys[-1], queue[-1], reach[-1]
+            if not keys:
+                break
         keys.append(key)
-        queue.append(place)
-    end = places[-1]
+        queue.append(number)
+        reach.append(place)
+    end = len(at) - 1
     if not last:
-        near = [p for p in places[-capacity:] if p > end - capacity]
-        end = min(near, key=lambda p: (cost[p], -p))
+        near = range(int(np.searchsorted(places, at[-1] - capacity, side="right")) + 1, len(at))
+        end = min(near, key=lambda n: (cost[n], -n))
     cuts = []
     while end:
-        cuts.append(end)
+        cuts.append(at[end])
         end = before[end]
     return cuts[::-1]
 
 
+def _unpadded(places: np.ndarray, capacity: int) -> tuple[list[int], list[int]]:
+    """(number of a place, number of one a power of two before it) of all such windows, in order."""
+    at = np.concatenate([[0], places])
+    number = np.full(int(at[-1]) + 1, -1, np.int64)
+    number[at] = np.arange(len(at))
+    ends, starts = [], []
+    for power in range(capacity.bit_length()):
+        size = 1 << power
+        if size <= capacity:
+            far = np.flatnonzero(at >= size)
+            found = number[at[far] - size]
+            ends.append(far[found >= 0])
+            starts.append(found[found >= 0])
+    of, start = np.concatenate(ends), np.concatenate(starts)
+    order = np.argsort(of, kind="stable")
+    return [*of[order].tolist(), -1], start[order].tolist()
+
+
 class Pauses:
     """Where the texts of a vocabulary's ids pause."""
 
@@ -144,7 +160,7 @@ class _Stream:
         stops = np.cumsum([len(h[1]) for h in self.held])
         ends = stops[[h[4] for h in self.held]]
         places, worth = _places(ids, self.pauses, ends)
-        cuts = np.array(best_cuts(places.tolist(), worth.tolist(), self.capacity, last), np.int64)
+        cuts = np.array(best_cuts(places, worth, self.capacity, last), np.int64)
         bounds = np.union1d(stops[stops < cuts[-1]], cuts)
         starts = np.concatenate([[0], bounds[:-1]])
         of = np.searchsorted(stops, starts, side="right")

@@ -103,13 +103,14 @@ def test_cuts_are_the_cheapest(capacity):
     for _ in range(300):
         places = np.cumsum([rng.randint(1, capacity // 3) for _ in range(rng.randint(1, 60))]).tolist()
         penalties = [rng.choice((0, 0, SENTENCE, INSIDE)) for _ in places]
-        cuts = best_cuts(places, penalties, capacity)
+        given = np.array(places), np.array(penalties)
+        cuts = best_cuts(*given, capacity)
         assert cuts[-1] == places[-1]
         worth = dict(zip(places, penalties))
         steps = list(zip([0, *cuts], cuts))
         assert all(0 < b - a <= capacity for a, b in steps)
         assert sum(worth[b] + SEQUENCE + padding(b - a, capacity) for a, b in steps) == least(places, penalties, capacity)
-        open_end = best_cuts(places, penalties, capacity, last=False)
+        open_end = best_cuts(*given, capacity, last=False)
         assert places[-1] - open_end[-1] < capacity
 
 
