@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from mercato.sources.schemas import Rules
+from mercato.functions import times
+from mercato.sources.schemas import NOW, Rules
 
 REPORT = ("table_name", "rule", "subject", "violations")
 
@@ -52,6 +55,29 @@ def check_foreign_key(
     return counted.join(parent.select(F.col(parent_key).alias(column)), column, "left_anti")
 
 
+def count_orphans(df: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Rows without a parent per referring column, in one row with a column for each.
+
+    ``parents`` maps each column to its parent's frame and key.  All references of the table come from
+    one scan: a row gives a (column, value) pair per reference, pairs are counted before they move, and
+    one anti-join holds the distinct ones against the keys of all parents.
+    """
+    names = list(parents)
+    values = [F.struct(F.lit(i).alias("_of"), F.col(c).cast("string").alias("_value")) for i, c in enumerate(names)]
+    pairs = df.select(F.inline(F.array(*values))).filter(F.col("_value").isNotNull())
+    counted = pairs.groupBy("_of", "_value").agg(F.count(F.lit(1)).alias("_rows"))
+    keys = reduce(
+        DataFrame.unionByName,
+        [
+            parent.select(F.lit(i).alias("_of"), F.col(key).cast("string").alias("_value"))
+            for i, (parent, key) in enumerate(parents.values())
+        ],
+    )
+    orphans = counted.join(keys, ["_of", "_value"], "left_anti")
+    sums = [F.coalesce(F.sum(F.when(F.col("_of") == i, F.col("_rows"))), F.lit(0)) for i in range(len(names))]
+    return orphans.agg(*[total.alias(c) for total, c in zip(sums, names, strict=True)])
+
+
 def check_expression(df: DataFrame, condition: str | Column) -> DataFrame:
     """Rows for which the condition is false."""
     return df.filter(_violated(F.expr(condition) if isinstance(condition, str) else condition))
@@ -68,11 +94,36 @@ def apply_defaults(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
     return df.withColumns(absent) if absent else df
 
 
+def declared_defaults(
+    rules: Rules, schema: StructType, now: dt.datetime | str
+) -> dict[str, Column]:
+    """The columns a table declares a default for, in their types; ``now`` is when the rows arrive."""
+    found = {}
+    for name, literal in rules.defaults.items():
+        value = times.ntz(now) if literal == NOW else F.expr(literal)
+        found[name] = value.cast(schema[name].dataType)
+    return found
+
+
+def _report(counts: DataFrame, table: str, lines: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """A line per (rule, subject, column) of a frame with one row of counts."""
+    rows = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(rule).alias("rule"),
+            F.lit(subject).alias("subject"),
+            F.col(column).alias("violations"),
+        )
+        for rule, subject, column in lines
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def audit(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules]) -> DataFrame:
     """Violations per declared rule of the tables named in ``rules``.
 
-    ``tables`` also holds the parents that foreign keys refer to.  All row rules of a table are counted in one scan; a unique rule reports keys, a foreign key
-    reports rows.
+    ``tables`` also holds the parents that foreign keys refer to.  All row rules of a table are counted
+    in one scan, all of its references in another; a unique rule reports keys, a foreign key reports rows.
     """
     parts: list[DataFrame] = []
     for name, declared in rules.items():
@@ -82,39 +133,17 @@ def audit(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules]) -> DataFr
         row_rules += [("length", c, _too_long(c, n)) for c, n in declared.lengths.items()]
         if row_rules:
             counted = df.agg(*[F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(row_rules)])
-            lines = F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("table_name"),
-                        F.lit(rule).alias("rule"),
-                        F.lit(subject).alias("subject"),
-                        F.col(f"n{i}").alias("violations"),
-                    )
-                    for i, (rule, subject, _) in enumerate(row_rules)
-                ]
-            )
-            parts.append(counted.select(F.inline(lines)))
-        keyed = [
-            ("unique", "+".join(k), check_unique(df, k), F.count(F.lit(1))) for k in declared.unique
-        ]
-        keyed += [
-            (
-                "foreign_key",
-                c,
-                check_foreign_key(df, c, tables[parent]),
-                F.coalesce(F.sum("row_count"), F.lit(0)),
-            )
-            for c, parent in declared.foreign.items()
-        ]
-        for rule, subject, found, measure in keyed:
-            parts.append(
-                found.agg(measure.alias("violations")).select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(rule).alias("rule"),
-                    F.lit(subject).alias("subject"),
-                    "violations",
-                )
-            )
+            lines = [(rule, subject, f"n{i}") for i, (rule, subject, _) in enumerate(row_rules)]
+            parts.append(_report(counted, name, lines))
+        for key in declared.unique:
+            repeated = check_unique(df, key).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(_report(repeated, name, [("unique", "+".join(key), "n")]))
+        if declared.foreign:
+            parents = {}
+            for column, parent in declared.foreign.items():
+                table, _, key = parent.partition(".")
+                parents[column] = (tables[table], key or "id")
+            parts.append(_report(count_orphans(df, parents), name, [("foreign_key", c, c) for c in parents]))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from mercato import generate
 from mercato.operators import quality
 from mercato.plans import Registry
 from mercato.sources.files import insert_ignore
-from mercato.sources.schemas import RULES
+from mercato.sources.schemas import OPERATIONAL, RULES, STAR
 from mercato.sources.shop import Shop
+from mercato.warehouse.load import star_of
 
 QUESTIONS = Registry()
 question = QUESTIONS.question
@@ -100,7 +102,7 @@ def g5_total_mismatches(shop: Shop) -> DataFrame:
 
 @question
 def c0_constraint_audit(shop: Shop) -> DataFrame:
-    """Every declared rule over the whole model."""
+    """Every declared rule over the whole model, the star included."""
     shop_tables = {
         "users": shop.users,
         "categories": shop.categories,
@@ -118,10 +120,15 @@ def c0_constraint_audit(shop: Shop) -> DataFrame:
         "reviews": g4_generate_reviews(shop),
         "inventory_movements": g4_generate_inventory(shop),
     }
-    satellites = {name: RULES[name] for name in ("reviews", "inventory_movements")}
-    return quality.audit(shop_tables, {name: RULES[name] for name in shop_tables}).unionByName(
-        quality.audit(generated, satellites)
+    loaded = star_of(shop)
+    star = {name: loaded.table(name) for name in STAR}
+    audited = (
+        (shop_tables, shop_tables),
+        (generated, ("reviews", "inventory_movements")),
+        (star, star),
     )
+    reports = [quality.audit(tables, {name: RULES[name] for name in names}) for tables, names in audited]
+    return reduce(DataFrame.unionByName, reports)
 
 
 @question
@@ -152,11 +159,10 @@ def c5_length(shop: Shop) -> DataFrame:
 
 @question
 def c6_apply_defaults(shop: Shop) -> DataFrame:
-    """Orders that arrive without a status."""
-    incoming = shop.orders.drop("status")
-    return quality.apply_defaults(
-        incoming, {"status": F.lit("pending"), "coupon_id": F.lit(0).cast("bigint")}
-    )
+    """Orders that arrive without a status and a moment get what the table declares."""
+    incoming = shop.orders.drop("status", "created_at")
+    declared = quality.declared_defaults(RULES["orders"], OPERATIONAL["orders"], NOW)
+    return quality.apply_defaults(incoming, declared)
 
 
 @question

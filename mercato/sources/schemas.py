@@ -202,16 +202,20 @@ STAR: dict[str, T.StructType] = {
 }
 
 
+# Stands for the moment a row arrives, which the caller tells.
+NOW = "now"
+
+
 @dataclass(frozen=True)
 class Rules:
     """What a table promises about its rows."""
 
     not_null: tuple[str, ...] = ()
     unique: tuple[tuple[str, ...], ...] = ()
-    foreign: dict[str, str] = field(default_factory=dict)  # column -> parent table (its id)
+    foreign: dict[str, str] = field(default_factory=dict)  # column -> parent table (its id), or table.column
     checks: dict[str, str] = field(default_factory=dict)  # rule name -> condition; NULL passes
     lengths: dict[str, int] = field(default_factory=dict)
-    defaults: dict[str, str] = field(default_factory=dict)  # column -> SQL literal
+    defaults: dict[str, str] = field(default_factory=dict)  # column -> SQL literal, or NOW
 
 
 # The constraints the data model declares.
@@ -220,6 +224,7 @@ RULES: dict[str, Rules] = {
         not_null=("id", "email", "password_hash"),
         unique=(("id",), ("email",)),
         lengths={"email": 255, "password_hash": 255},
+        defaults={"created_at": NOW},
     ),
     "categories": Rules(
         not_null=("id", "name"), unique=(("id",), ("name",)), lengths={"name": 100}
@@ -244,7 +249,7 @@ RULES: dict[str, Rules] = {
         foreign={"user_id": "users", "coupon_id": "coupons"},
         checks={"total_not_negative": "total_amount >= 0"},
         lengths={"status": 50},
-        defaults={"status": "'pending'"},
+        defaults={"status": "'pending'", "created_at": NOW},
     ),
     "order_items": Rules(
         not_null=("id", "order_id", "product_id", "quantity", "unit_price"),
@@ -276,6 +281,38 @@ RULES: dict[str, Rules] = {
         unique=(("id",),),
         foreign={"product_id": "products"},
         lengths={"reason": 255},
+        defaults={"created_at": NOW},
     ),
     "product_price_history": Rules(),
+    "dim_date": Rules(
+        not_null=("date_id", "full_date"),
+        unique=(("date_id",),),
+        lengths={"day_name": 10, "month_name": 10},
+    ),
+    "dim_product": Rules(
+        not_null=("product_sk", "product_id"),
+        unique=(("product_sk",),),
+        lengths={"category_name": 100, "product_name": 255},
+    ),
+    "dim_customer": Rules(
+        not_null=("customer_sk", "user_id", "valid_from", "is_current"),
+        unique=(("customer_sk",),),
+        lengths={"full_name": 255, "email": 255, "gender": 10, "city": 100},
+        defaults={"is_current": "true"},
+    ),
+    "fct_orders": Rules(
+        not_null=("order_id",),
+        unique=(("order_id",),),
+        foreign={"customer_sk": "dim_customer.customer_sk", "date_id": "dim_date.date_id"},
+        lengths={"status": 50},
+    ),
+    "fct_order_items": Rules(
+        not_null=("order_item_id",),
+        unique=(("order_item_id",),),
+        foreign={
+            "order_id": "fct_orders.order_id",
+            "product_sk": "dim_product.product_sk",
+            "date_id": "dim_date.date_id",
+        },
+    ),
 }

@@ -105,6 +105,27 @@ def _gen(query: str, *ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + query.strip()
 
 
+# The star as the loads make it.
+STAR_TABLES = """star_dim_date AS (
+  SELECT DISTINCT CAST(strftime(created_at, '%Y%m%d') AS INTEGER) AS date_id, created_at::DATE AS full_date,
+         dayname(created_at) AS day_name, monthname(created_at) AS month_name
+  FROM shop_orders),
+star_dim_product AS (
+  SELECT row_number() OVER (ORDER BY product_id) AS product_sk, product_id, category_name, product_name
+  FROM shop_catalogue),
+star_dim_customer AS (
+  SELECT row_number() OVER (ORDER BY id) AS customer_sk, id AS user_id, split_part(email, '@', 1) AS full_name,
+         email, 'Unknown' AS gender, 'Unknown' AS city, TIMESTAMP '1900-01-01 00:00:00' AS valid_from, true AS is_current
+  FROM shop_users),
+star_fct_orders AS (
+  SELECT o.id AS order_id, customer_sk, CAST(strftime(o.created_at, '%Y%m%d') AS INTEGER) AS date_id, status
+  FROM shop_orders o JOIN star_dim_customer USING (user_id)),
+star_fct_order_items AS (
+  SELECT i.id AS order_item_id, i.order_id, product_sk,
+         CAST(strftime(o.created_at, '%Y%m%d') AS INTEGER) AS date_id
+  FROM shop_items i JOIN shop_orders o ON o.id = i.order_id JOIN star_dim_product USING (product_id))"""
+
+
 def _audit() -> str:
     """Counts per rule, spelled out table by table."""
 
@@ -122,11 +143,11 @@ def _audit() -> str:
             f"WHERE {filled} GROUP BY {columns} HAVING count(*) > 1)"
         )
 
-    def orphans(table: str, source: str, column: str, parent: str) -> str:
+    def orphans(table: str, source: str, column: str, parent: str, key: str = "id") -> str:
         return (
             f"SELECT '{table}', 'foreign_key', '{column}', count(*) FROM {source} c "
             f"WHERE {column} IS NOT NULL "
-            f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.id = c.{column})"
+            f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = c.{column})"
         )
 
     def text(table: str, source: str, column: str, limit: int) -> str:
@@ -191,7 +212,34 @@ def _audit() -> str:
         text("shipments", "shop_shipments", "status", 50),
         text("inventory_movements", "gen_inventory", "reason", 255),
     ]
-    return shop("\nUNION ALL ".join(parts), USERS, PRODUCTS, ORDERS, REVIEWS, INVENTORY)
+    star = {
+        "dim_date": "date_id full_date",
+        "dim_product": "product_sk product_id",
+        "dim_customer": "customer_sk user_id valid_from is_current",
+        "fct_orders": "order_id",
+        "fct_order_items": "order_item_id",
+    }
+    parts += [
+        row(t, f"star_{t}", "not_null", c, f"{c} IS NULL") for t, cs in star.items() for c in cs.split()
+    ]
+    parts += [repeated(t, f"star_{t}", cs.split()[0]) for t, cs in star.items()]
+    parts += [
+        orphans("fct_orders", "star_fct_orders", "customer_sk", "star_dim_customer", "customer_sk"),
+        orphans("fct_orders", "star_fct_orders", "date_id", "star_dim_date", "date_id"),
+        orphans("fct_order_items", "star_fct_order_items", "order_id", "star_fct_orders", "order_id"),
+        orphans("fct_order_items", "star_fct_order_items", "product_sk", "star_dim_product", "product_sk"),
+        orphans("fct_order_items", "star_fct_order_items", "date_id", "star_dim_date", "date_id"),
+        text("dim_date", "star_dim_date", "day_name", 10),
+        text("dim_date", "star_dim_date", "month_name", 10),
+        text("dim_product", "star_dim_product", "category_name", 100),
+        text("dim_product", "star_dim_product", "product_name", 255),
+        text("dim_customer", "star_dim_customer", "full_name", 255),
+        text("dim_customer", "star_dim_customer", "email", 255),
+        text("dim_customer", "star_dim_customer", "gender", 10),
+        text("dim_customer", "star_dim_customer", "city", 100),
+        text("fct_orders", "star_fct_orders", "status", 50),
+    ]
+    return shop("\nUNION ALL ".join(parts), USERS, PRODUCTS, ORDERS, REVIEWS, INVENTORY, STAR_TABLES)
 
 
 SQL: dict[str, str] = {
@@ -257,7 +305,9 @@ GROUP BY 1"""
     ),
     "c4_expression": shop("SELECT * FROM shop_trips WHERE NOT passenger_count <= 5"),
     "c5_length": "SELECT p_partkey, p_name FROM part WHERE length(p_name) > 9",
-    "c6_apply_defaults": shop("SELECT * REPLACE ('pending' AS status) FROM shop_orders"),
+    "c6_apply_defaults": shop(
+        "SELECT * REPLACE ('pending' AS status, TIMESTAMP '2025-12-31 00:00:00' AS created_at) FROM shop_orders"
+    ),
     "s8_insert_ignore": shop(
         """
 SELECT user_id, event_id, event_type FROM events
