@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mercato import scratch
-from mercato.operators.temporal import temporal_lookup
+from mercato.operators.temporal import in_bins, temporal_lookup
 from mercato.sources.schemas import STAR
 from mercato.warehouse import star
 from mercato.warehouse.history import scd2_apply, scd2_history
@@ -86,6 +86,45 @@ def test_lookup_is_half_open(spark):
     assert rows(found) == sorted([(a, 10), (b - second, 10), (b, 20)], key=repr)
 
 
+def test_keys_with_many_versions_meet_few_of_them(spark):
+    """10,000 versions of one product, which also has half of the facts; others have few or odd versions."""
+    minute = F.expr("INTERVAL 1 MINUTE")
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    i = F.col("id")
+    many = spark.range(10_000).select(
+        F.lit(1).cast("bigint").alias("k"),
+        i.alias("price"),
+        (start + i.cast("int") * minute).alias("valid_from"),
+        F.when(i < 9_999, start + (i + 1).cast("int") * minute).alias("valid_to"),
+    )
+    few = spark.createDataFrame(
+        [(2, -1, T(2024, 1, 1), T(2024, 1, 2)), (2, -2, T(2024, 1, 2), None), (3, -3, T(2025, 1, 1), None), (None, -4, T(2024, 1, 1), None)],
+        "k bigint, price bigint, valid_from timestamp_ntz, valid_to timestamp_ntz",
+    )
+    # One long version, then twenty short ones with a hole, none open.
+    day = F.expr("INTERVAL 1 DAY")
+    uneven = spark.range(21).select(
+        F.lit(4).cast("bigint").alias("k"),
+        (-10 - i).alias("price"),
+        F.when(i == 0, start - 900 * day).otherwise(start + i.cast("int") * minute).alias("valid_from"),
+        F.when(i == 0, start).otherwise(start + (i + 1).cast("int") * minute).alias("valid_to"),
+    )
+    history = many.unionByName(few).unionByName(uneven)
+    facts = spark.range(8_000).select(
+        F.when(i % 2 == 0, 1).when(i % 16 == 1, None).otherwise(i % 5).cast("bigint").alias("k"),
+        F.when(i % 101 != 0, start + F.expr("INTERVAL 7 SECOND") * ((i * 263) % 90_000 - 900).cast("int")).alias("ts"),
+        i.alias("fact"),
+    )
+    plain = facts.join(history, "k").filter("ts >= valid_from AND (valid_to IS NULL OR ts < valid_to)")
+    found = temporal_lookup(facts, history, "k", "ts")
+    assert found.columns == plain.columns
+    assert rows(found.select("fact", "price")) == rows(plain.select("fact", "price"))
+    placed, versions = in_bins(facts, history, "k", "ts")
+    assert versions.count() <= 2 * history.count()
+    compared = placed.join(versions, ["k", "_bin"]).count()
+    assert compared <= 4 * facts.count()
+
+
 def test_as_of_fact_takes_the_version_of_its_day(spark, customers):
     when = T(2024, 5, 1)
     moved = change(spark, (1, "ann", "ann@x.org", "Unknown", "Izmir"))
