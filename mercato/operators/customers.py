@@ -105,7 +105,7 @@ def median_gap(
 ) -> DataFrame:
     """Median days between consecutive orders of a user, exact, as one row."""
     gaps = order_gaps(orders, user, ts, first_gap_only)
-    doubled = median_of(scratch.materialize(gaps, "gaps"), "gap")
+    doubled = median_of(scratch.materialize(gaps, "median"), "gap")
     total = F.lit(doubled).cast("decimal(28,0)")
     days = exact.half_up(total, F.lit(2 * times.DAY_MICROS), digits)
     return orders.sparkSession.range(1).select(days.alias(name))

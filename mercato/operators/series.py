@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from mercato import scratch
 from mercato.functions import exact, times
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Row numbers one task expands at a time when a user-day is unrolled.
 CHUNK = 4096
 
@@ -101,19 +111,50 @@ def streaks(df: DataFrame, user: str, ts: str, min_len: int = 2, dedupe: bool =
     return _islands(numbered, F.unix_date("day") - F.col("number"), min_len)
 
 
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Gaps between neighbours of one sorted partition, and its first and last event."""
+    part = TaskContext.get().partitionId()
+    first: tuple | None = None
+    last: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        users, at = batch.column(0), batch.column(1).to_numpy()
+        ahead, behind = users.slice(1), users.slice(0, len(users) - 1)
+        # Events without a user are compared with each other.
+        same = pc.fill_null(pc.equal(ahead, behind), False)
+        same = pc.or_(same, pc.and_(pc.is_null(ahead), pc.is_null(behind)))
+        gaps = pa.array(np.diff(at)).filter(same)
+        head = (users[0].as_py(), int(at[0]))
+        first = first or head
+        if last and last[0] == head[0]:
+            gaps = pa.concat_arrays([gaps, pa.array([head[1] - last[1]], pa.int64())])
+        last = (users[-1].as_py(), int(at[-1]))
+        none = pa.nulls(len(gaps))
+        ends = [none.cast(t) for t in (pa.int32(), users.type, pa.int64(), users.type, pa.int64())]
+        yield pa.RecordBatch.from_arrays([gaps, *ends], names=GAP_COLUMNS)
+    if first:
+        values = [pa.nulls(1, pa.int64()), pa.array([part], pa.int32())]
+        for user, moment in (first, last):
+            values += [pa.array([user], users.type), pa.array([moment], pa.int64())]
+        yield pa.RecordBatch.from_arrays(values, names=GAP_COLUMNS)
+
+
+GAP_COLUMNS = ["gap", "part", "first_user", "first_at", "last_user", "last_at"]
+
+
 def order_gaps(df: DataFrame, user: str, ts: str, first_gap_only: bool = False) -> DataFrame:
     """Microseconds between consecutive events of a user, as one column ``gap``.
 
-    Events are compared inside (user, hour) windows; the gaps between one hour and the next
-    active one come from the hours' first and last events.  A user with a third of all events is
-    spread over its hours, and the per-user window sees one row per active hour.
+    Events are sorted once, in ranges of (user, moment): a user, or an hour of one, with a third of all
+    events fills several ranges.  Each range compares its neighbours; its first event is compared with
+    the last one before it, from one stored row per range.
     """
     events = df.select(F.col(user).alias("user_id"), times.micros(F.col(ts)).alias("at")).filter(
         F.col("at").isNotNull()
     )
-    per_user = Window.partitionBy("user_id")
     if first_gap_only:
-        number = F.row_number().over(per_user.orderBy("at"))
+        number = F.row_number().over(Window.partitionBy("user_id").orderBy("at"))
         first_two = events.withColumn("number", number).filter(F.col("number") <= 2)
         return (
             first_two.groupBy("user_id")
@@ -122,24 +163,22 @@ def order_gaps(df: DataFrame, user: str, ts: str, first_gap_only: bool = False)
             .select("gap")
         )
 
-    hour = F.floor(F.col("at") / F.lit(3_600_000_000)).alias("hour")
-    same_hour = Window.partitionBy("user_id", "hour").orderBy("at")
-    whole_hour = same_hour.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    seen = events.select("user_id", "at", hour).select(
-        "user_id",
-        "hour",
-        "at",
-        F.lag("at").over(same_hour).alias("previous"),
-        F.max("at").over(whole_hour).alias("last"),
-    )
-    within = seen.filter(F.col("previous").isNotNull()).select(
-        (F.col("at") - F.col("previous")).alias("gap")
-    )
-    # An hour's first event looks back to the last event of the user's previous active hour.
-    by_hour = per_user.orderBy("hour")
+    # Events equal in both are interchangeable, but must not all fall into one range.
+    ranges = events.withColumn("tie", F.monotonically_increasing_id())
+    ranges = ranges.repartitionByRange("user_id", "at", "tie").sortWithinPartitions("user_id", "at")
+    kind = events.schema["user_id"].dataType.simpleString()
+    shape = f"gap bigint, part int, first_user {kind}, first_at bigint, last_user {kind}, last_at bigint"
+    stored = scratch.materialize(ranges.select("user_id", "at").mapInArrow(_compared, shape), "gaps")
+    # One row per range; the window without a key sees no other.
+    ends = Window.orderBy("part")
     across = (
-        seen.filter(F.col("previous").isNull())
-        .select((F.col("at") - F.lag("last").over(by_hour)).alias("gap"))
+        stored.filter(F.col("part").isNotNull())
+        .select(
+            F.when(
+                F.lag("last_user").over(ends).eqNullSafe(F.col("first_user")),
+                F.col("first_at") - F.lag("last_at").over(ends),
+            ).alias("gap")
+        )
         .filter(F.col("gap").isNotNull())
     )
-    return within.unionByName(across)
+    return stored.filter(F.col("gap").isNotNull()).select("gap").unionByName(across)

@@ -105,6 +105,35 @@ def test_gaps_equal_a_plain_lag(spark):
     assert rows(order_gaps(df, "user_id", "ts", True)) == rows(first.select("gap"))
 
 
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_gaps_across_ranges(spark, parts):
+    """A third of all events in one hour of one user, another sixth at one moment, some without a user."""
+    i = F.col("id")
+    user = F.when(i % 3 == 0, 1).when(i % 3 == 1, F.when(i % 2 == 0, 2)).otherwise(i % 40 + 3).cast("bigint")
+    spread = F.abs(F.xxhash64(i)) % F.when(i % 3 == 0, 3_600).when(i % 3 == 1, 1).otherwise(9_000_000)
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    df = spark.range(6_000).select(user.alias("user_id"), F.timestamp_add("SECOND", spread, start).alias("ts"))
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    lagged = df.select((at - F.lag(at).over(Window.partitionBy("user_id").orderBy("ts"))).alias("gap"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = order_gaps(df, "user_id", "ts")
+        assert rows(found) == rows(lagged.filter("gap IS NOT NULL"))
+        if parts == 16:  # no task holds a fifth of the events, so none of the gaps
+            sizes = found.groupBy(F.input_file_name()).count().collect()
+            assert len(sizes) >= 12 and max(r["count"] for r in sizes) < 6_000 / 5
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_gaps_of_nothing(spark):
+    empty = spark.createDataFrame([], "user_id bigint, ts timestamp_ntz")
+    assert order_gaps(empty, "user_id", "ts").count() == 0
+
+
 def test_median_of_an_even_number_of_gaps(spark):
     df = stamps(spark, [(1, 0), (1, 1), (1, 3), (1, 7), (1, 17)])  # gaps 1, 2, 4, 10
     assert median_gap(df, "user_id", "ts", "d").first()["d"] == Decimal("3.0")
