@@ -140,6 +140,41 @@ def d05_revenue_by_quarter_dwh(shop: Shop) -> DataFrame:
     )
 
 
+@question
+def d05_revenue_by_quarter_of_orders_dwh(shop: Shop) -> DataFrame:
+    """The day of the order, not of the line: both facts lie in buckets by order."""
+    loaded = star_of(shop)
+    lines, orders = (loaded.bucketed(name) for name in ("fct_order_items", "fct_orders"))
+    dated = lines.select("order_id", "line_total").join(orders.select("order_id", "date_id"), "order_id")
+    daily = grouped_summary(dated, ["date_id"], {"revenue": _money("line_total")})
+    return grouped_summary(
+        daily.join(loaded.table("dim_date"), "date_id"), ["quarter"], {"revenue": _money("revenue")}
+    )
+
+
+# One quarter, asked month by month.
+YEAR, QUARTER = 1997, 2
+
+
+@question
+def d05_months_of_quarter_oltp(shop: Shop) -> DataFrame:
+    """The months of one quarter: a range of moments that also bounds the order dates in the files."""
+    first, last = 3 * QUARTER - 2, 3 * QUARTER + 1
+    orders = shop.orders_from(f"{YEAR}-{first:02d}-01 00:00:00", f"{YEAR}-{last:02d}-01 00:00:00")
+    placed = orders.select(F.col("id").alias("order_id"), F.month("created_at").alias("month"))
+    revenue = exact.from_cents(F.sum("line_cents"))
+    return grouped_summary(shop.raw_items.join(placed, "order_id"), ["month"], {"revenue": revenue})
+
+
+@question
+def d05_months_of_quarter_dwh(shop: Shop) -> DataFrame:
+    """Only the folders of the quarter's months are read."""
+    loaded = star_of(shop)
+    days = loaded.table("dim_date").filter((F.col("year") == YEAR) & (F.col("quarter") == QUARTER))
+    lines = loaded.fact_on_days("fct_order_items", days.select("date_id", "month"))
+    return grouped_summary(lines, ["month"], {"revenue": _money("line_total")})
+
+
 def _by_status(orders: DataFrame) -> DataFrame:
     total = F.col("total_amount")
     return grouped_summary(

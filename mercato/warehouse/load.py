@@ -12,9 +12,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato import scratch
-from mercato.sources.files import month_id, read_table, write_partitioned
+from mercato.sources.files import month_id, read_table, write_bucketed, write_partitioned
 from mercato.sources.schemas import STAR
 from mercato.sources.shop import Shop
 from mercato.warehouse import star
@@ -22,6 +23,7 @@ from mercato.warehouse.history import scd2_apply
 
 PROFILE = ("full_name", "email", "gender", "city")
 FACTS = ("fct_orders", "fct_order_items")
+MONTH = "month_id"
 
 
 class Star:
@@ -35,12 +37,36 @@ class Star:
         return f"{self.root}/{self.version}/{table}"
 
     def table(self, name: str) -> DataFrame:
-        """The declared columns; the facts' month folders stay out of sight."""
+        """The declared columns; ``fact`` shows the facts' month folders too."""
         if name not in self._open:
             stored = read_table(self.spark, self.path(name), STAR[name])
             self._open[name] = stored.select(*STAR[name].names)
         return self._open[name]
 
+    def fact(self, name: str) -> DataFrame:
+        """A fact with the month folder its rows lie in, as ``month_id``."""
+        schema = T.StructType([*STAR[name].fields, T.StructField(MONTH, T.IntegerType())])
+        return read_table(self.spark, self.path(name), schema)
+
+    def fact_on_days(self, name: str, days: DataFrame) -> DataFrame:
+        """A fact's rows on some of ``dim_date``'s days, with their attributes.
+
+        The join names the month as well: what is filtered in the dimension prunes the fact's folders
+        while the query runs.
+        """
+        return self.fact(name).join(days.withColumn(MONTH, month_id("date_id")), [MONTH, "date_id"]).drop(MONTH)
+
+    def bucketed(self, name: str, key: str = "order_id") -> DataFrame:
+        """A fact once more, in as many buckets by ``key`` as shuffles have partitions.
+
+        Facts bucketed alike are joined on the key without an exchange.
+        """
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"{name}_{self.version.replace('-', '_')}_{buckets}"
+        if not self.spark.catalog.tableExists(table):
+            write_bucketed(self.table(name), table, key, buckets, f"{self.path(name)}_by_{key}_{buckets}")
+        return self.spark.table(table)
+
 
 def published(spark: SparkSession, root: str) -> Star:
     """The latest complete version."""
@@ -68,8 +94,8 @@ def full_refresh(
     def store(name: str, df: DataFrame) -> DataFrame:
         rows = df.select(*STAR[name].names)
         if name in FACTS:
-            by_month = rows.withColumn("month_id", month_id("date_id"))
-            write_partitioned(by_month, "month_id", loading.path(name))
+            by_month = rows.withColumn(MONTH, month_id("date_id"))
+            write_partitioned(by_month, MONTH, loading.path(name))
         else:
             rows.write.parquet(loading.path(name))
         return loading.table(name)

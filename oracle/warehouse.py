@@ -184,6 +184,11 @@ GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
         f"""
 SELECT CAST(quarter(created_at) AS INTEGER) AS quarter, {money('sum(value)')} AS revenue
 FROM shop_sales GROUP BY 1"""
+    ),
+    "d05_months_of_quarter": shop(
+        f"""
+SELECT CAST(month(created_at) AS INTEGER) AS month, {money("sum(value)")} AS revenue
+FROM shop_sales WHERE year(created_at) = 1997 AND quarter(created_at) = 2 GROUP BY 1"""
     ),
     "d06_aov_by_status": shop(
         f"""
@@ -249,5 +254,10 @@ LAB: dict[str, str] = {
     "l5_status_date_filter_clustered": shop(CANCELLED),
 }
 
+# Asked on one side only, or in a second form.
+OTHERS: dict[str, str] = {
+    "d05_revenue_by_quarter_of_orders_dwh": PAIRED["d05_revenue_by_quarter"],
+}
+
 PAIRS = {f"{name}_{side}": sql for name, sql in PAIRED.items() for side in ("oltp", "dwh")}
-SQL: dict[str, str] = {**STAR, **PAIRS, **TRIPS, **LAB}
+SQL: dict[str, str] = {**STAR, **PAIRS, **OTHERS, **TRIPS, **LAB}

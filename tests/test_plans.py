@@ -61,8 +61,46 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<l_extendedprice:double,l_linestatus:string>" in found
 
 
-def test_gap_windows_share_one_exchange(spark, shop):
+def test_gaps_need_no_window_per_user(spark, shop):
     from mercato.operators.series import order_gaps
 
     found = final_plan(order_gaps(shop.orders, "user_id", "created_at"))
-    assert "ReusedExchange" in found
+    assert "hashpartitioning" not in found and "user_id" not in found.split("Window")[-1].split("Exchange")[0]
+
+
+def test_filtered_days_prune_the_facts_folders(spark, shop):
+    from mercato.warehouse.load import star_of
+
+    assert "SubqueryBroadcast dynamicpruning" in plan(spark, "d05_months_of_quarter_dwh")
+    loaded = star_of(shop)
+    days = loaded.table("dim_date").filter("year = 1997 AND quarter = 2")
+    lines = loaded.fact_on_days("fct_order_items", days)
+    lines.collect()
+    nodes = [lines._jdf.queryExecution().executedPlan()]
+    read = []
+    while nodes:
+        node = nodes.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+        elif "QueryStage" in name:
+            nodes.append(node.plan())
+        if name.startswith("Scan parquet") and "numPartitions" in str(node.metrics().keySet()):
+            read.append(node.metrics().apply("numPartitions").value())
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.length())]
+    assert 3 in read, read
+
+
+def test_bucketed_facts_join_without_an_exchange(spark, shop):
+    from mercato.warehouse.load import star_of
+
+    loaded = star_of(shop)
+    lines, orders = (loaded.bucketed(n) for n in ("fct_order_items", "fct_orders"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = final_plan(lines.join(orders.drop("date_id"), "order_id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in found and "Exchange" not in found
