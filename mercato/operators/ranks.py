@@ -1,12 +1,11 @@
 """Positions in a global order without sorting in one task.
 
 ``add_ntiles`` and ``median_of`` need only a few exact order statistics.  They are found by
-narrowing: two approximate quantiles bracket the wanted position and a few remaining
-values drawn by lot lie anywhere; exact counts decide between which of these pivots, or at which, the
-position is.  That interval is narrowed again until a pivot is the row looked for.  As some pivots
-are values that remain, every round leaves fewer rows, whatever the values are.  Each step is an
-aggregation with one row per task in the exchange: no row is shuffled or fetched, and no value,
-however frequent, fills a task.
+narrowing: a mergeable quantile sketch per key brackets all wanted positions, exact counts tell
+between which of its values, or at which, each position is.  When few rows are left for a position,
+one aggregate sorts these and picks the row; when many are, they are narrowed again.  Each step is
+an aggregation with one row per task in the exchange: no row is shuffled or fetched, and no value,
+however frequent, fills a task.  Usually there are four: sizes, sketches, counts, rows.
 
 ``surrogate_key`` numbers every row: a range exchange on the whole key, a number inside each
 range, and the offset of each range.
@@ -16,18 +15,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato import scratch
 
-# Remaining values drawn by lot among the pivots of a round.
-SAMPLED = 3
-# Each round keeps about 4/ACCURACY of the rows.  Tasks send sketches of about ACCURACY values per
-# search to one merging task, so a fine bracket would cost more than another round.
-ACCURACY = 256
+# Size of the quantile sketches: ranks are off by about 2.3 / SKETCH ** 0.9 of the rows.
+SKETCH = 4_096
+# Rows that one aggregate sorts to pick the wanted one.
+PICKED = 16_384
 # monotonically_increasing_id keeps the partition above this bit.
 SLOT_BITS = 33
 
@@ -86,12 +86,11 @@ class _Search:
 
     def narrow(self, pivots: Sequence[Any], below: Sequence[int], equal: Sequence[int]) -> None:
         """Pick the part that holds the position; counts are between pivots (below each) and at them."""
-        size = self.size
         parts, low = [], None
         for pivot, between, same in zip(pivots, below, equal, strict=True):
             parts += [(between, low, pivot), (same, pivot, pivot)]
             low = pivot
-        parts.append((size - sum(below) - sum(equal), low, None))
+        parts.append((self.size - sum(below) - sum(equal), low, None))
         if self.backwards:
             parts.reverse()
         rank = self.rank
@@ -102,8 +101,6 @@ class _Search:
             if low is not None and low == high:
                 self.settle(low, rank, count)
                 return
-            if count >= size:
-                raise AssertionError("a round must leave fewer rows")
             self.low = self.low if low is None else low
             self.high = self.high if high is None else high
             self.rank, self.size = rank, count
@@ -128,24 +125,52 @@ def _start(searches: list[_Search], nulls: Mapping[str, int]) -> None:
             s.size = known
 
 
-def _round(df: DataFrame, searches: list[_Search], number: int) -> None:
-    """Narrows every search: one pass for pivots, one for exact counts."""
-    margin = 2.0 / ACCURACY
-    found = []
-    for i, s in enumerate(searches):
+def _quantiles(df: DataFrame, searches: list[_Search], number: int) -> list[list[Any]]:
+    """Values around every search's position, from sketches that searches of the same rows share."""
+    margin = 2.3 / SKETCH**0.9
+    sketches: dict[str, Column] = {}
+    of, wanted = [], []
+    for s in searches:
+        left, here, kind = s.remaining(), F.col(s.column), df.schema[s.column].dataType
+        whole = isinstance(kind, T.IntegralType)
+        values = F.when(left, here.cast("bigint" if whole else "double"))
+        name = str((s.column, s.fixed, s.low, s.high))
+        make = F.kll_sketch_agg_bigint if whole else F.kll_sketch_agg_double
+        sketches.setdefault(name, make(values, SKETCH))
         at = (s.rank - 0.5) / s.size
         at = 1 - at if s.backwards else at
-        points = [max(0.0, at - margin), min(1.0, at + margin)]
-        left, here = s.remaining(), F.col(s.column)
-        found.append(F.percentile_approx(F.when(left, here), points, ACCURACY).alias(f"q{i}"))
-        names = [c for c in (s.order.key, s.order.tie) if c]
-        for j in range(SAMPLED):
-            lot = F.xxhash64(*names, F.lit(number * SAMPLED + j))
-            found.append(F.min_by(here, F.when(left, lot)).alias(f"r{i}_{j}"))
-    row = df.agg(*found).first()
-    pivots = [
-        sorted({*row[f"q{i}"], *(row[f"r{i}_{j}"] for j in range(SAMPLED))}) for i in range(len(searches))
+        points = [min(1.0, max(0.0, at + m * margin)) for m in (-2, -0.5, 0.5, 2)]
+        ask = F.kll_sketch_get_quantile_bigint if whole else F.kll_sketch_get_quantile_double
+        of.append(list(sketches).index(name))
+        wanted.append((ask, points))
+    draws = []
+    if number:
+        # A remaining value drawn by lot splits whatever the sketch cannot tell apart.
+        for i, s in enumerate(searches):
+            lot = F.xxhash64(*[c for c in (s.order.key, s.order.tie) if c], F.lit(number))
+            draws.append(F.min_by(s.column, F.when(s.remaining(), lot)).alias(f"r{i}"))
+    made = df.agg(*[sketch.alias(f"s{i}") for i, sketch in enumerate(sketches.values())], *draws)
+    asked = [
+        ask(f"s{n}", F.lit(points)).alias(f"q{i}") for i, (n, (ask, points)) in enumerate(zip(of, wanted, strict=True))
     ]
+    row = made.select(*asked, *[f"r{i}" for i in range(len(draws))]).first()
+    found = []
+    for i, s in enumerate(searches):
+        kind = df.schema[s.column].dataType
+        values = list(row[f"q{i}"])
+        if isinstance(kind, T.DecimalType):
+            step = Decimal(1).scaleb(-kind.scale)
+            values = [Decimal(v).quantize(step) for v in values]
+        inside = [
+            v for v in values if (s.low is None or v > s.low) and (s.high is None or v < s.high)
+        ]
+        found.append(sorted({*inside, *([row[f"r{i}"]] if draws else [])}))
+    return found
+
+
+def _round(df: DataFrame, searches: list[_Search], number: int) -> None:
+    """Narrows every search: one pass for pivots, one for exact counts."""
+    pivots = _quantiles(df, searches, number)
     counts = []
     for i, s in enumerate(searches):
         left, here, low = s.remaining(), F.col(s.column), F.lit(True)
@@ -162,6 +187,23 @@ def _round(df: DataFrame, searches: list[_Search], number: int) -> None:
         s.narrow(pivots[i], [row[f"b{i}_{j}"] for j in places], [row[f"e{i}_{j}"] for j in places])
 
 
+def _pick(df: DataFrame, searches: list[_Search]) -> None:
+    """Finds the rows of searches of which few rows are left: each sorts its own."""
+    found = []
+    for i, s in enumerate(searches):
+        key, tie = F.col(s.order.key), F.col(s.order.tie) if s.order.tie else F.lit(0)
+        by = F.lit(0) if s.fixed[0] else key
+        if s.backwards:
+            whole = isinstance(df.schema[s.order.key].dataType, T.IntegralType)
+            by = F.bitwise_not(key) if whole else -key
+        row = F.struct(by.alias("by"), tie.alias("tie"), key.alias("key"))
+        rows = F.sort_array(F.collect_list(F.when(s.remaining(), row)))
+        found.append(F.element_at(rows, s.rank).alias(f"f{i}"))
+    row = df.agg(*found).first()
+    for i, s in enumerate(searches):
+        s.found = (row[f"f{i}"]["key"], row[f"f{i}"]["tie"] if s.order.tie else None)
+
+
 def _sizes(df: DataFrame, keys: set[str]) -> tuple[int, dict[str, int]]:
     """Rows, and rows without a value per key."""
     names = sorted(keys)
@@ -177,9 +219,11 @@ def rows_at(
     searches = [_Search(order, rank, size) for order, rank in wanted]
     _start(searches, nulls)
     number = 0
-    while open_ones := [s for s in searches if s.found is None]:
-        _round(df, open_ones, number)
+    while many := [s for s in searches if s.found is None and s.size > PICKED]:
+        _round(df, many, number)
         number += 1
+    if few := [s for s in searches if s.found is None]:
+        _pick(df, few)
     return [s.found for s in searches]
 
 

@@ -9,10 +9,12 @@ from mercato.operators.ranks import Ordering, add_ntiles, median_of, rows_at, su
 from tests.conftest import final_plan
 
 
-@pytest.fixture(params=[4, 256])
+@pytest.fixture(params=[(8, 2), (200, 40), (4_096, 4_096)])
 def small(request, monkeypatch):
-    """Wide brackets need many narrowing rounds, narrow ones few."""
-    monkeypatch.setattr(ranks, "ACCURACY", request.param)
+    """Coarse sketches and few picked rows need many narrowing rounds, others few or none."""
+    sketch, picked = request.param
+    monkeypatch.setattr(ranks, "SKETCH", sketch)
+    monkeypatch.setattr(ranks, "PICKED", picked)
 
 
 def frame(spark, n):
@@ -85,14 +87,30 @@ def test_large_repeated_values_end(spark):
     assert builtin(tiled, "v", False, 4).filter("tile != expected").count() == 0
 
 
-def test_steps_are_single_aggregated_rows(spark, monkeypatch):
-    df = frame(spark, 2_000)
-    sizes = []
+def test_nine_searches_take_four_jobs(spark, monkeypatch):
+    """Sizes, sketches, counts, rows; each fetches a single row."""
+    df = frame(spark, 40_000)
+    jobs = []
     agg = type(df).agg
-    monkeypatch.setattr(type(df), "agg", lambda self, *c: sizes.append(len(c)) or agg(self, *c))
+    monkeypatch.setattr(type(df), "agg", lambda self, *c: jobs.append(len(c)) or agg(self, *c))
     monkeypatch.setattr(type(df), "toLocalIterator", None)
-    add_ntiles(df, {"tile": Ordering("spread", "id")}, 4)
-    assert len(sizes) % 2 == 1 and len(sizes) < 30  # sizes once, then pivots and counts in turn
+    specs = {"a": Ordering("spread", "id"), "b": Ordering("hot", "id", True), "c": Ordering("id", "id")}
+    tiled = add_ntiles(df, specs, 4)
+    assert len(jobs) == 4 and jobs[1] == 3
+    for name, key, down in (("a", "spread", False), ("b", "hot", True)):
+        assert builtin(tiled, key, down, 4).filter(F.col(name) != F.col("expected")).count() == 0
+
+
+def test_values_next_to_each_other_in_doubles_are_told_apart(spark, monkeypatch):
+    """Sketches of decimals hold doubles: rows they cannot tell apart are split by lot."""
+    monkeypatch.setattr(ranks, "PICKED", 5)
+    df = spark.range(300).select(
+        ((F.col("id") % 40).cast("decimal(30,2)") / 100 + F.lit("12345678901234567890").cast("decimal(30,2)")).cast("decimal(30,2)").alias("v"),
+        "id",
+    )
+    tiled = add_ntiles(df, {"up": Ordering("v", "id"), "down": Ordering("v", "id", True)}, 4)
+    for name, down in (("up", False), ("down", True)):
+        assert builtin(tiled, "v", down, 4).filter(F.col(name) != F.col("expected")).count() == 0
 
 
 def test_median_of_nothing(spark):
