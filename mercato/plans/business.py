@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import exact, times
+from mercato.operators.distinct import estimate, monthly_sketches, within_bound
 from mercato.operators.customers import cohort_retention, funnel, median_gap, rfm_scores, rfm_segment
 from mercato.operators.series import period_growth, rolling_mean, streaks
 from mercato.operators.summary import grouped_summary, nested_mean, rate, rate_by, unmatched
@@ -159,6 +160,26 @@ def _top_users(
     return top_n(_with_email(shop, _per_user(shop, status_rows)), order, n, "user_id")
 
 
+@question
+def q06_funnel_users_approx(shop: Shop) -> DataFrame:
+    """Users who ordered, paid and were sent something: exact, and whether one merged row of sketches agrees."""
+    paid = shop.payments.filter(F.col("status") == "success").select("order_id", F.lit(True).alias("is_paid"))
+    sent = shop.shipments.select("order_id", F.lit(True).alias("is_sent"))
+    orders = shop.orders.select(F.col("id").alias("order_id"), "user_id", "created_at")
+    reached = orders.join(paid, "order_id", "left").join(sent, "order_id", "left")
+    stages = {
+        "ordered": F.col("user_id"),
+        "paid": F.when(F.col("is_paid"), F.col("user_id")),
+        "shipped": F.when(F.col("is_sent"), F.col("user_id")),
+    }
+    merged = estimate(monthly_sketches(reached, "created_at", stages), list(stages))
+    estimated = F.struct(*[F.col(name) for name in stages]).alias("estimated")
+    exactly = reached.agg(*[F.count_distinct(column).alias(name) for name, column in stages.items()])
+    both = exactly.withColumn("one", F.lit(1)).join(merged.select(estimated, F.lit(1).alias("one")), "one")
+    checks = [within_bound(F.col(f"estimated.{name}"), F.col(name)).alias(f"{name}_within_bound") for name in stages]
+    return both.select(*stages, *checks)
+
+
 @question
 def q07_top10_customers_by_orders(shop: Shop) -> DataFrame:
     top = _top_users(shop, shop.orders_in("completed"), [desc("order_count")], 10)
@@ -473,6 +494,33 @@ def q36_arpu(shop: Shop) -> DataFrame:
     )
 
 
+def _sketched_buyers(shop: Shop) -> DataFrame:
+    """Per month a sketch of the users with a completed order, and their revenue."""
+    done = shop.orders_in("completed")
+    return monthly_sketches(done, "created_at", {"users": "user_id"}, {"revenue": exact.money(F.sum("total_amount"))})
+
+
+@question
+def q36_arpu_approx(shop: Shop) -> DataFrame:
+    """Revenue per user from monthly sketches, which answer for any months without counting again."""
+    total = estimate(_sketched_buyers(shop), ["users"], revenue=exact.money(F.sum("revenue")))
+    return total.select(
+        F.col("users").alias("users_estimated"), exact.mean_money(F.col("revenue"), F.col("users")).alias("arpu_estimated")
+    )
+
+
+@question
+def q36_buyers_by_quarter_approx(shop: Shop) -> DataFrame:
+    """Exact buyers per quarter, and whether merged monthly sketches tell them within their bound."""
+    start = F.date_trunc("quarter", F.col("month")).cast("timestamp_ntz").alias("quarter")
+    merged = estimate(_sketched_buyers(shop), ["users"], [start]).withColumnRenamed("users", "estimated")
+    placed = F.date_trunc("quarter", F.col("created_at")).cast("timestamp_ntz").alias("quarter")
+    exactly = shop.orders_in("completed").groupBy(placed).agg(F.count_distinct("user_id").alias("users"))
+    return exactly.join(merged, "quarter").select(
+        "quarter", "users", within_bound(F.col("estimated"), F.col("users")).alias("within_bound")
+    )
+
+
 @question
 def q37_orders_by_weekday(shop: Shop) -> DataFrame:
     by_day = grouped_summary(

@@ -147,6 +147,15 @@ FROM (SELECT count(DISTINCT o.id) AS total, count(DISTINCT p.order_id) AS paid,
       LEFT JOIN shop_payments p ON p.order_id = o.id AND p.status = 'success'
       LEFT JOIN shop_shipments s ON s.order_id = o.id)"""
     ),
+    "q06_funnel_users_approx": shop(
+        """
+SELECT count(DISTINCT o.user_id) AS ordered, count(DISTINCT CASE WHEN p.id IS NOT NULL THEN o.user_id END) AS paid,
+       count(DISTINCT CASE WHEN s.id IS NOT NULL THEN o.user_id END) AS shipped,
+       true AS ordered_within_bound, true AS paid_within_bound, true AS shipped_within_bound
+FROM shop_orders o
+LEFT JOIN shop_payments p ON p.order_id = o.id AND p.status = 'success'
+LEFT JOIN shop_shipments s ON s.order_id = o.id"""
+    ),
     "q07_top10_customers_by_orders": _ranked_users(
         "o.status = 'completed'", "email, n AS order_count, spent AS total_spent", "n DESC", 10
     ),
@@ -313,6 +322,11 @@ WHERE s.product_id IS NULL GROUP BY c.id, c.name"""
         f"""
 SELECT {mean_money('sum(total_amount)', 'count(DISTINCT user_id)')} AS arpu
 FROM shop_orders WHERE {DONE}"""
+    ),
+    "q36_buyers_by_quarter_approx": shop(
+        f"""
+SELECT date_trunc('quarter', created_at)::TIMESTAMP AS quarter, count(DISTINCT user_id) AS users, true AS within_bound
+FROM shop_orders WHERE {DONE} GROUP BY 1"""
     ),
     "q37_orders_by_weekday": shop(
         f"""
