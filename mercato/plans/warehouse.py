@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from mercato.sources.schemas import STAR
 from mercato.sources.shop import Shop
 from mercato.warehouse import star
 from mercato.warehouse.history import scd2_apply, scd2_history
-from mercato.warehouse.load import PROFILE, Star, full_refresh, published, star_of
+from mercato.warehouse.load import PROFILE, Star, full_refresh, incremental_refresh, published, star_of
 
 QUESTIONS = Registry()
 question = QUESTIONS.question
@@ -114,6 +114,34 @@ def e10_full_refresh(shop: Shop) -> DataFrame:
     return reduce(DataFrame.unionByName, [_content(loaded, name) for name in STAR])
 
 
+class _Earlier(Shop):
+    """The shop some time ago: the last orders had not come in, those of one month were not settled."""
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        latest = self.given("orders").agg(F.max("o_orderkey")).first()[0] or 0
+        placed = times.in_month(F.col("created_at"), 1995, 3)
+        status = F.when(placed, "pending").otherwise(F.col("status"))
+        return super().orders.filter(F.col("id") <= latest - LATE).withColumn("status", status)
+
+
+# Order numbers that come in late.
+LATE = 16
+
+
+def incremental_loads(shop: Shop, root: str) -> tuple[Star, Star]:
+    """A load of the earlier shop, and one of the shop as it is that writes what changed."""
+    first = full_refresh(_Earlier(shop.spark, shop.folder), root)
+    return first, incremental_refresh(shop, root)
+
+
+@question
+def e10_incremental_refresh(shop: Shop) -> DataFrame:
+    """Rows and content per table after changed and late orders: those of a full load."""
+    _, loaded = incremental_loads(shop, scratch.new_path(shop.spark, "increment"))
+    return reduce(DataFrame.unionByName, [_content(loaded, name) for name in STAR])
+
+
 class _Moved(Shop):
     """The shop after users of one mail domain have moved to another."""
 

@@ -198,3 +198,34 @@ def test_unfinished_load_stays_invisible(spark, shop):
 def test_padded_names_fill_nine_characters(shop):
     names = star.dim_date(shop.orders, padded_names=True)
     assert names.filter((F.length("day_name") != 9) | (F.length("month_name") != 9)).count() == 0
+
+
+def test_untouched_months_keep_their_files(spark, shop):
+    from mercato.plans.warehouse import LATE, incremental_loads
+    from mercato.warehouse.load import FACTS, incremental_refresh, remove_superseded, versions
+
+    root = scratch.new_path(spark, "increment")
+    first, second = incremental_loads(shop, root)
+    whole = full_refresh(shop, scratch.new_path(spark, "whole"))
+    for name in STAR:
+        assert rows(second.table(name)) == rows(whole.table(name)), name
+    late = shop.orders.filter(F.col("id") > shop.orders.agg(F.max("id")).first()[0] - LATE)
+    months = {r[0] for r in late.select(F.date_format("created_at", "yyyyMM").cast("int")).collect()}
+    for name, touched in (("fct_orders", months | {199503}), ("fct_order_items", months)):
+        written = {r["month_id"] for r in second.manifest if r["table"] == name and r["source"] == second.version}
+        assert written == touched and len(touched) < 30
+        files = {r[0] for r in second.table(name).select(F.input_file_name()).distinct().collect()}
+        assert {f.split("/")[-4] for f in files} == {first.version, second.version}
+    assert {r["source"] for r in second.manifest if r["table"] == "dim_customer"} == {first.version}
+    # Nothing new: no fact is written, and the tables stay.
+    third = incremental_refresh(shop, root)
+    assert not [r for r in third.manifest if r["source"] == third.version]
+    removed = remove_superseded(spark, root)
+    assert any(first.version in path for path in removed) and versions(spark, root)[0] == third.version
+    again = published(spark, root)
+    for name in STAR:
+        assert rows(again.table(name)) == rows(whole.table(name)), name
+    gone = {r["month_id"] for r in first.manifest if r["table"] == "fct_orders"} & (months | {199503})
+    assert all(any(path.endswith(f"{first.version}/fct_orders/month_id={m}") for path in removed) for m in gone)
+    assert remove_superseded(spark, root) == []
+    assert set(FACTS) == {"fct_orders", "fct_order_items"}
