@@ -15,11 +15,13 @@ from mercato.functions import times
 from mercato.operators.topk import desc, top_n
 from mercato.plans import Registry
 from mercato.sources.files import (
+    curve_bounds,
     one_month,
     read_by_month,
     read_table,
     write_by_month,
     write_clustered,
+    write_on_curve,
 )
 from mercato.sources.shop import Shop
 
@@ -91,6 +93,17 @@ def l2_email_prefix_clustered(shop: Shop) -> DataFrame:
     return users.filter(F.col("email").startswith(PREFIX))
 
 
+REVERSED = "email_reversed"
+
+
+@question
+def l2_email_suffix_clustered(shop: Shop) -> DataFrame:
+    """The end of a text is the start of the reversed one, by which the files are ordered."""
+    turned = shop.users.withColumn(REVERSED, F.reverse("email"))
+    users = _clustered(shop, "users-by-reversed-email", turned, [REVERSED])
+    return users.filter(F.col(REVERSED).startswith(SUFFIX[::-1])).drop(REVERSED)
+
+
 @question
 def l3_order_lines_lookup(shop: Shop) -> DataFrame:
     return shop.plain_items.filter(F.col("order_id") == LOOKED_UP_ORDER)
@@ -122,3 +135,46 @@ def l5_status_date_filter(shop: Shop) -> DataFrame:
 def l5_status_date_filter_clustered(shop: Shop) -> DataFrame:
     clustered = _clustered(shop, "orders-by-status", shop.orders, ["status", "created_at"])
     return _cancelled_lately(clustered)
+
+
+# What one layout of the orders is made for, and into how many files.
+CURVE_COLUMNS, CURVE_FILES = ("status", "created_at", "total_amount"), 64
+_BOUNDS: dict[tuple, dict[str, list]] = {}
+
+
+def _on_curve(shop: Shop) -> tuple[DataFrame, dict[str, list]]:
+    """Orders whose files hold neighbours in status, moment and total, and the bounds between them."""
+    key = (shop.spark.sparkContext.applicationId, shop.folder, shop.version)
+    if key not in _BOUNDS:
+        _BOUNDS.clear()
+        _BOUNDS[key] = curve_bounds(shop.orders, CURVE_COLUMNS)
+    orders = _layout(
+        shop,
+        "orders-on-curve",
+        lambda path: write_on_curve(shop.orders, _BOUNDS[key], path, CURVE_FILES),
+        lambda path: read_table(shop.spark, path, shop.orders.schema),
+    )
+    return orders, _BOUNDS[key]
+
+
+@question
+def l1_range_filter_curve(shop: Shop) -> DataFrame:
+    orders, _ = _on_curve(shop)
+    return orders.filter(times.in_month(F.col("created_at"), YEAR, MONTH))
+
+
+@question
+def l4_top20_orders_curve(shop: Shop) -> DataFrame:
+    """The largest totals lie above the layout's last bounds: others' files are skipped."""
+    orders, bounds = _on_curve(shop)
+    totals = orders.select("id", "user_id", "total_amount")
+    for bound in reversed(bounds["total_amount"]):
+        above = totals.filter(F.col("total_amount") >= F.lit(bound))
+        if above.count() >= 20:
+            return top_n(above, [desc("total_amount")], 20, "id")
+    return top_n(totals, [desc("total_amount")], 20, "id")
+
+
+@question
+def l5_status_date_filter_curve(shop: Shop) -> DataFrame:
+    return _cancelled_lately(_on_curve(shop)[0])

@@ -74,6 +74,65 @@ def write_clustered(
     writer.parquet(path)
 
 
+# Bits of every column's place on the curve.
+CURVE_BITS = 8
+
+
+def curve_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
+    """Per column at most 2**CURVE_BITS - 1 values that part its rows evenly: a few hundred values each.
+
+    Numbers and moments are parted by approximate quantiles; texts by those of their most frequent values.
+    """
+    steps = 1 << CURVE_BITS
+    points = [i / steps for i in range(1, steps)]
+    bounds = {}
+    numeric = [c for c in columns if not isinstance(df.schema[c].dataType, T.StringType)]
+    if numeric:
+        kinds = {c: df.schema[c].dataType for c in numeric}
+        placed = [F.percentile_approx(_place(c, kinds[c]), points, 10_000).alias(c) for c in numeric]
+        row = df.agg(*placed).first()
+        bounds.update({c: sorted(set(row[c] or [])) for c in numeric})
+    for c in columns:
+        if c not in bounds:
+            often = df.filter(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), c).limit(steps - 1)
+            bounds[c] = sorted(r[0] for r in often.collect())
+    return bounds
+
+
+def _place(column: str, kind: T.DataType) -> Column:
+    """A column as a number in the same order."""
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        return times.micros(F.col(column))
+    return F.unix_date(column) if isinstance(kind, T.DateType) else F.col(column)
+
+
+def curve(df: DataFrame, bounds: dict[str, list]) -> Column:
+    """The place on a space-filling curve: the bits of every column's part, interleaved."""
+
+    def passed(name: str, values: list) -> Column:
+        """How many of the bounds lie at or below the column's value; none for NULL."""
+        place = _place(name, df.schema[name].dataType)
+        below = F.size(F.filter(F.lit(values), lambda bound: bound <= place)) if values else F.lit(0)
+        return F.greatest(F.coalesce(below, F.lit(0)), F.lit(0)).cast("bigint")
+
+    parts = [passed(name, values) for name, values in bounds.items()]
+    place = F.lit(0).cast("bigint")
+    for bit in range(CURVE_BITS):
+        for number, part in enumerate(parts):
+            one = F.shiftright(part, bit).bitwiseAND(F.lit(1))
+            place = place.bitwiseOR(F.shiftleft(one, bit * len(parts) + number))
+    return place
+
+
+def write_on_curve(df: DataFrame, bounds: dict[str, list], path: str, files: int) -> None:
+    """Files of rows that are neighbours in all of the columns at once, so that ranges of each skip files.
+
+    ``files`` is what the readers should be able to skip: at least some dozens.
+    """
+    placed = df.withColumn("_place", curve(df, bounds))
+    placed.repartitionByRange(files, "_place").sortWithinPartitions("_place").drop("_place").write.parquet(path)
+
+
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> None:
     """A table bucketed and sorted by ``key``: joins and groupings on it need no exchange."""
     (

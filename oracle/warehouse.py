@@ -234,6 +234,7 @@ JULY_2000 = """
 SELECT * FROM shop_orders WHERE year(created_at) = 2000 AND month(created_at) = 7"""
 PREFIX = "SELECT * FROM shop_users WHERE email LIKE 'customer.0000001%'"
 LOOKUP = "SELECT order_id, product_id, quantity, unit_price FROM shop_items WHERE order_id = 750"
+TOP20 = "SELECT id, user_id, total_amount FROM shop_orders ORDER BY total_amount DESC, id LIMIT 20"
 CANCELLED = """
 SELECT id, total_amount FROM shop_orders
 WHERE status = 'cancelled' AND year(created_at) >= 2000"""
@@ -242,21 +243,24 @@ LAB: dict[str, str] = {
     "l1_month_filter": shop("SELECT * FROM shop_orders WHERE month(created_at) = 7"),
     "l1_range_filter": shop(JULY_2000),
     "l1_range_filter_by_month": shop(JULY_2000),
+    "l1_range_filter_curve": shop(JULY_2000),
     "l2_email_suffix": shop("SELECT * FROM shop_users WHERE email LIKE '%example.com'"),
+    "l2_email_suffix_clustered": shop("SELECT * FROM shop_users WHERE email LIKE '%example.com'"),
     "l2_email_prefix": shop(PREFIX),
     "l2_email_prefix_clustered": shop(PREFIX),
     "l3_order_lines_lookup": shop(LOOKUP),
     "l3_order_lines_lookup_clustered": shop(LOOKUP),
-    "l4_top20_orders": shop(
-        "SELECT id, user_id, total_amount FROM shop_orders ORDER BY total_amount DESC, id LIMIT 20"
-    ),
+    "l4_top20_orders": shop(TOP20),
+    "l4_top20_orders_curve": shop(TOP20),
     "l5_status_date_filter": shop(CANCELLED),
+    "l5_status_date_filter_curve": shop(CANCELLED),
     "l5_status_date_filter_clustered": shop(CANCELLED),
 }
 
 # Asked on one side only, or in a second form.
 OTHERS: dict[str, str] = {
     "d05_revenue_by_quarter_of_orders_dwh": PAIRED["d05_revenue_by_quarter"],
+    "e10_incremental_refresh": STAR["e10_full_refresh"],
 }
 
 PAIRS = {f"{name}_{side}": sql for name, sql in PAIRED.items() for side in ("oltp", "dwh")}

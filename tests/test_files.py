@@ -34,6 +34,52 @@ def test_a_month_reads_its_folder_only(spark, shop):
     assert rows(july) == rows(expected)
 
 
+def may_match(paths, conditions):
+    """Files whose statistics leave room for rows that meet all (column, low, high), ends included."""
+    import pyarrow.parquet as pq
+
+    found = 0
+    for path in paths:
+        file = pq.ParquetFile(path)
+        names = file.schema_arrow.names
+        for group in range(file.metadata.num_row_groups):
+            group_ = file.metadata.row_group(group)
+            stats = {c: group_.column(names.index(c)).statistics for c, _, _ in conditions}
+            found += all(stats[c].max >= low and stats[c].min <= high for c, low, high in conditions)
+    return found
+
+
+def test_one_layout_skips_files_for_ranges_of_every_column(spark, shop):
+    import datetime as dt
+    import glob
+    from decimal import Decimal
+
+    bounds = files.curve_bounds(shop.orders, ["status", "created_at", "total_amount"])
+    path = scratch.new_path(spark, "curve")
+    files.write_on_curve(shop.orders, bounds, path, 64)
+    table = files.read_table(spark, path, shop.orders.schema)
+    assert rows(table) == rows(shop.orders)
+    paths = glob.glob(f"{path.removeprefix('file:')}/*.parquet")
+    assert len(paths) > 50
+    moments = dt.datetime(2000, 7, 1), dt.datetime(2000, 8, 1)
+    late = dt.datetime(2000, 1, 1), dt.datetime(9999, 1, 1)
+    top = Decimal(sorted(r[0] for r in shop.orders.select("total_amount").collect())[-20])
+    for conditions, share in (
+        ([("created_at", *moments)], 0.45),
+        ([("total_amount", top, Decimal(10**7))], 0.45),
+        ([("status", "cancelled", "cancelled"), ("created_at", *late)], 0.45),
+    ):
+        assert 0 < may_match(paths, conditions) <= share * len(paths), conditions
+
+
+def test_a_layout_of_nulls_and_of_nothing(spark):
+    df = spark.createDataFrame([(None, 1), ("a", None), ("b", 7)], "t string, n int")
+    for part in (df, df.limit(0), df.filter("n IS NULL")):
+        path = scratch.new_path(spark, "curve")
+        files.write_on_curve(part, files.curve_bounds(part, ["t", "n"]), path, 4)
+        assert rows(files.read_table(spark, path, df.schema)) == rows(part)
+
+
 def test_clustered_files_skip(spark, shop):
     path = scratch.new_path(spark, "clustered")
     files.write_clustered(shop.order_items, ["order_id"], path, bloom="order_id")

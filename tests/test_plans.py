@@ -38,7 +38,14 @@ def test_top_k_per_group_is_cut_before_the_shuffle(spark, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["l3_order_lines_lookup", "l2_email_prefix_clustered", "l5_status_date_filter_clustered"]
+    "name",
+    [
+        "l3_order_lines_lookup",
+        "l2_email_prefix_clustered",
+        "l2_email_suffix_clustered",
+        "l5_status_date_filter_clustered",
+        "l5_status_date_filter_curve",
+    ],
 )
 def test_selective_reads_push_their_filter(spark, name):
     found = plan(spark, name)
