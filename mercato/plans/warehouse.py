@@ -13,7 +13,7 @@ from mercato.plans import Registry
 from mercato.sources.schemas import STAR
 from mercato.sources.shop import Shop
 from mercato.warehouse import star
-from mercato.warehouse.history import scd2_apply, scd2_history
+from mercato.warehouse.history import scd2_apply, scd2_apply_log, scd2_history
 from mercato.warehouse.load import PROFILE, Star, full_refresh, incremental_refresh, published, star_of
 
 QUESTIONS = Registry()
@@ -75,6 +75,26 @@ def e7_scd2_apply(shop: Shop) -> DataFrame:
     return scd2_apply(before, changes, "user_id", PROFILE, CHANGES_EFFECTIVE, "customer_sk")
 
 
+@question
+def e7_scd2_change_log(shop: Shop) -> DataFrame:
+    """Buyers report a city with their first order, write their name in capitals with their last, and repeat it."""
+    profile = star.customer_profile(shop.users).drop("city")
+    orders = shop.orders.groupBy("user_id").agg(F.min("created_at").alias("first"), F.max("created_at").alias("last"))
+    buyers = profile.join(orders, "user_id").join(shop.user_cities, "user_id")
+    named, loud = F.col("full_name"), F.upper("full_name")
+    steps = F.array(
+        F.struct(F.col("first").alias("at"), named.alias("name")),
+        F.struct(F.col("last").alias("at"), loud.alias("name")),
+        F.struct((F.col("last") + F.expr("INTERVAL 1 DAY")).alias("at"), loud.alias("name")),
+    )
+    taken = F.when(F.col("first") < F.col("last"), steps).otherwise(F.slice(steps, 1, 1))
+    log = buyers.withColumn("step", F.explode(taken)).select(
+        "user_id", F.col("step.name").alias("full_name"), "email", "gender", "city", F.col("step.at").alias("at")
+    )
+    before = star_of(shop).table("dim_customer")
+    return scd2_apply_log(before, log, "user_id", PROFILE, "at", "customer_sk")
+
+
 @question
 def e8_scd2_history(shop: Shop) -> DataFrame:
     return scd2_history(e7_scd2_apply(shop), "user_id", 1)

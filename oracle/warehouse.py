@@ -101,6 +101,25 @@ FROM shop_sales JOIN products USING (product_id)""",
     ),
     "e6_surrogate_key": shop("SELECT * FROM shop_items"),
     "e7_scd2_apply": shop("SELECT * FROM versions", VERSIONS),
+    "e7_scd2_change_log": shop(
+        """
+SELECT c.customer_sk, c.user_id, c.full_name, c.email, c.gender, c.city, c.valid_from, f.first AS valid_to,
+       f.first IS NULL AS is_current
+FROM customers c LEFT JOIN placed f USING (user_id)
+UNION ALL
+SELECT (SELECT count(*) FROM customers) + row_number() OVER (ORDER BY user_id, valid_from), * FROM (
+  SELECT user_id, full_name, email, gender, n_name AS city, first AS valid_from,
+         CASE WHEN last > first THEN last END AS valid_to, last = first AS is_current
+  FROM customers JOIN placed USING (user_id)
+  UNION ALL
+  SELECT user_id, upper(full_name), email, gender, n_name, last, NULL, true
+  FROM customers JOIN placed USING (user_id) WHERE last > first)""",
+        CUSTOMERS,
+        """placed AS (
+  SELECT user_id, n_name, min(o.created_at) AS first, max(o.created_at) AS last
+  FROM shop_orders o JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey
+  JOIN shop_users u ON u.id = user_id GROUP BY ALL)""",
+    ),
     "e8_scd2_history": shop("SELECT * FROM versions WHERE user_id = 1", VERSIONS),
     "e9_price_history_backfill": shop(
         """

@@ -8,7 +8,7 @@ from mercato import scratch
 from mercato.operators.temporal import in_bins, temporal_lookup
 from mercato.sources.schemas import STAR
 from mercato.warehouse import star
-from mercato.warehouse.history import scd2_apply, scd2_history
+from mercato.warehouse.history import scd2_apply, scd2_apply_log, scd2_history
 from mercato.warehouse.load import full_refresh, published
 from tests.conftest import rows
 
@@ -200,6 +200,51 @@ def test_padded_names_fill_nine_characters(shop):
     assert names.filter((F.length("day_name") != 9) | (F.length("month_name") != 9)).count() == 0
 
 
+def test_a_log_of_changes_becomes_versions(spark, customers):
+    """Repeats make no version, also of what was open; unseen entities and NULLs come and go."""
+    log = spark.createDataFrame(
+        [
+            (1, "ann", "ann@x.org", "Unknown", "Unknown", T(2024, 1, 1)),
+            (1, "ann", "ann@x.org", "Unknown", "Izmir", T(2024, 2, 1)),
+            (1, "ann", "ann@x.org", "Unknown", "Izmir", T(2024, 3, 1)),
+            (1, "ann", "ann@x.org", "Unknown", None, T(2024, 4, 1)),
+            (3, "cem", "c@x.org", "Unknown", "Van", T(2024, 1, 5)),
+            (3, "cem", "c@x.org", "Unknown", "Bursa", T(2024, 1, 6)),
+        ],
+        "user_id bigint, full_name string, email string, gender string, city string, at timestamp_ntz",
+    )
+    dim = scratch.materialize(scd2_apply_log(customers, log.repartition(3), "user_id", ATTRIBUTES, "at", "customer_sk"), "t")
+    found = rows(dim.select("customer_sk", "user_id", "city", "valid_from", "valid_to", "is_current"))
+    assert found == sorted(
+        [
+            (1, 1, "Unknown", BORN, T(2024, 2, 1), False),
+            (2, 2, "Unknown", BORN, None, True),
+            (3, 1, "Izmir", T(2024, 2, 1), T(2024, 4, 1), False),
+            (4, 1, None, T(2024, 4, 1), None, True),
+            (5, 3, "Van", T(2024, 1, 5), T(2024, 1, 6), False),
+            (6, 3, "Bursa", T(2024, 1, 6), None, True),
+        ],
+        key=repr,
+    )
+    check_versions(dim)
+    again = scd2_apply_log(dim, log.limit(0), "user_id", ATTRIBUTES, "at", "customer_sk")
+    assert rows(again) == rows(dim)
+    for bad in (log.unionByName(log.limit(1)), log.withColumn("at", F.lit(BORN)), log.withColumn("at", F.lit(None).cast("timestamp_ntz"))):
+        with pytest.raises(ValueError):
+            scd2_apply_log(customers, bad, "user_id", ATTRIBUTES, "at", "customer_sk")
+
+
+def test_a_log_is_joined_once(spark, customers, monkeypatch):
+    joins = []
+    join = type(customers).join
+    monkeypatch.setattr(type(customers), "join", lambda self, *a, **k: joins.append(a) or join(self, *a, **k))
+    plain = change(spark, (1, "ann", "ann@x.org", "Unknown", "Izmir"))
+    scd2_apply(customers, plain, "user_id", ATTRIBUTES, T(2024, 5, 1), "customer_sk")
+    assert [a[2] for a in joins if len(a) > 2] == ["full_outer"]
+    # The other one adds the offsets of the numbering: a row per partition.
+    assert len(joins) == 2
+
+
 def test_untouched_months_keep_their_files(spark, shop):
     from mercato.plans.warehouse import LATE, incremental_loads
     from mercato.warehouse.load import FACTS, incremental_refresh, remove_superseded, versions
