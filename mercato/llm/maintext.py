@@ -10,7 +10,7 @@ from __future__ import annotations
 import html
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -80,6 +80,12 @@ FRAME = frozenset(["html", "body", "article", "main"])
 # Elements whose own text counts as a paragraph.
 PARAGRAPHS = frozenset("p pre blockquote td li dd div section article main body html figcaption center".split())
 
+# The elements that an opening tag ends.
+ENDED_BY: dict[str, list[str]] = {}
+for _name, _tags in CLOSED_BY.items():
+    for _tag in _tags:
+        ENDED_BY.setdefault(_tag, []).append(_name)
+
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>")
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -106,10 +112,14 @@ class Page:
         self.tags, self.parents, self.attributes = ["html"], [-1], [""]
         # (element, text), or (element, None) where a block begins or ends
         self.pieces: list[tuple[int, str | None]] = []
+        # Elements that are open: by depth, the depths of every tag's, and those of blocks.
+        self.stack, self.open, self.blocks = [0], {"html": [0]}, [0]
         self._read(source)
 
     def _read(self, source: str) -> None:
-        stack, at, end = [0], 0, len(source)
+        stack, at, end = self.stack, 0, len(source)
+        # Beyond the last one nothing is a tag.
+        last = source.rfind(">")
         tags, parents, attributes, pieces = self.tags, self.parents, self.attributes, self.pieces
         while at < end:
             mark = source.find("<", at)
@@ -132,9 +142,9 @@ class Page:
                 close = source.find(">", at)
                 at = end if close < 0 else close + 1
                 continue
-            match = _TAG.match(source, at) or _PLAIN_TAG.match(source, at)
-            if match is None:
-                if source.startswith("</", at) and source.find(">", at) >= 0 and source[at + 2 : at + 3] not in ("", " "):
+            match = at < last and (_TAG.match(source, at) or _PLAIN_TAG.match(source, at))
+            if not match:
+                if at < last and source.startswith("</", at) and source[at + 2 : at + 3] not in ("", " "):
                     at = source.find(">", at) + 1
                     continue
                 pieces.append((stack[-1], "<"))
@@ -143,14 +153,14 @@ class Page:
             at = match.end()
             tag = match.group(2).lower()
             if match.group(1):
-                self._close(stack, tag)
+                self._close(tag)
                 continue
             if tag == "br":
                 pieces.append((stack[-1], " "))
                 continue
-            if tag in ("html", "body") and any(tags[i] == tag for i in stack):
+            if tag in ("html", "body") and self.open.get(tag):
                 continue
-            self._imply(stack, tag)
+            self._imply(tag)
             number = len(tags)
             tags.append(tag)
             parents.append(stack[-1])
@@ -166,33 +176,39 @@ class Page:
                     at = end if after < 0 else after + 1
                 continue
             if tag not in VOID and not (match.group(3).endswith("/") and tag in ("svg", "math", "path")):
+                self.open.setdefault(tag, []).append(len(stack))
+                if tag in BLOCKS:
+                    self.blocks.append(len(stack))
                 stack.append(number)
 
-    def _imply(self, stack: list[int], tag: str) -> None:
-        """Closes what an opening tag ends."""
-        for depth in range(len(stack) - 1, max(0, len(stack) - 40), -1):
-            name = self.tags[stack[depth]]
-            if tag in CLOSED_BY.get(name, ()):
-                self._cut(stack, depth)
-                return
-            if name in SCOPES.get(tag, ()) or (tag not in SCOPES and name in BLOCKS):
-                return
-
-    def _close(self, stack: list[int], tag: str) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            name = self.tags[stack[depth]]
-            if name == tag:
-                self._cut(stack, depth)
-                return
-            # An inline end tag does not close blocks.
-            if tag not in BLOCKS and name in BLOCKS:
-                return
-
-    def _cut(self, stack: list[int], depth: int) -> None:
-        for number in stack[depth:]:
-            if self.tags[number] in BLOCKS:
+    def _deepest(self, names: Iterable[str]) -> int:
+        """Depth of the innermost open element of one of the names; 0 if there is none above the first."""
+        return max((depths[-1] for name in names if (depths := self.open.get(name))), default=0)
+
+    def _imply(self, tag: str) -> None:
+        """Closes what an opening tag ends, unless it stands in a scope of its own."""
+        ended = self._deepest(ENDED_BY.get(tag, ()))
+        scope = self._deepest(SCOPES[tag]) if tag in SCOPES else self.blocks[-1]
+        if ended and ended >= scope:
+            self._cut(ended)
+
+    def _close(self, tag: str) -> None:
+        """Closes the innermost element of the tag; an inline end tag does not close blocks."""
+        depth = self._deepest((tag,))
+        if depth and (tag in BLOCKS or depth > self.blocks[-1]):
+            self._cut(depth)
+
+    def _cut(self, depth: int) -> None:
+        for number in self.stack[depth:]:
+            tag = self.tags[number]
+            if tag in BLOCKS:
                 self.pieces.append((self.parents[number], None))
-        del stack[depth:]
+        for number in reversed(self.stack[depth:]):
+            tag = self.tags[number]
+            self.open[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+        del self.stack[depth:]
 
 
 def _named_outside(tag: str, attributes: str) -> tuple[bool, bool]:
