@@ -13,6 +13,7 @@ import hashlib
 import sys
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -538,6 +539,16 @@ def linked_components(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     smaller one are matched with all of the larger one.  So links inside a component need not be found one
     by one, and none between components is missed.
     """
+    kind = df.schema[key].dataType.simpleString()
+    return _components(df, key, text).select(
+        F.col("key").cast(kind).alias(key),
+        F.col("size").alias("n_shingles"),
+        F.coalesce("component_id", "key").cast(kind).alias("component_id"),
+    )
+
+
+def _components(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(d1, d2, key, size, component, component_id) of every row; nulls from component on without words."""
     spark = df.sparkSession
     rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
     signed = scratch.materialize(_signed(rows), "signed")
@@ -557,24 +568,41 @@ def linked_components(df: DataFrame, key: str = "doc_id", text: str = "text") ->
         "component", F.coalesce("component", "class")
     )
     lowest = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    final = joined.join(lowest, "component").select("d1", "d2", "component_id")
-    kind = df.schema[key].dataType.simpleString()
-    return of_rows.join(final, ["d1", "d2"], "left").select(
-        F.col("key").cast(kind).alias(key),
-        F.col("size").alias("n_shingles"),
-        F.coalesce("component_id", "key").cast(kind).alias("component_id"),
-    )
+    final = joined.join(lowest, "component").select("d1", "d2", "component", "component_id")
+    return of_rows.join(final, ["d1", "d2"], "left").select("d1", "d2", "key", "size", "component", "component_id")
+
+
+def _with_digests(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with the digests of its rows' sets as ``set d1`` and ``set d2``, null without words."""
+    at = df.columns.index(text)
+    names = [*df.columns, "set d1", "set d2"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tasks.slices(batch, at):
+                texts = part.column(at).cast(pa.string())
+                digests = [_digest(s) if len(s) else (None, None) for s in shingle_sets(texts)]
+                added = [pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], names=names)
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInArrow(run, f"{kinds}, `set d1` bigint, `set d2` bigint")
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` without those whose component has a smaller key, columns unchanged.
 
-    Of repeated rows with words one stays; rows with a null key or without a word all stay.  Only rows
-    that a filter of fixed size can't tell apart from others' copies are shuffled.
+    Of a component's rows with the smallest key one stays, so of repeated rows too; rows of one key and
+    different texts are judged each by their text.  Rows with a null key or without a word all stay; an
+    empty table stays empty.  Only rows that a filter of fixed size can't tell apart from others' copies
+    are shuffled.
     """
-    found = linked_components(df, key, text).filter("n_shingles > 0").filter(F.col(key).isNotNull())
-    copies = found.groupBy(key).agg(F.min("component_id").alias("first"), F.count("*").alias("n"))
-    copies = scratch.materialize(copies.filter((F.col(key) != F.col("first")) | (F.col("n") > 1)), "copies")
+    found = scratch.materialize(
+        _components(df, key, text).filter("size > 0 AND key IS NOT NULL").drop("size"), "components"
+    )
+    copies = found.groupBy("key").agg(F.min("component_id").alias("first"), F.count("*").alias("n"))
+    copies = copies.filter((F.col("key") != F.col("first")) | (F.col("n") > 1))
+    copies = scratch.materialize(copies.select(F.col("key").alias(key), "first", "n"), "copies")
     seen = df.sparkSession.sparkContext.broadcast(tasks.membership(copies.select(F.col(key).cast("bigint"))))
     named = [*df.columns]
 
@@ -591,7 +619,13 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
     sure = df.mapInArrow(split(False), df.schema)
     unsure = df.mapInArrow(split(True), df.schema)
-    repeated = copies.filter(F.col(key) == F.col("first")).select(key)
     single = unsure.join(copies.select(key), key, "anti").select(*named)
-    once = unsure.join(repeated, key, "semi").select(*named).dropDuplicates([key, text])
-    return sure.unionByName(single).unionByName(once)
+    # Rows that share a key are told apart by their sets: those go that have a copy with a smaller key.
+    shared = unsure.join(copies.filter("n > 1").select(key), key, "semi").select(*named)
+    digested = _with_digests(shared, text)
+    wordless = digested.filter(F.col("set d1").isNull()).select(*named)
+    firsts = found.filter("key = component_id").select(
+        F.col("key").alias(key), F.col("d1").alias("set d1"), F.col("d2").alias("set d2"), F.col("component").alias("set component")
+    )
+    once = digested.join(firsts.distinct(), [key, "set d1", "set d2"]).dropDuplicates([key, "set component"])
+    return reduce(DataFrame.unionByName, [sure, single, wordless, once.select(*named)])

@@ -85,3 +85,16 @@ def test_long_chains_are_one_component(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (103, 101), (200, 200)]
     found = dict(gathered(components(spark.createDataFrame(links, "a bigint, b bigint"))))
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 103: 100}
+
+
+def test_rows_of_one_key_are_judged_by_their_text(spark):
+    """A repeated id's clean text stays when another text of the id has a copy with a smaller one."""
+    words = [f"w{i}" for i in range(200)]
+    first, second, third = (" ".join(words[a : a + 40]) for a in (0, 60, 120))
+    rows = [(1, first), (5, first), (5, second), (5, second), (5, ""), (5, None), (7, third), (7, first), (9, second + " end")]
+    rows += [(None, first), (None, first)]
+    kept = one_of_each(documents(spark, rows, "key d1").repartition(3))
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    expected = [(1, first), (5, second), (5, ""), (5, None), (7, third), (None, first), (None, first)]
+    assert got == sorted(expected, key=repr)
+    assert one_of_each(documents(spark, [])).count() == 0
