@@ -111,3 +111,10 @@ def test_bucketed_facts_join_without_an_exchange(spark, shop):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" in found and "Exchange" not in found
+
+
+def test_rolling_means_are_ranged_once(spark):
+    """After the join: by product and day for the sums, by ranges of products for window and order."""
+    found = plan(spark, "q04_rolling7_product_sales")
+    assert found.count("rangepartitioning") == 1
+    assert "hashpartitioning(product_id" not in found.split("rangepartitioning")[0]
