@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato import generate
+from mercato import generate, scratch
 from mercato.operators import quality
 from mercato.plans import Registry
-from mercato.sources.files import insert_ignore
+from mercato.sources.files import create_tables, insert_ignore
 from mercato.sources.schemas import OPERATIONAL, RULES, STAR
 from mercato.sources.shop import Shop
 from mercato.warehouse.load import star_of
@@ -171,3 +172,23 @@ def s8_insert_ignore(shop: Shop) -> DataFrame:
     buyers = shop.orders_in("returned").select("user_id").distinct()
     events = shop.given("events").select("user_id", "event_id", "event_type")
     return insert_ignore(buyers, events, ["user_id"], "event_id")
+
+
+@question
+def s9_create_tables(shop: Shop) -> DataFrame:
+    """The star's tables, created with their declared columns and then filled: columns and rows of each."""
+    spark, loaded = shop.spark, star_of(shop)
+    database = f"star_{uuid.uuid4().hex}"
+    create_tables(spark, database, STAR, scratch.new_path(spark, "database"))
+    parts = []
+    for name in STAR:
+        loaded.table(name).write.insertInto(f"{database}.{name}")
+        table = spark.table(f"{database}.{name}")
+        parts.append(
+            table.agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(name).alias("table_name"),
+                F.lit(", ".join(f"{c} {kind}" for c, kind in table.dtypes)).alias("columns"),
+                "row_count",
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)

@@ -126,6 +126,21 @@ star_fct_order_items AS (
   FROM shop_items i JOIN shop_orders o ON o.id = i.order_id JOIN star_dim_product USING (product_id))"""
 
 
+# The columns of the star's tables as they are declared.
+STAR_COLUMNS = {
+    "dim_date": "date_id int, full_date date, day_of_week int, day_name string, month int, month_name string, "
+    "quarter int, year int, is_weekend boolean",
+    "dim_product": "product_sk bigint, product_id bigint, category_name string, product_name string, "
+    "current_price decimal(10,2)",
+    "dim_customer": "customer_sk bigint, user_id bigint, full_name string, email string, gender string, city string, "
+    "valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean",
+    "fct_orders": "order_id bigint, customer_sk bigint, date_id int, status string, total_amount decimal(10,2), "
+    "shipping_cost decimal(10,2)",
+    "fct_order_items": "order_item_id bigint, order_id bigint, product_sk bigint, date_id int, quantity int, "
+    "unit_price decimal(10,2), line_total decimal(10,2)",
+}
+
+
 def _audit() -> str:
     """Counts per rule, spelled out table by table."""
 
@@ -314,4 +329,11 @@ SELECT user_id, event_id, event_type FROM events
 WHERE user_id NOT IN (SELECT user_id FROM shop_orders WHERE status = 'returned')
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1"""
     ),
+    "s9_create_tables": shop(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, '{columns}' AS columns, count(*) AS row_count FROM star_{name}"
+            for name, columns in STAR_COLUMNS.items()
+        ),
+        STAR_TABLES,
+    ),
 }
