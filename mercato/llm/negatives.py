@@ -26,11 +26,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # One-bit codes per vector, each of what the one before leaves over, and bits of a query's steps.
 LEVELS = 4
 QUERY_BITS = 6
-# Bytes of vectors in one block of rows or tile of anchors, and cells compared at a time.
-BLOCK_BYTES = 4 << 20
+# Bytes of one block of rows and of one tile of anchors, and cells compared at a time.
+BLOCK_BYTES, TILE_BYTES = 1 << 20, 4 << 20
 CELLS = 1 << 19
 # Groups of blocks that a tile's lists are made from, merged after one exchange.
-SPREAD = 16
+SPREAD = 32
 SEED = 20_240_229
 # How stored vectors are written: the first kind that holds them.
 KINDS = (np.int16, np.int32, np.float64)
@@ -107,18 +107,22 @@ class Queries:
     def intervals(self, rows: slice, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
         """(low, high): between them lie the inner products of these anchors with every coded row."""
         shape = len(self.low[rows]), codes.signs.shape[1]
-        middle, off = np.zeros(shape), np.zeros(codes.signs.shape[1])
+        steps, ones = np.zeros(shape), np.zeros(shape[1])
         for signs, along in zip(codes.signs, codes.along, strict=True):
             hits = np.zeros(shape, np.int32)
-            for bit, plane in enumerate(self.planes[:, rows]):
+            for plane in self.planes[::-1, rows]:
+                hits <<= 1
                 for word in range(signs.shape[1]):
-                    hits += np.bitwise_count(plane[:, word, None] & signs[None, :, word]).astype(np.int32) << bit
-            ones = np.bitwise_count(signs).sum(1, dtype=np.int64)
-            value = self.step[rows, None] * (2 * hits - self.total[rows, None])
-            value += self.low[rows, None] * (2 * ones - self.width)
-            middle += along * value
-            off += np.abs(along)
-        wide = self.off[rows, None] * off + self.length[rows, None] * (codes.rest + _ROUNDING * codes.length) + 1e-6
+                    hits += np.bitwise_count(plane[:, word, None] & signs[None, :, word])
+            steps += along * hits
+            ones += along * (2 * np.bitwise_count(signs).sum(1, dtype=np.int64) - self.width)
+        # A query's part is its lowest value plus steps; signs count ones twice and then take all off.
+        step = self.step[rows, None]
+        middle = 2 * step * steps
+        middle -= step * self.total[rows, None] * codes.along.sum(0)
+        middle += self.low[rows, None] * ones
+        wide = self.off[rows, None] * np.abs(codes.along).sum(0)
+        wide += self.length[rows, None] * (codes.rest + _ROUNDING * codes.length) + 1e-6
         return middle - wide, middle + wide
 
 
@@ -244,7 +248,9 @@ class Positives(Tile):
     def chosen(self, anchors: slice, low: np.ndarray, high: np.ndarray, rows: Block) -> np.ndarray:
         fits = self.block.labels[anchors, None] == rows.labels[None, :]
         fits &= self.block.turns[anchors, None] != rows.turns[None, :]
-        floor = np.maximum(_largest(np.where(fits, low, -np.inf), self.k), self.floor()[anchors])
+        floor = self.floor()[anchors]
+        if np.isneginf(floor).any():
+            floor = np.maximum(_largest(np.where(fits, low, -np.inf), self.k), floor)
         return fits & (high >= floor[:, None])
 
     def fill(self, at: np.ndarray, to: np.ndarray, scores: np.ndarray, rows: Block) -> None:
@@ -277,9 +283,11 @@ class Negatives(Tile):
         found = np.zeros(other.shape, bool)
         for p in range(self.most):
             least, most = (b[anchors, None] for b in self._between(p))
-            # Rows that are surely between the bounds tell what others must reach.
-            sure = other & (low > least) & (high < most)
-            floor = np.maximum(_largest(np.where(sure, low, -np.inf), self.k), floors[p][anchors])
+            floor = floors[p][anchors]
+            if np.isneginf(floor).any():
+                # Rows that are surely between the bounds tell what others must reach.
+                sure = other & (low > least) & (high < most)
+                floor = np.maximum(_largest(np.where(sure, low, -np.inf), self.k), floor)
             found |= other & (low <= most) & (high >= np.maximum(least, floor[:, None]))
         return found
 
@@ -309,8 +317,8 @@ def usable_rows(df: DataFrame, key: str, vector: str, label: str, scale: float)
     return scratch.materialize(rows, "vectors")
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Rows as packed blocks of one width and bounded bytes."""
+def _blocks(rows: DataFrame, most: int) -> DataFrame:
+    """Rows as packed blocks of one width and about ``most`` bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
@@ -327,7 +335,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
             for row, head in enumerate(heads):
                 vector = flat[offsets[row] : offsets[row + 1]]
                 held.setdefault(len(vector), []).append((*head, vector))
-                if len(held[len(vector)]) * (8 * len(vector) + 24) >= BLOCK_BYTES:
+                if len(held[len(vector)]) * (8 * len(vector) + 24) >= most:
                     yield out(len(vector))
         for width in list(held):
             yield out(width)
@@ -368,13 +376,16 @@ def hard_negatives(
     Every tile's blocks are dealt to ``SPREAD`` tasks, each of which sends on one short list per anchor.
     """
     rows = usable_rows(df, key, vector, label, scale)
-    blocks = scratch.materialize(_blocks(rows).withColumn("n", F.monotonically_increasing_id()), "blocks")
-    # Anchors gather in tiles whatever the number of files they come from; dealt by row, not by key.
-    anchors = rows.filter(F.col("id") % every == 0)
-    size = F.sum(F.size("v") * 8 + 24)
-    parts = max(1, -(-(anchors.agg(size).first()[0] or 0) // BLOCK_BYTES))
-    gathered = _blocks(anchors.repartition(parts, "turn")).withColumn("tile", F.monotonically_increasing_id())
-    tiles = scratch.materialize(gathered, "tiles")
+    # Small files are read together, so that blocks are full; anchors gather in tiles, dealt row by row.
+    size = F.sum(F.size("v") * 8 + 24).cast("bigint")
+    asking = F.col("id") % every == 0
+    sums = rows.agg(size.alias("all"), F.sum(F.when(asking, F.size("v") * 8 + 24)).cast("bigint").alias("anchors")).first()
+    numbered = _blocks(rows.coalesce(max(1, (sums["all"] or 0) // BLOCK_BYTES)), BLOCK_BYTES).withColumn(
+        "n", F.monotonically_increasing_id()
+    )
+    blocks = scratch.materialize(numbered, "blocks")
+    anchors = rows.filter(asking).repartition(max(1, -(-(sums["anchors"] or 0) // TILE_BYTES)))
+    tiles = scratch.materialize(_blocks(anchors, TILE_BYTES).withColumn("tile", F.monotonically_increasing_id()), "tiles")
     names = [r["tile"] for r in tiles.select("tile").collect()]
     lists = _lists(blocks, tiles, names, None, lambda tile, asked: Positives(tile, positives))
     near = scratch.materialize(_merged(lists, positives).drop("slot"), "positives")
@@ -428,7 +439,8 @@ def _lists(
     every_tile = F.explode(F.lit(names).cast("array<bigint>"))
     passing = blocks.select(
         every_tile.alias("tile"),
-        F.pmod(F.xxhash64("n"), F.lit(SPREAD)).cast("int").alias("part"),
+        # The number of the block's task and its place there: neighbours go to different tasks.
+        F.pmod(F.shiftright("n", 33) + F.col("n").bitwiseAND(F.lit((1 << 33) - 1)), F.lit(SPREAD)).cast("int").alias("part"),
         "n",
         "block",
         F.lit(None).cast(ASKED).alias("asked"),

@@ -35,10 +35,11 @@ def brute(rows, every=50):
     return sorted(found, key=repr)
 
 
-@pytest.mark.parametrize("bytes_, cells", [(4 << 20, 1 << 19), (3_000, 50)])
+@pytest.mark.parametrize("bytes_, cells", [(1 << 20, 1 << 19), (3_000, 50)])
 def test_equals_brute_force(spark, monkeypatch, bytes_, cells):
     """Ties, repeated rows, unusable rows, other widths; many tiles and blocks as well as one."""
     monkeypatch.setattr(operator, "BLOCK_BYTES", bytes_)
+    monkeypatch.setattr(operator, "TILE_BYTES", bytes_)
     monkeypatch.setattr(operator, "CELLS", cells)
     rng = random.Random(6)
     rows = [(i, [rng.choice((-1.0, 0.0, 0.5, 1.0, 1.3)) for _ in range(7)], rng.randrange(4)) for i in range(400)]
