@@ -70,6 +70,35 @@ def test_run_is_the_stages_in_turn(spark):
     ]
 
 
+def test_awkward_tables(spark, tmp_path):
+    """Nulls in any column, repeated rows, one id with two texts, a long text, columns named like results."""
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    text = "the quiet words of a text that nobody else has written before today or since"
+    other = "und noch ein ganz anderer text der mit dem ersten gar nichts gemein hat heute"
+    odd = [(None, text, None, None, None), (-1, None, "en", "s", 1), (-2, "", "en", "s", 1), (-3, "12 34 !?", "en", "s", 1)]
+    odd += [(-4, other, "de", None, 1), (-4, other, "de", None, 1), (-4, text + " later", None, "s", 1), (-5, "long words here " * 9_000, "en", "s", 1)]
+    frame = given.unionByName(spark.createDataFrame(odd, given.schema)).selectExpr("*", "7 AS piece", "'x' AS component", "1 AS spans")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = {r.doc_id for r in found}
+    assert not {-1, -2, -3} & ids and {None, -4, -5} <= ids
+    # The row without an id stays beside the one it is a near copy of; of the repeated rows one does.
+    assert sum(r.doc_id == -4 for r in found) == 2 and sum(r.doc_id is None for r in found) == 1
+    assert sum(r.doc_id == -5 for r in found) > 1
+    places = {}
+    for r in found:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in places.values():
+        assert [o for o, _ in sorted(parts)] == [sum(n for _, n in sorted(parts)[:i]) for i in range(len(parts))]
+
+
+def test_empty_tables(spark, tmp_path):
+    for name in ("documents", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_the_rest_works_without_these_operators(tmp_path):
     """The folders and the pipeline may be deleted: the entry still imports and lists the other queries."""
     shutil.copytree(ROOT, tmp_path / "repo", ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
