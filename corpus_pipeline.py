@@ -55,7 +55,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each stored as Parquet and read again."""
+    """All stages over ``documents``, each stored as Parquet and read again.
+
+    Documents with a null or empty text, or without a letter, go in the first stage, as no language is
+    told; of repeated rows one stays, of an id's different texts each is judged by itself; rows without an
+    id are never removed as copies.  Nulls in other columns and further columns are passed on up to the
+    last stage.  Empty tables give no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
