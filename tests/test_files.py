@@ -159,3 +159,18 @@ def test_a_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError):
         scratch.shared_folder(Session())
+
+
+@pytest.mark.parametrize("number", [0, 1, 2, 3, 7, 8, 100, 255])
+def test_places_on_the_curve_count_the_bounds_below(spark, number):
+    df = spark.range(-3, 530).select(F.when(F.col("id") % 50 != 7, F.col("id")).alias("v"))
+    found = df.select("v", files.curve(df, {"v": [2 * i for i in range(number)]}).alias("place"))
+    for v, place in found.collect():
+        assert place == (0 if v is None else sum(2 * i <= v for i in range(number)))
+
+
+def test_a_place_meets_few_bounds(spark):
+    """A row is not compared with each of 255 bounds."""
+    df = spark.range(1).select(F.col("id").alias("v"))
+    plan = files.curve(df, {"v": list(range(255))})
+    assert "filter(" not in plan._jc.toString() and "aggregate(" in plan._jc.toString()
