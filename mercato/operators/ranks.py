@@ -8,17 +8,21 @@ an aggregation with one row per task in the exchange: no row is shuffled or fetc
 however frequent, fills a task.  Usually there are four: sizes, sketches, counts, rows.
 
 ``surrogate_key`` numbers every row: a range exchange on the whole key, a number inside each
-range, and the offset of each range.
+range, and the offset of each range.  ``surrogate_key_in_groups`` gives the same numbers when the
+leading column groups the rows: only one row per group meets the ranges.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +34,8 @@ SKETCH = 4_096
 PICKED = 16_384
 # monotonically_increasing_id keeps the partition above this bit.
 SLOT_BITS = 33
+# Rows of one group that a task sorts; larger groups are spread over ranges.
+LARGE_GROUP = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -294,3 +300,73 @@ def surrogate_key(df: DataFrame, natural_key: Sequence[str], name: str, start: i
         .withColumn(name, F.col("_offset") + inside + 1)
         .drop("_range", "_slot", "_offset")
     )
+
+
+def _totals_before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per group of one range the rows of the groups before it there."""
+    total, number = 0, TaskContext.get().partitionId()
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        group, size, counted = batch.columns
+        through = pc.add(pc.cumulative_sum(counted), total)
+        before = pc.subtract(through, counted)
+        total = through[-1].as_py()
+        slots = pa.array([number] * batch.num_rows, pa.int32())
+        yield pa.RecordBatch.from_arrays([slots, group, size, counted, before], ["_range", "_group", "_size", "_counted", "_before"])
+
+
+def surrogate_key_in_groups(df: DataFrame, natural_key: Sequence[str], groups: DataFrame, name: str) -> DataFrame:
+    """The numbers that ``surrogate_key`` gives the rows whose leading key column is among ``groups``.
+
+    Rows are numbered inside their group, which needs one exchange on the leading column that joins on it
+    reuse; a group's offset is summed from the sizes of those before it, so only a row per group is
+    range-partitioned.  Groups of more than ``LARGE_GROUP`` rows go through ``surrogate_key``.
+    ``groups`` has one column, in which values may repeat.
+    """
+    lead, *rest = natural_key
+    rows = df.filter(F.col(lead).isNotNull())
+    known = groups.select(F.col(groups.columns[0]).alias(lead)).distinct().withColumn("_known", F.lit(True))
+    sizes = (
+        rows.groupBy(lead)
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .join(known, lead, "left")
+        .select(F.col(lead).alias("_group"), "_size", F.when(F.col("_known"), F.col("_size")).otherwise(0).alias("_counted"))
+    )
+    kind = df.schema[lead].dataType.simpleString()
+    summed = sizes.repartitionByRange("_group").sortWithinPartitions("_group").mapInArrow(
+        _totals_before, f"_range int, _group {kind}, _size bigint, _counted bigint, _before bigint"
+    )
+    stored = scratch.materialize(summed, f"groups-{name}")
+    totals = stored.groupBy("_range").agg(F.sum("_counted").alias("total"), F.max("_size").alias("largest")).collect()
+    offset, offsets = 0, []
+    for r in sorted(totals):
+        offsets.append((r["_range"], offset))
+        offset += r["total"]
+    # One row per shuffle partition: small by construction.
+    lookup = df.sparkSession.createDataFrame(offsets, "_range int, _offset bigint")
+    placed = stored.join(F.broadcast(lookup), "_range").select(
+        F.col("_group").alias(lead), "_size", "_counted", (F.col("_before") + F.col("_offset")).alias("_before")
+    )
+    large = None
+    if any(r["largest"] > LARGE_GROUP for r in totals):
+        # A row for at least LARGE_GROUP rows each.
+        large = placed.filter(F.col("_size") > LARGE_GROUP).orderBy(lead).collect()
+        listed = df.sparkSession.createDataFrame([(r[lead],) for r in large], f"{lead} {kind}")
+        everything, rows = rows, rows.join(F.broadcast(listed), lead, "left_anti")
+        placed = placed.filter(F.col("_size") <= LARGE_GROUP)
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(lead).orderBy(*rest)))
+    counted = placed.filter(F.col("_counted") > 0).select(lead, "_before")
+    numbered = ranked.join(counted, lead).withColumn(name, F.col("_before") + F.col("_rank"))
+    numbered = numbered.select(*df.columns, name)
+    if large is None:
+        return numbered
+    shifts, seen = [], 0
+    for r in large:
+        if r["_counted"]:
+            shifts.append((r[lead], r["_before"] - seen))
+            seen += r["_counted"]
+    shift = F.broadcast(df.sparkSession.createDataFrame(shifts, f"{lead} {kind}, _shift bigint"))
+    spread = surrogate_key(everything.join(shift, lead, "left_semi"), natural_key, name)
+    spread = spread.join(shift, lead).withColumn(name, F.col(name) + F.col("_shift"))
+    return numbered.unionByName(spread.select(*df.columns, name))

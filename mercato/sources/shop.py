@@ -186,13 +186,13 @@ class Shop:
     def orders_in(self, status: str) -> DataFrame:
         return self.orders.filter(F.col("status") == status)
 
-    @cached_property
-    def _lines(self) -> DataFrame:
-        """Every given line, whether or not its order is there."""
+    @staticmethod
+    def _priced(lines: DataFrame) -> DataFrame:
+        """Given lines with the columns of the shop's order lines."""
         cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
         each = F.call_function("div", cents, F.col("l_quantity").cast("bigint"))
-        return self.given("lineitem").select(
-            *[F.col(c) for c in LINE_ORDER],
+        return lines.select(
+            "*",
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
@@ -203,6 +203,11 @@ class Shop:
             (F.col("l_quantity").cast("int") * each).alias("line_cents"),
         )
 
+    @cached_property
+    def _lines(self) -> DataFrame:
+        """Every given line, whether or not its order is there."""
+        return self._priced(self.given("lineitem").select(*LINE_ORDER))
+
     @cached_property
     def raw_items(self) -> DataFrame:
         """Order lines before orphans are dropped; inner joins with orders drop them anyway."""
@@ -220,14 +225,15 @@ class Shop:
         return self.order_items.drop("line_cents")
 
     def keyed_items(self) -> DataFrame:
-        """Order lines with their dense number ``id`` in ``LINE_ORDER``."""
-        from mercato.operators.ranks import surrogate_key
+        """Order lines with their dense number ``id`` in ``LINE_ORDER``.
 
-        known = self.orders.select(F.col("id").alias("order_id"))
-        lines = self._lines.drop("line_cents").join(known, "order_id", "left_semi")
-        return surrogate_key(lines, LINE_ORDER, "id").select(
-            "id", "order_id", "product_id", "quantity", "unit_price"
-        )
+        Only what orders the lines moves; the rest is derived from it afterwards.
+        """
+        from mercato.operators.ranks import surrogate_key_in_groups
+
+        lines = self.given("lineitem").select(*LINE_ORDER)
+        keyed = surrogate_key_in_groups(lines, LINE_ORDER, self.orders.select("id"), "id")
+        return self._priced(keyed).select("id", "order_id", "product_id", "quantity", "unit_price")
 
     def sales(self, *order_columns: str, status: str | None = None) -> DataFrame:
         """Order lines joined with columns of their order."""

@@ -228,8 +228,10 @@ def _refresh(
         customers = star.dim_customer_initial(shop.users)
     customers = loading.store("dim_customer", customers)
     loading.store("fct_orders", star.fct_orders(shop.orders, customers, as_of))
-    # Numbering the lines sorts them all: once per load, however often they are looked at.
-    lines = scratch.materialize(shop.keyed_items(), "lines")
+    lines = shop.keyed_items()
+    if over is not None:
+        # Looked at twice, for digests and for what changed; numbering the lines sorts them all.
+        lines = scratch.materialize(lines, "lines")
     loading.store("fct_order_items", star.fct_order_items(lines, shop.orders, products))
     return loading.publish()
 

@@ -135,3 +135,28 @@ def test_surrogate_keys_spread_a_hot_leading_column(spark):
 
 def test_surrogate_key_of_nothing(spark):
     assert surrogate_key(frame(spark, 0), ["id"], "sk").count() == 0
+
+
+@pytest.mark.parametrize("large", [1 << 20, 3])
+def test_keys_in_groups_are_those_over_all_rows(spark, monkeypatch, large):
+    """Unknown, missing, repeated and large groups; rows equal in the whole key; NULLs in it."""
+    monkeypatch.setattr(ranks, "LARGE_GROUP", large)
+    i = F.col("id")
+    df = spark.range(400).select(
+        F.when(i % 4 == 0, F.lit(20)).when(i % 4 == 1, F.lit(21)).when(i % 31 != 0, F.xxhash64(i) % 40).alias("lead"),
+        F.when(i % 9 != 0, F.xxhash64(i) % 11).alias("next"),
+        (i % 3).alias("last"),
+    ).repartition(5)
+    groups = spark.createDataFrame([(k,) for k in [*range(-39, 40, 2), 20, 7, 7, None]], "k bigint")
+    key = ["lead", "next", "last"]
+    known = df.join(groups.withColumnRenamed("k", "lead"), "lead", "left_semi")
+    plain = known.withColumn("sk", F.row_number().over(Window.orderBy(*key)).cast("bigint"))
+    found = ranks.surrogate_key_in_groups(df, key, groups, "sk")
+    assert found.columns == plain.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.select(*found.columns).collect()))
+
+
+def test_keys_in_groups_of_nothing(spark):
+    df, none = frame(spark, 5), spark.createDataFrame([], "k bigint")
+    assert ranks.surrogate_key_in_groups(df, ["id", "tied"], none, "sk").count() == 0
+    assert ranks.surrogate_key_in_groups(frame(spark, 0), ["id", "tied"], none, "sk").count() == 0

@@ -10,7 +10,7 @@ from mercato.sources.schemas import STAR
 from mercato.warehouse import star
 from mercato.warehouse.history import scd2_apply, scd2_apply_log, scd2_history
 from mercato.warehouse.load import full_refresh, published
-from tests.conftest import rows
+from tests.conftest import final_plan, rows
 
 T = dt.datetime
 BORN = T(1900, 1, 1)
@@ -274,3 +274,18 @@ def test_untouched_months_keep_their_files(spark, shop):
     assert all(any(path.endswith(f"{first.version}/fct_orders/month_id={m}") for path in removed) for m in gone)
     assert remove_superseded(spark, root) == []
     assert set(FACTS) == {"fct_orders", "fct_order_items"}
+
+
+def test_a_load_moves_its_lines_by_order_once(spark, shop):
+    """Numbers, orders and their days meet the lines under one exchange, without one of all lines in ranges."""
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        products = shop.products.select(F.col("id").alias("product_id"), F.col("id").alias("product_sk"))
+        found = final_plan(star.fct_order_items(shop.keyed_items(), shop.orders, products))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert "rangepartitioning" not in found
+    # Lines and offsets, and the orders: no second exchange of the lines.
+    assert found.count("Exchange hashpartitioning(l_orderkey") == 2
+    assert found.count("Exchange hashpartitioning(order_id") == 1
