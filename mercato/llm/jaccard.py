@@ -260,18 +260,14 @@ def _signed(rows: DataFrame) -> DataFrame:
 
 def _ordered(rows: DataFrame, shared, shares: np.ndarray | None, wanted=None) -> DataFrame:
     """Per row digest and ordered set: with ``shares`` only the end that must meet, else whole sets of
-    the wanted digests."""
+    rows with the wanted keys or none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         named, ranks = shared.value
         for batch in batches:
-            for part in tasks.slices(batch, 1):
+            for part in tasks.slices(batch if wanted is None else _with_keys(batch, wanted.value), 1):
                 sets = [s for s in shingle_sets(part.column(1)) if len(s)]
                 digests = [_digest(s) for s in sets]
-                if wanted is not None and sets:
-                    kept = wanted.value[tasks.filter_bits(np.array([d[0] for d in digests]))]
-                    sets = [s for s, k in zip(sets, kept, strict=True) if k]
-                    digests = [d for d, k in zip(digests, kept, strict=True) if k]
                 ordered = [order_keys(s, named, ranks) for s in sets]
                 sizes = pa.array([len(s) for s in sets], pa.int64())
                 if shares is not None:
@@ -293,6 +289,13 @@ def _ordered(rows: DataFrame, shared, shares: np.ndarray | None, wanted=None) ->
     return found.dropDuplicates(["d1", "d2"])
 
 
+def _with_keys(batch: pa.RecordBatch, wanted: np.ndarray) -> pa.RecordBatch:
+    """The rows whose key may be wanted, and those without a key."""
+    keys = batch.column(0)
+    bits = tasks.filter_bits(keys.fill_null(0).to_numpy(zero_copy_only=False))
+    return batch.filter(pa.array(wanted[bits] | keys.is_null().to_numpy(zero_copy_only=False)))
+
+
 def _dealt(grams: np.ndarray, digest: int, shares: np.ndarray) -> np.ndarray:
     """N-grams that very many rows have get a number of the group their set goes to as well."""
     common = grams < _RARE
@@ -415,11 +418,12 @@ def _asked(rows: DataFrame, largest: bool) -> DataFrame:
 def _matched(rows: DataFrame, classes: DataFrame, shared, groups: DataFrame, all_links: bool) -> DataFrame:
     """Links (a, b) found by walking the tries of all groups (group, part, probe, class).
 
-    The texts are read again for the sets of the classes in the groups; a filter of fixed size leaves
-    most others out, and the sets go straight to the digests that the groups ask for.
+    The texts are read again for the sets of the classes in the groups, each from a row with the class's
+    smallest key (or without a key, if none has one); a filter of fixed size leaves most other rows out
+    before their sets are made, and the sets go straight to the digests that the groups ask for.
     """
-    named = scratch.materialize(groups.join(classes.select("class", "d1", "d2"), "class"), "groups")
-    seen = rows.sparkSession.sparkContext.broadcast(tasks.membership(named.select("d1")))
+    named = scratch.materialize(groups.join(classes.select("class", "d1", "d2", "rep"), "class"), "groups")
+    seen = rows.sparkSession.sparkContext.broadcast(tasks.membership(named.filter("rep IS NOT NULL").select("rep")))
     whole = _ordered(rows, shared, None, seen).drop("size")
     filled = named.join(whole, ["d1", "d2"]).select("group", "part", "probe", "class", "grams")
     return filled.groupBy("group", "part").applyInArrow(_match(all_links), "a bigint, b bigint")

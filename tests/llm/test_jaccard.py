@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from mercato.llm import jaccard
+from mercato.llm import jaccard, tasks
 from mercato.llm.components import components
 from mercato.llm.jaccard import Trie, linked_components, one_of_each, shingle_sets
 from tests.llm.helpers import documents, gathered, white_space_words
@@ -98,3 +100,21 @@ def test_rows_of_one_key_are_judged_by_their_text(spark):
     expected = [(1, first), (5, second), (5, ""), (5, None), (7, third), (None, first), (None, first)]
     assert got == sorted(expected, key=repr)
     assert one_of_each(documents(spark, [])).count() == 0
+
+
+def test_sets_are_made_of_wanted_rows_only(spark):
+    """A second look at the texts makes the sets of rows with a wanted key, and of those without any."""
+    rows = spark.createDataFrame([(1, "a b c"), (2, "d e f"), (None, "g h i"), (3, "j k l")], "key bigint, text string")
+    shared, _ = jaccard._order(spark, np.empty(0, np.uint64), np.empty(0, np.int64))
+    wanted = spark.sparkContext.broadcast(tasks.membership(rows.filter("key = 2").select("key")))
+    found = jaccard._ordered(rows, shared, None, wanted).collect()
+    expected = [jaccard._digest(s) for s in shingle_sets(pa.array(["d e f", "g h i"]))]
+    assert sorted((r.d1, r.d2) for r in found) == sorted(expected)
+
+
+def test_texts_without_a_key_link_others(spark):
+    """The only text between two others has no key, and comes twice."""
+    words = [f"w{i}" for i in range(104)]
+    between = (None, " ".join(words[:100]))
+    rows = [(5, " ".join([*words[:100], "x1", "x2", "x3"])), between, between, (9, " ".join(words[8:100])), (7, "x y")]
+    assert gathered(linked_components(documents(spark, rows))) == brute(rows)
