@@ -584,7 +584,7 @@ def q41_abandoned_carts(shop: Shop) -> DataFrame:
 
 @question
 def q42_price_as_of_order(shop: Shop) -> DataFrame:
-    lines = shop.sales("created_at").select("order_id", "product_id", "created_at")
+    lines = shop.sales("created_at", hashed=True).select("order_id", "product_id", "created_at")
     return temporal_lookup(lines, shop.price_history, "product_id", "created_at").select(
         "order_id", "product_id", "created_at", F.col("price").alias("price_at_order")
     )

@@ -235,12 +235,14 @@ class Shop:
         keyed = surrogate_key_in_groups(lines, LINE_ORDER, self.orders.select("id"), "id")
         return self._priced(keyed).select("id", "order_id", "product_id", "quantity", "unit_price")
 
-    def sales(self, *order_columns: str, status: str | None = None) -> DataFrame:
-        """Order lines joined with columns of their order."""
+    def sales(self, *order_columns: str, status: str | None = None, hashed: bool = False) -> DataFrame:
+        """Order lines joined with columns of their order.
+
+        ``hashed`` holds a partition's orders in a hash table; otherwise large lines and orders are both sorted.
+        """
         orders = self.orders if status is None else self.orders_in(status)
-        return self.raw_items.join(
-            orders.select(F.col("id").alias("order_id"), *order_columns), "order_id"
-        )
+        known = orders.select(F.col("id").alias("order_id"), *order_columns)
+        return self.raw_items.join(known.hint("shuffle_hash") if hashed else known, "order_id")
 
     @cached_property
     def payments(self) -> DataFrame:

@@ -63,6 +63,11 @@ def test_range_lookup_is_an_equi_join(spark):
     assert "NestedLoop" not in found and "Cartesian" not in found
 
 
+def test_lines_are_not_sorted_to_meet_their_orders(spark):
+    found = plan(spark, "q42_price_as_of_order")
+    assert "ShuffledHashJoin [order_id" in found and "SortMergeJoin [order_id" not in found
+
+
 def test_scans_read_only_needed_columns(spark):
     found = plan(spark, "x03_avg_fare_by_vendor")
     assert "ReadSchema: struct<l_extendedprice:double,l_linestatus:string>" in found
