@@ -1,6 +1,9 @@
+import subprocess
+import sys
 from statistics import median
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -160,3 +163,12 @@ def test_keys_in_groups_of_nothing(spark):
     df, none = frame(spark, 5), spark.createDataFrame([], "k bigint")
     assert ranks.surrogate_key_in_groups(df, ["id", "tied"], none, "sk").count() == 0
     assert ranks.surrogate_key_in_groups(frame(spark, 0), ["id", "tied"], none, "sk").count() == 0
+
+
+def test_task_functions_travel_with_the_job(tmp_path):
+    """A worker without a copy of the package can load what a task runs."""
+    packed = tmp_path / "function"
+    packed.write_bytes(cloudpickle.dumps(ranks._totals_before))
+    code = f"import pickle; print(pickle.load(open({str(packed)!r}, 'rb')).__name__)"
+    done = subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert done.stdout.strip() == "_totals_before", done.stderr
