@@ -13,32 +13,38 @@ from mercato.llm.langid import recognised
 from mercato.llm.packing import pack
 from mercato.llm.pii import masked
 from mercato.llm.queries import VOCABULARY
+from mercato.session import narrow_batches
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told stay."""
+    narrow_batches(spark)
     return recognised(docs)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest id."""
+    narrow_batches(spark)
     return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark phrases are cut out; documents with nothing else go."""
+    narrow_batches(spark)
     return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is masked; every document stays."""
+    narrow_batches(spark)
     return masked(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every kept document's tokens, packed into sequences."""
+    narrow_batches(spark)
     return pack(docs, VOCABULARY)
 
 

@@ -15,6 +15,17 @@ RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Rows travel to Python workers in Arrow batches of about so many bytes; a larger row travels alone.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 2 << 20
+
+
+def narrow_batches(spark: SparkSession) -> SparkSession:
+    """Bounds the buffers that every task fills on both sides of its worker, however wide the rows are."""
+    if spark.conf.get(BATCH_SETTING, None) != str(BATCH_BYTES):
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return spark
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings; partition counts and memory stay the caller's choice."""

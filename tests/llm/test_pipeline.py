@@ -4,9 +4,13 @@ import shutil
 import subprocess
 import sys
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from mercato import scratch
 from mercato.llm.pii import base_spans
+from mercato.session import BATCH_SETTING
 from tests.conftest import SF
 from tests.llm.helpers import benchmark_words, white_space_words
 from tests.llm.test_decontaminate import brute as decontamination
@@ -70,6 +74,20 @@ def test_run_is_the_stages_in_turn(spark):
     ]
 
 
+def test_workers_get_small_batches(spark):
+    """A stage bounds the bytes of a batch; the number of rows alone would let one hold gigabytes."""
+    spark.conf.unset(BATCH_SETTING)
+    corpus_pipeline.decontamination(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    wide = spark.range(0, 48, 1, 1).select(F.repeat(F.lit("x"), F.lit(1 << 18)).alias("text"))
+    found = [r["size"] for r in wide.mapInArrow(sizes, "size bigint").collect()]
+    assert sum(found) > 10 << 20 and max(found) < 4 << 20
+
+
 def test_awkward_tables(spark, tmp_path):
     """Nulls in any column, repeated rows, one id with two texts, a long text, columns named like results."""
     given = spark.read.parquet(f"{SF}/documents.parquet")
