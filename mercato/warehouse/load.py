@@ -228,11 +228,11 @@ def _refresh(
         customers = star.dim_customer_initial(shop.users)
     customers = loading.store("dim_customer", customers)
     loading.store("fct_orders", star.fct_orders(shop.orders, customers, as_of))
-    lines = shop.keyed_items()
+    items = star.fct_order_items(shop.keyed_items(), shop.orders, products)
     if over is not None:
-        # Looked at twice, for digests and for what changed; numbering the lines sorts them all.
-        lines = scratch.materialize(lines, "lines")
-    loading.store("fct_order_items", star.fct_order_items(lines, shop.orders, products))
+        # Looked at twice, for digests and for what changed; numbering and joining the lines moves them all.
+        items = scratch.materialize(items, "items")
+    loading.store("fct_order_items", items)
     return loading.publish()
 
 

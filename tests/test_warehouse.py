@@ -289,3 +289,21 @@ def test_a_load_moves_its_lines_by_order_once(spark, shop):
     # Lines and offsets, and the orders: no second exchange of the lines.
     assert found.count("Exchange hashpartitioning(l_orderkey") == 2
     assert found.count("Exchange hashpartitioning(order_id") == 1
+
+
+def test_a_load_over_another_joins_its_lines_once(spark, shop, monkeypatch):
+    """Digests and changed months are told from finished lines, which are stored."""
+    from mercato.warehouse.load import incremental_refresh
+
+    root = scratch.new_path(spark, "lines-once")
+    before = full_refresh(shop, root)
+    stored, materialize = [], scratch.materialize
+
+    def recorded(df, label):
+        stored.append(set(df.columns))
+        return materialize(df, label)
+
+    monkeypatch.setattr(scratch, "materialize", recorded)
+    after = incremental_refresh(shop, root)
+    assert set(STAR["fct_order_items"].names) in stored
+    assert rows(after.table("fct_order_items")) == rows(before.table("fct_order_items"))
