@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,9 +39,21 @@ def month_id(date_id: str) -> Column:
     return F.call_function("div", F.col(date_id), F.lit(100)).cast("int")
 
 
-def write_partitioned(df: DataFrame, partition: str, path: str, mode: str = "errorifexists") -> None:
+def rebalanced(df: DataFrame, partition: str, derived: Mapping[str, Column] | None = None) -> DataFrame:
+    """Rows of a value side by side: small parts merged, hot values split.
+
+    ``derived`` columns are told from the others of their row: they do not move but are computed behind the exchange.
+    """
+    derived = dict(derived or {})
+    moved = df.drop(*derived).hint("rebalance", F.col(partition))
+    return moved.select(*[derived[c].alias(c) if c in derived else c for c in df.columns])
+
+
+def write_partitioned(
+    df: DataFrame, partition: str, path: str, mode: str = "errorifexists", derived: Mapping[str, Column] | None = None
+) -> None:
     """One folder per value; rebalancing merges small files and splits hot values."""
-    df.hint("rebalance", F.col(partition)).write.mode(mode).partitionBy(partition).parquet(path)
+    rebalanced(df, partition, derived).write.mode(mode).partitionBy(partition).parquet(path)
 
 
 def write_by_month(df: DataFrame, ts: str, path: str) -> None:

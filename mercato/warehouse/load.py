@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Mapping
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -135,8 +136,11 @@ class _Load:
         self.known = {(r["table"], r[MONTH]): r for r in before.manifest} if before else {}
         self.star.manifest = []
 
-    def store(self, name: str, df: DataFrame) -> DataFrame:
-        """Writes what is new of a table and returns it as the version will show it."""
+    def store(self, name: str, df: DataFrame, derived: Mapping[str, Column] | None = None) -> DataFrame:
+        """Writes what is new of a table and returns it as the version will show it.
+
+        ``derived`` tells columns of a fact from its others; they do not move to the month folders.
+        """
         rows = df.select(*STAR[name].names)
         rows = rows.withColumn(MONTH, month_id("date_id")) if name in FACTS else rows
         mine = self.star.version
@@ -151,7 +155,8 @@ class _Load:
         if changed is None or changed:
             if name in FACTS:
                 months = None if changed is None else reduce(Column.__or__, [F.col(MONTH).eqNullSafe(F.lit(m)) for m in changed])
-                write_partitioned(rows if months is None else rows.filter(months), MONTH, self.star.path(name))
+                wanted = rows if months is None else rows.filter(months)
+                write_partitioned(wanted, MONTH, self.star.path(name), derived=derived)
             else:
                 rows.write.parquet(self.star.path(name))
         if changed is None:
@@ -232,7 +237,7 @@ def _refresh(
     if over is not None:
         # Looked at twice, for digests and for what changed; numbering and joining the lines moves them all.
         items = scratch.materialize(items, "items")
-    loading.store("fct_order_items", items)
+    loading.store("fct_order_items", items, {"line_total": star.line_total()})
     return loading.publish()
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import times
@@ -103,6 +103,11 @@ def fct_orders(orders: DataFrame, customers: DataFrame, as_of: bool = False) ->
     )
 
 
+def line_total() -> Column:
+    """The value of an order line."""
+    return (F.col("quantity") * F.col("unit_price")).cast("decimal(10,2)")
+
+
 def fct_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order line with its value computed once."""
     dates = orders.select(
@@ -118,7 +123,7 @@ def fct_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) ->
             "date_id",
             "quantity",
             "unit_price",
-            (F.col("quantity") * F.col("unit_price")).cast("decimal(10,2)").alias("line_total"),
+            line_total().alias("line_total"),
         )
     )
 

@@ -307,3 +307,43 @@ def test_a_load_over_another_joins_its_lines_once(spark, shop, monkeypatch):
     after = incremental_refresh(shop, root)
     assert set(STAR["fct_order_items"].names) in stored
     assert rows(after.table("fct_order_items")) == rows(before.table("fct_order_items"))
+
+
+def test_a_load_moves_no_line_value_to_the_months(spark, shop):
+    """What is told from other columns of a line is computed behind the exchange, once."""
+    from mercato.sources.files import month_id, rebalanced
+
+    products = shop.products.select(F.col("id").alias("product_id"), F.col("id").alias("product_sk"))
+    lines = star.fct_order_items(shop.keyed_items(), shop.orders, products).withColumn("month_id", month_id("date_id"))
+    moved = rebalanced(lines, "month_id", {"line_total": star.line_total()})
+    assert moved.schema == lines.schema
+    found = final_plan(moved)
+    value = found.index("AS line_total")
+    assert found.count("AS line_total") == 1 and value < found.index("Exchange hashpartitioning(month_id")
+    assert rows(moved) == rows(lines)
+
+
+def test_loads_write_facts_without_moving_line_values(spark, shop, monkeypatch):
+    from mercato.warehouse.load import incremental_refresh
+
+    frame = type(shop.orders)
+    moved, hint = [], frame.hint
+
+    def recorded(self, name, *given):
+        moved.extend([set(self.columns)] if name == "rebalance" else [])
+        return hint(self, name, *given)
+
+    monkeypatch.setattr(frame, "hint", recorded)
+    root = scratch.new_path(spark, "moved")
+    first = full_refresh(shop, root)
+
+    class Dearer(type(shop)):
+        def keyed_items(self):
+            return super().keyed_items().withColumn("unit_price", (F.col("unit_price") + 1).cast("decimal(10,2)"))
+
+    second = incremental_refresh(Dearer(spark, shop.folder), root)
+    lines = [columns for columns in moved if "quantity" in columns]
+    assert len(lines) == 2 and not any("line_total" in columns for columns in lines)
+    for loaded in (first, second):
+        wrong = loaded.table("fct_order_items").filter(~F.col("line_total").eqNullSafe(star.line_total()))
+        assert loaded.table("fct_order_items").count() > 0 and wrong.count() == 0
