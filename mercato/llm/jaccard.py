@@ -225,6 +225,8 @@ def _signed(rows: DataFrame) -> DataFrame:
 
         def count() -> None:
             nonlocal held, size, named, counts
+            if not held:  # the last rows were counted as they came
+                return
             grams, seen = np.unique(np.concatenate(held), return_counts=True)
             named, counts = _sum(
                 np.concatenate([named, grams[seen > 1]]), np.concatenate([counts, seen[seen > 1]])

@@ -118,3 +118,16 @@ def test_texts_without_a_key_link_others(spark):
     between = (None, " ".join(words[:100]))
     rows = [(5, " ".join([*words[:100], "x1", "x2", "x3"])), between, between, (9, " ".join(words[8:100])), (7, "x y")]
     assert gathered(linked_components(documents(spark, rows))) == brute(rows)
+
+
+@pytest.mark.parametrize("counted", [20, 2000])
+def test_rows_counted_as_they_came(spark, monkeypatch, counted):
+    """A task whose last rows fill its store of n-grams has nothing left to count at its end."""
+    monkeypatch.setattr(jaccard, "COUNTED", counted)
+    monkeypatch.setattr(jaccard, "OFTEN", 6)
+    rows = copies(6)
+    expected = brute(rows)
+    frame = documents(spark, rows).coalesce(1)
+    assert gathered(linked_components(frame)) == expected
+    ids = [r.doc_id for r in one_of_each(frame).collect() if r.doc_id is not None]
+    assert sorted(ids) == sorted({k for k, _, c in expected if k == c})
