@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from mercato import scratch
+from mercato.llm import jaccard
 from mercato.llm.pii import base_spans
 from mercato.session import BATCH_SETTING
 from tests.conftest import SF
-from tests.llm.helpers import benchmark_words, white_space_words
+from tests.llm.helpers import benchmark_words, documents, white_space_words
 from tests.llm.test_decontaminate import brute as decontamination
 from tests.llm.test_jaccard import brute as near_copies
+from tests.llm.test_jaccard import copies
 from tests.llm.test_packing import check
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -88,6 +90,14 @@ def test_workers_get_small_batches(spark):
     assert sum(found) > 10 << 20 and max(found) < 4 << 20
 
 
+def test_copies_go_where_a_task_ends_with_its_store_full(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "COUNTED", 50)
+    rows = copies(8)
+    kept = dict(corpus_pipeline.STAGES)["jaccard_join"](spark, documents(spark, rows).coalesce(2), SF)
+    found = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
+    assert found == sorted({k for k, _, c in near_copies(rows) if k is not None and k == c})
+
+
 def test_awkward_tables(spark, tmp_path):
     """Nulls in any column, repeated rows, one id with two texts, a long text, columns named like results."""
     given = spark.read.parquet(f"{SF}/documents.parquet")
